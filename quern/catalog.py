@@ -1,4 +1,604 @@
-"""All queries of the engine's own operators, with their SQL."""
+"""All queries of the engine's own operators over the test tables, with their SQL.
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+Where tables hold no marked-up text, a query renders it first, so that parsing is exercised.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from .functions import text as S
+from .functions import vector as V
+from .operators import aggregates, conversation, filters, parsers, routing, sampling, similarity
+from .plans import cull as culling
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# Squared distance at which the test vectors have neighbours.
+NEAR = 1.25
+D2 = "pow(list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 2)"
+WORDS = r"len(regexp_extract_all({0}, '[\p{{L}}\p{{N}}_''-]+'))"
+
+# ---- similarity, routing, culling ---------------------------------------------------------------
+
+
+@query(f"""
+WITH d AS (SELECT a.vec_id, b.label, b.vec_id AS other, {D2} AS d FROM embeddings a, embeddings b WHERE a.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY vec_id, label ORDER BY d, other) AS n FROM d),
+s AS (SELECT vec_id, label, avg(d) AS score FROM r WHERE n <= 20 GROUP BY ALL),
+t AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY score, label::VARCHAR) AS n FROM s)
+SELECT vec_id, label::VARCHAR AS expert, round(score, 5) AS score FROM t WHERE n = 1
+""")
+def router_topk_avg(spark, sf_dir):
+    """Experts are labels; queries are the rows with an id divisible by 20, against all rows."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.col("label").cast("string").alias("label"))
+    routed = routing.route(rows.where("vec_id % 20 = 0"), rows, 20, "vec_id", "embedding", "vec_id", "label")
+    return routed.withColumn("score", F.round("score", 5))
+
+
+@query(f"SELECT a.label::VARCHAR AS \"group\", a.vec_id AS a, b.vec_id AS b, round({D2}, 5) AS distance FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id < b.vec_id WHERE {D2} <= 1.45")
+def near_dup_pairs(spark, sf_dir):
+    """Range self-join inside a label."""
+    return similarity.pairs_within(table(spark, sf_dir, "embeddings"), 1.45, "vec_id", "embedding", "label").withColumn("distance", F.round("distance", 5))
+
+
+@query(f"SELECT a.vec_id, min({D2}) <= {NEAR} AS too_similar FROM embeddings a, embeddings b WHERE a.label >= 5 AND b.label < 5 GROUP BY 1")
+def too_similar_flags(spark, sf_dir):
+    """Labels 5 and up are probes, the others are the history."""
+    rows = table(spark, sf_dir, "embeddings")
+    return similarity.too_similar(rows.where("label >= 5"), rows.where("label < 5"), NEAR, "vec_id", "embedding", "vec_id")
+
+
+@query(f"SELECT a.vec_id, a.label FROM embeddings a WHERE a.label >= 5 AND NOT EXISTS (SELECT 1 FROM embeddings b WHERE b.label < 5 AND {D2} <= {NEAR})")
+def batch_antijoin_dedup(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings")
+    return similarity.drop_similar(rows.where("label >= 5"), rows.where("label < 5"), NEAR, "vec_id", "embedding", "vec_id").select("vec_id", "label")
+
+
+@query()
+def greedy_dedup(spark, sf_dir):
+    """Sequential order-dependent deduplication of all vectors (SQL would need a recursion per row)."""
+    return similarity.greedy_dedup(table(spark, sf_dir, "embeddings"), NEAR, "vec_id", "embedding").select("vec_id", "label")
+
+
+@query()
+def cull_groups(spark, sf_dir):
+    """Batches of near vectors inside a label; quality labels judge, the longer document wins."""
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("rid"), F.col("label").cast("string").alias("category"), "embedding")
+    verdict = table(spark, sf_dir, "labels").groupBy(F.col("doc_id").alias("rid")).agg(F.max("quality").alias("quality"))
+    size = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("rid"), "n_chars")
+    rows = rows.join(verdict, "rid", "left").join(size, "rid", "left")
+    kept = culling.cull(rows, 1.4, size=F.coalesce("n_chars", F.lit(0)), good=F.coalesce(F.col("quality") == 1, F.lit(True)))
+    return kept.select("rid", "category")
+
+
+@query("""
+WITH p AS (SELECT e.label, i.i - 1 AS pos, sum((e.vec_id % 7 + 1) * e.embedding[i.i]::DOUBLE) / sum(e.vec_id % 7 + 1) AS m
+  FROM embeddings e, (SELECT unnest(generate_series(1, 64)) AS i) i GROUP BY ALL),
+n AS (SELECT label, sqrt(sum(m * m)) AS norm FROM p GROUP BY 1)
+SELECT label, pos, round(m / norm, 5) AS value FROM p JOIN n USING (label)
+""")
+def length_weighted_centroid(spark, sf_dir):
+    """Weighted mean vector of each label, unit length."""
+    return aggregates.weighted_centroid(table(spark, sf_dir, "embeddings"), "label", "embedding", F.col("vec_id") % 7 + 1, 5)
+
+
+@query("SELECT vec_id, round(sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))), 5) AS norm FROM embeddings")
+def vector_norms(spark, sf_dir):
+    return table(spark, sf_dir, "embeddings").select("vec_id", F.round(V.norm(F.col("embedding")), 5).alias("norm"))
+
+
+@query("""
+WITH c AS (SELECT md5(coalesce(text, '')) AS h, count(*) AS members, arg_max(doc_id, (n_chars * 1000000 + doc_id)) AS doc_id FROM documents GROUP BY 1)
+SELECT doc_id, members FROM c
+""")
+def best_of_exact_dups(spark, sf_dir):
+    """Of equal texts the longest, the last among equal ones."""
+    docs = table(spark, sf_dir, "documents").withColumn("h", F.md5(F.coalesce("text", F.lit(""))))
+    return aggregates.longest(docs, ["h"], F.col("n_chars"), "doc_id").select("doc_id", "members")
+
+
+# ---- predicates ---------------------------------------------------------------------------------
+
+_RENDERED = """SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN 'As an AI language model, ' || text WHEN 1 THEN 'I''m sorry, ' || text WHEN 2 THEN 'OpenAI ' || text WHEN 3 THEN '' WHEN 4 THEN '  ' || text || ' Please note that.' ELSE text END AS response FROM documents"""
+_BAN = "|".join(f"(?:{p})" for p in filters.BANNED).replace("'", "''")
+
+
+def _responses(docs: DataFrame) -> DataFrame:
+    t, m = F.col("text"), F.col("doc_id") % 6
+    r = F.when(m == 0, F.concat(F.lit("As an AI language model, "), t)).when(m == 1, F.concat(F.lit("I'm sorry, "), t)).when(m == 2, F.concat(F.lit("OpenAI "), t)).when(m == 3, "").when(m == 4, F.concat(F.lit("  "), t, F.lit(" Please note that."))).otherwise(t)
+    return docs.select("doc_id", r.alias("response"))
+
+
+@query(f"SELECT doc_id, regexp_matches(response, '{_BAN}', 'i') AS banned, regexp_matches(substr(response, 3), '{_BAN}', 'i') AS banned_from_third FROM ({_RENDERED})")
+def ban_filter(spark, sf_dir):
+    rows = _responses(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", filters.is_banned("response").alias("banned"), filters.is_banned("response", from_third=True).alias("banned_from_third"))
+
+
+@query(f"SELECT doc_id, length(response) AS size FROM ({_RENDERED}) WHERE length(trim(response, E' \\n\\t')) > 0 AND NOT regexp_matches(response, '{_BAN}', 'i') AND NOT (starts_with(response, 'I''m sorry,') OR starts_with(response, 'Apologies,') OR starts_with(response, 'I can''t') OR starts_with(response, 'I won''t'))")
+def usable_responses(spark, sf_dir):
+    rows = _responses(table(spark, sf_dir, "documents"))
+    return rows.where(filters.usable("response")).select("doc_id", F.length("response").alias("size"))
+
+
+@query("SELECT source, CASE WHEN source IN ('src1', 'src3', 'src5') THEN 'pass' ELSE 'judge' END AS branch, count(*) AS n FROM documents GROUP BY ALL")
+def pass_through_split(spark, sf_dir):
+    through, rest = filters.split_pass_through(table(spark, sf_dir, "documents"), "source", ("src1", "src3", "src5"))
+    both = through.withColumn("branch", F.lit("pass")).unionByName(rest.withColumn("branch", F.lit("judge")))
+    return both.groupBy("source", "branch").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT d.doc_id, d.source FROM documents d LEFT JOIN (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY 1) l USING (doc_id) WHERE coalesce(l.quality = 1, true)")
+def judge_keep(spark, sf_dir):
+    """Quality labels as the judge's verdicts; documents without one stay."""
+    verdicts = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    rows = table(spark, sf_dir, "documents").join(verdicts, "doc_id", "left")
+    result = F.when(F.col("quality") == 1, "GOOD").when(F.col("quality") == 0, "BAD")
+    return rows.where(filters.judged_good(result)).select("doc_id", "source")
+
+
+@query("""
+WITH r AS (SELECT item_id, 'A word that ' || CASE WHEN item_id % 2 = 0 THEN 'starts with ''' || upper(substr(text, 1, 3)) ELSE 'ends with ''' || substr(text, 1, 2) END || ''' ?' AS q, text AS a, substr(text, 1, 3) AS p, substr(text, 1, 2) AS e FROM benchmark)
+SELECT item_id, CASE WHEN item_id % 2 = 0 THEN starts_with(lower(a), lower(p)) ELSE ends_with(lower(a), lower(e)) END AS edges,
+ CASE WHEN item_id % 2 = 0 THEN contains(a, upper(p)) ELSE contains(a, e) END AS inside FROM r
+""")
+def trivia_checks(spark, sf_dir):
+    t = F.col("text")
+    what = F.when(F.col("item_id") % 2 == 0, F.concat(F.lit("starts with '"), F.upper(F.substring(t, 1, 3)))).otherwise(F.concat(F.lit("ends with '"), F.substring(t, 1, 2)))
+    rows = table(spark, sf_dir, "benchmark").withColumn("q", F.concat(F.lit("A word that "), what, F.lit("' ?")))
+    return rows.select("item_id", filters.trivia_edges_hold("q", "text").alias("edges"), filters.trivia_contains_holds("q", "text").alias("inside"))
+
+
+@query("SELECT item_id, item_id % 3 <> 1 AS valid, contains(text, trim(substr(text, 5, 9), E' \\n\\t')) AS shown FROM benchmark")
+def format_checks(spark, sf_dir):
+    """Context blocks (every third lacks its end), and answers that the question shows."""
+    end = F.when(F.col("item_id") % 3 == 1, "").otherwise("ENDINPUT\n")
+    block = F.concat(F.lit("BEGININPUT\nBEGINCONTEXT\nurl: x\nENDCONTEXT\n"), F.col("text"), F.lit("\n"), end, F.lit("BEGININSTRUCTION\nWhat?\nENDINSTRUCTION\n\n"))
+    return table(spark, sf_dir, "benchmark").select("item_id", filters.is_context_block(block).alias("valid"), filters.answer_in_question("text", F.substring("text", 5, 9)).alias("shown"))
+
+
+@query("SELECT event_id, least(value, 0) >= 0 AND event_id % 11 - 1 >= 0 AS in_range, event_id % 900 + coalesce(nullif(event_id % 5 * 40, 0), 1000 - event_id % 900 - 1) <= 1000 AS fits FROM events")
+def request_checks(spark, sf_dir):
+    """Parameter ranges and length budgets, with event columns as the requests."""
+    e = F.col("event_id")
+    return table(spark, sf_dir, "events").select("event_id", filters.in_range("value", e % 11 - 1).alias("in_range"), filters.fits(e % 900, e % 5 * 40, 1000).alias("fits"))
+
+
+@query("SELECT c_custkey FROM customer WHERE c_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 1)")
+def membership(spark, sf_dir):
+    known = table(spark, sf_dir, "nation").where("n_regionkey = 1")
+    return filters.registered(table(spark, sf_dir, "customer"), "c_nationkey", known, "n_nationkey").select("c_custkey")
+
+
+@query("SELECT doc_id, CASE WHEN contains(r, 'SKIP') THEN NULL ELSE trim(split_part(r, 'REMINDER:', 1), E' \\n\\t') END AS response FROM (SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN text || ' REMINDER: stay' WHEN 1 THEN 'SKIP ' || text ELSE text END AS r FROM documents)")
+def reminder_skip(spark, sf_dir):
+    m = F.col("doc_id") % 3
+    r = F.when(m == 0, F.concat("text", F.lit(" REMINDER: stay"))).when(m == 1, F.concat(F.lit("SKIP "), "text")).otherwise(F.col("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", filters.stylised(r).alias("response"))
+
+
+@query("SELECT n_nationkey, coalesce(nullif(CASE n_nationkey % 3 WHEN 0 THEN 0.0 WHEN 1 THEN NULL ELSE n_nationkey / 100.0 END, 0), 0.35)::DOUBLE AS threshold FROM nation")
+def default_thresholds(spark, sf_dir):
+    k = F.col("n_nationkey")
+    given = F.when(k % 3 == 0, 0.0).when(k % 3 == 1, None).otherwise(k / 100)
+    return table(spark, sf_dir, "nation").select("n_nationkey", filters.default_threshold(given).alias("threshold"))
+
+
+# ---- parsers ------------------------------------------------------------------------------------
+
+
+@query(r"""
+WITH s AS (SELECT item_id, unnest(range(1, len(p))) AS i, p FROM (SELECT item_id, string_split_regex('Sure:' || chr(10) || 'TSK 1. ' || text || chr(10) || 'TSK 2.  ' || 'Again: ' || text || chr(10) || 'TSK 3.   ', '(^|\n)TSK \d+\.\s*') AS p FROM benchmark))
+SELECT item_id, (i - 1)::INTEGER AS pos, p[i + 1] AS instruction FROM s WHERE length(trim(p[i + 1])) > 0
+""")
+def parse_tasks(spark, sf_dir):
+    t = F.col("text")
+    rows = table(spark, sf_dir, "benchmark").select("item_id", F.concat(F.lit("Sure:\nTSK 1. "), t, F.lit("\nTSK 2.  Again: "), t, F.lit("\nTSK 3.   ")).alias("text"))
+    return parsers.tasks(rows, "text")
+
+
+@query(r"""
+SELECT item_id, 0 AS pos, text AS instruction FROM benchmark UNION ALL SELECT item_id, 1, ' ' || text FROM benchmark
+""")
+def parse_tasks_strict(spark, sf_dir):
+    t = F.col("text")
+    rows = table(spark, sf_dir, "benchmark").select("item_id", F.concat(F.lit("TSK 1. "), t, F.lit("\nTSK 22.  "), t).alias("text"))
+    return parsers.tasks(rows, "text", strict=True)
+
+
+@query("""
+WITH u AS (SELECT conv_id, turn, text, lag(text) OVER (PARTITION BY conv_id ORDER BY turn) AS q, lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS r, role FROM conversations)
+SELECT conv_id, (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1)::INTEGER AS pos, trim(q, E' \\n\\t') AS instruction, trim(text, E' \\n\\t') AS response FROM u WHERE role = 'assistant' AND r = 'user'
+""")
+def parse_qa_roundtrip(spark, sf_dir):
+    """Exchanges written as QUESTION/ANSWER text and parsed back."""
+    pairs = conversation.exchanges(table(spark, sf_dir, "conversations"))
+    line = F.concat(F.lit("QUESTION: "), "user", F.lit("\nANSWER: "), "assistant")
+    held = aggregates.grouped_lists(pairs, "conv_id", "idx", line)
+    return parsers.inline_qa(held.select("conv_id", F.array_join("items", "\n").alias("text")), "text")
+
+
+@query("""
+SELECT item_id, 0 AS pos, 0 AS variant, NULL::VARCHAR AS system, trim(text, E' \\n\\t') AS instruction, 'Plain' AS response, 'awareness' AS category FROM benchmark
+UNION ALL SELECT item_id, 0, 1, 'A chat. Here: ' || item_id, trim(text, E' \\n\\t'), 'So: ' || trim(text, E' \\n\\t'), 'awareness' FROM benchmark
+""")
+def parse_awareness_two_rows(spark, sf_dir):
+    t = F.col("text")
+    rows = table(spark, sf_dir, "benchmark").select("item_id", F.concat(F.lit("QUESTION: "), t, F.lit("\nCONTEXT: Here: "), F.col("item_id").cast("string"), F.lit("\nANSWER: Plain\nCONTEXTUALANSWER: So: "), t).alias("text"))
+    return parsers.awareness(rows, "text")
+
+
+@query("""
+WITH c AS (SELECT item_id, 'Ann' || item_id AS name FROM benchmark)
+SELECT item_id, name, 0 AS pos, 0 AS variant, 'Who?' AS instruction, 'Me' AS response, NULL::BOOLEAN AS skip_prompt_formatting, 'awareness' AS category FROM c
+UNION ALL SELECT item_id, name, 0, 1, 'A chat between ' || name || ' and Bob.' || chr(10) || name || ':' || chr(10) || b.text || chr(10) || 'Bob: Who?', 'I say', true, 'awareness' FROM c JOIN benchmark b USING (item_id)
+""")
+def parse_character_awareness(spark, sf_dir):
+    name = F.concat(F.lit("Ann"), F.col("item_id").cast("string"))
+    rows = table(spark, sf_dir, "benchmark").select("item_id", name.alias("name"), F.col("text").alias("description"), F.concat(F.lit("QUESTION: Who?\nANSWER: Me\nCONTEXTUALANSWER: As "), name, F.lit(", I say")).alias("answer"))
+    return parsers.character_awareness(rows, "answer", "name", "description", F.lit("Bob"))
+
+
+@query("SELECT item_id, 0 AS pos, trim(text, E' \\n\\t') AS question FROM benchmark UNION ALL SELECT item_id, 1, 'And ' || item_id || '?' FROM benchmark")
+def parse_questions(spark, sf_dir):
+    rows = table(spark, sf_dir, "benchmark").select("item_id", F.concat(F.lit("QUESTION: "), "text", F.lit("\nQUESTION: And "), F.col("item_id").cast("string"), F.lit("?\n")).alias("text"))
+    return parsers.questions(rows, "text")
+
+
+@query("SELECT item_id, 'Room ' || item_id AS setting, trim(text, E' \\n\\t') AS experience FROM benchmark WHERE item_id % 4 <> 0")
+def parse_experience(spark, sf_dir):
+    tag = F.when(F.col("item_id") % 4 == 0, "STORY: ").otherwise("EXPERIENCE: ")
+    rows = table(spark, sf_dir, "benchmark").select("item_id", F.concat(F.lit("SETTING: Room "), F.col("item_id").cast("string"), F.lit("\n"), tag, "text").alias("text"))
+    return parsers.experience(rows, "text")
+
+
+@query("""
+WITH l AS (SELECT doc_id, split_part(text, chr(10), 1) AS a, 'Topic ' || (doc_id % 7) AS b FROM documents),
+m AS (SELECT doc_id, 0 AS pos, a AS topic FROM l UNION ALL SELECT doc_id, 1, b FROM l UNION ALL SELECT doc_id, 3, 'New ' || a FROM l),
+r AS (SELECT *, row_number() OVER (PARTITION BY lower(trim(topic, E' \\t')) ORDER BY doc_id, pos) AS n FROM m WHERE topic <> '' AND NOT ends_with(trim(topic, E' \\t'), ':'))
+SELECT doc_id, pos::INTEGER AS pos, trim(topic, E' \\t') AS topic FROM r WHERE n = 1
+""")
+def topics_clean(spark, sf_dir):
+    first = S.first_part("text", "\n")
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("1. "), first, F.lit("\n2. Topic "), (F.col("doc_id") % 7).cast("string"), F.lit("\n3. Others:\n4. New "), first).alias("text"))
+    return parsers.topics(rows, "text", "doc_id")
+
+
+@query("""
+SELECT item_id, '1' AS number, 'A fact. ' AS fact, 'No ' || item_id AS counter, 'Is it?' AS question, 'https://e.org/' || item_id AS source FROM benchmark
+UNION ALL SELECT item_id, '2', 'Two', 'Three', 'How many?', 'http' || 's://x' FROM benchmark WHERE item_id % 2 = 0
+""")
+def sections_join(spark, sf_dir):
+    i = F.col("item_id").cast("string")
+    last = F.when(F.col("item_id") % 2 == 0, "\n2. How many?").otherwise("")
+    text = F.concat(F.lit("FACTS\n1. A fact. [source: https://e.org/"), i, F.lit("]\n2. Two[https://x]\n3. No source\nCOUNTER\n1. No "), i, F.lit("\n2. Three\nQUESTIONS\n1. Is it?"), last)
+    return parsers.sections(table(spark, sf_dir, "benchmark").select("item_id", text.alias("text")), "text")
+
+
+@query("""
+WITH s AS (SELECT item_id, x.v AS variant, CASE x.v WHEN 0 THEN 'Fact' ELSE 'Counter' END AS t FROM benchmark, (SELECT unnest([0, 1]) AS v) x)
+SELECT item_id, '1' AS number, variant, 'BEGININPUT' || chr(10) || 'BEGINCONTEXT' || chr(10) || 'url: https://e' || chr(10) || 'ENDCONTEXT' || chr(10) || t || chr(10) || 'ENDINPUT' || chr(10) || 'BEGININSTRUCTION' || chr(10) || 'Q?' || chr(10) || chr(10) || 'ENDINSTRUCTION' AS instruction FROM s
+""")
+def counterfactual_rows(spark, sf_dir):
+    rows = table(spark, sf_dir, "benchmark").select("item_id", F.lit("FACTS\n1. Fact[https://e]\nCOUNTER\n1. Counter\nQUESTIONS\n1. Q?").alias("text"))
+    return parsers.counterfactuals(parsers.sections(rows, "text"), F.lit(""))
+
+
+@query("SELECT item_id, 'Ann ' || item_id AS name, trim(text, E' \\n\\t') AS description, md5(trim(text, E' \\n\\t')) AS card FROM benchmark")
+def character_cards(spark, sf_dir):
+    raw = F.concat(F.lit("NAME: Ann "), F.col("item_id").cast("string"), F.lit("\n\n"), "text")
+    name, described = parsers.named(raw)
+    return table(spark, sf_dir, "benchmark").select("item_id", name.alias("name"), described.alias("description"), F.md5(described).alias("card"))
+
+
+@query("SELECT item_id, CASE WHEN item_id % 3 = 0 THEN 'x = ' || item_id WHEN item_id % 3 = 1 THEN NULL ELSE text END AS code FROM benchmark")
+def fenced_code(spark, sf_dir):
+    m, i = F.col("item_id") % 3, F.col("item_id").cast("string")
+    answer = F.when(m == 0, F.concat(F.lit("Here:\n```python\nx = "), i, F.lit("\n```\nDone"))).when(m == 1, "```\n\n```").otherwise(F.col("text"))
+    return table(spark, sf_dir, "benchmark").select("item_id", parsers.plain_code(F.lit("Write it. PLAINFORMAT"), answer).alias("code"))
+
+
+@query("""
+SELECT item_id, CASE item_id % 3 WHEN 0 THEN 2 WHEN 1 THEN 4 ELSE NULL END AS turns, CASE item_id % 3 WHEN 2 THEN NULL WHEN 1 THEN 'Bye' ELSE 'Hi ' || item_id END AS last FROM benchmark
+""")
+def multi_turn_split(spark, sf_dir):
+    m, i = F.col("item_id") % 3, F.col("item_id").cast("string")
+    said = F.when(m == 0, F.concat(F.lit("Hi "), i)).when(m == 1, F.concat(F.lit("Hi</s>\nUSER: "), "text", F.lit(" ASSISTANT: Bye\n"))).otherwise("Hi</s> nobody")
+    turns = parsers.conversation("text", said)
+    return table(spark, sf_dir, "benchmark").select("item_id", F.when(turns.isNotNull(), F.size(turns)).alias("turns"), F.element_at(turns, -1)["value"].alias("last"))
+
+
+@query("SELECT item_id, CASE item_id % 4 WHEN 0 THEN 'code' WHEN 1 THEN 'creative' ELSE 'reasoning' END AS expert FROM benchmark")
+def agent_router(spark, sf_dir):
+    m = F.col("item_id") % 4
+    said = F.when(m == 0, '{"Function": "code"}').when(m == 1, F.lit('I choose "CREATIVE" or "creative"')).when(m == 2, '{"function": "unknown"}').otherwise("nothing")
+    return table(spark, sf_dir, "benchmark").select("item_id", routing.agent_choice(F.when(m == 1, F.lit('I choose "creative".')).otherwise(said), ["code", "creative", "reasoning"]).alias("expert"))
+
+
+@query("SELECT item_id, trim(text, E' \\n\\t') AS response, CASE item_id % 3 WHEN 0 THEN 'Bob' WHEN 1 THEN 'Cleo' ELSE 'User' END AS speaker FROM benchmark")
+def next_speaker(spark, sf_dir):
+    m = F.col("item_id") % 3
+    line = F.when(m == 0, "\nNEXT: Bob").when(m == 1, '\nNEXT: "Cleoo"').otherwise("")
+    raw = F.concat(F.lit("Ann: "), "text", F.lit("\nBob: no"), line, F.lit("\nREMINDER: stay"))
+    body, name = parsers.next_speaker(raw, F.lit("Ann"), F.lit("User"), F.array(*map(F.lit, ("Ann", "Bob", "Cleo"))))
+    return table(spark, sf_dir, "benchmark").select("item_id", body.alias("response"), name.alias("speaker"))
+
+
+# ---- conversations ------------------------------------------------------------------------------
+
+
+@query("""
+WITH l AS (SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS p FROM conversations)
+SELECT conv_id, bool_and(CASE role WHEN 'system' THEN true WHEN 'user' THEN p IS NULL OR p <> 'user' WHEN 'assistant' THEN coalesce(p = 'user', false) ELSE false END) AS valid, count(*) AS n_turns FROM l GROUP BY 1
+""")
+def convo_validate(spark, sf_dir):
+    return conversation.valid(table(spark, sf_dir, "conversations"))
+
+
+@query("""
+SELECT conv_id, CASE WHEN arg_min(role, turn) = 'system' THEN '' ELSE 'A chat.' || chr(10) END || string_agg(CASE WHEN role = 'system' THEN text ELSE upper(role) || ': ' || text END, chr(10) ORDER BY turn) || chr(10) || 'ASSISTANT: ' AS prompt FROM conversations GROUP BY 1
+""")
+def prompt_assembly(spark, sf_dir):
+    return conversation.prompts(table(spark, sf_dir, "conversations"))
+
+
+@query("""
+WITH p AS (SELECT conv_id, turn, role, text,
+ string_agg(CASE WHEN role = 'system' THEN text END, chr(10)) OVER w AS s, string_agg(CASE WHEN role <> 'system' THEN text END, chr(10)) OVER w AS u, coalesce(sum(CASE WHEN role = 'assistant' THEN 1 ELSE 0 END) OVER w, 0) AS e
+ FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT conv_id, turn, trim(coalesce(s, '') || chr(10) || coalesce(u, ''), E' \\n\\t') || chr(10) AS instruction, text AS response, e > 0 AS skip_counting FROM p WHERE role = 'assistant'
+""")
+def prefix_rows(spark, sf_dir):
+    return conversation.prefix_rows(table(spark, sf_dir, "conversations"))
+
+
+@query(rf"""
+WITH u AS (SELECT conv_id, turn, role, text, lag(text) OVER w AS q, lag(role) OVER w AS r FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+x AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS idx, q, text FROM u WHERE role = 'assistant' AND r = 'user'),
+y AS (SELECT *, 10 + sum({WORDS.format('q')} + {WORDS.format('text')}) OVER (PARTITION BY conv_id ORDER BY idx) AS words, max(idx) OVER (PARTITION BY conv_id) AS last FROM x)
+SELECT conv_id, idx::INTEGER AS idx, words::BIGINT AS words FROM y WHERE words <= 120 AND idx > 0 AND idx < last
+""")
+def word_budget(spark, sf_dir):
+    pairs = conversation.exchanges(table(spark, sf_dir, "conversations"))
+    return conversation.budgeted_rows(pairs, F.lit(10), 120).select("conv_id", "idx", F.col("words").cast("bigint").alias("words"))
+
+
+@query("""
+WITH m AS (SELECT conv_id, turn, CASE turn % 3 WHEN 0 THEN 'User' WHEN 1 THEN 'Ann' ELSE 'Bob' END AS speaker, text FROM conversations),
+n AS (SELECT *, CASE WHEN speaker = 'User' THEN 1 WHEN coalesce(lag(speaker) OVER (PARTITION BY conv_id ORDER BY turn) = 'User', true) THEN 1 ELSE 0 END AS f FROM m),
+i AS (SELECT *, sum(f) OVER (PARTITION BY conv_id ORDER BY turn) AS g FROM n)
+SELECT conv_id, min(turn) AS turn, CASE WHEN any_value(speaker) = 'User' THEN 'user' ELSE 'assistant' END AS role, string_agg(speaker || ': ' || text, chr(10) || chr(10) ORDER BY turn) AS text FROM i GROUP BY conv_id, g
+""")
+def merge_assistants(spark, sf_dir):
+    m = F.col("turn") % 3
+    rows = table(spark, sf_dir, "conversations").withColumn("speaker", F.when(m == 0, "User").when(m == 1, "Ann").otherwise("Bob"))
+    return conversation.merge_assistants(rows, "User")
+
+
+@query("""
+WITH r AS (SELECT conv_id, turn, role, row_number() OVER w AS n, lead(role) OVER w AS nx FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+s AS (SELECT *, coalesce(max(CASE WHEN n >= 4 OR (n >= 3 AND nx = 'user') THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS stopped FROM r)
+SELECT conv_id, turn FROM s WHERE stopped = 0
+""")
+def turn_limit(spark, sf_dir):
+    return conversation.limited(table(spark, sf_dir, "conversations"), 4).select("conv_id", "turn")
+
+
+@query("""
+SELECT conv_id, list({'from': CASE role WHEN 'user' THEN 'human' ELSE 'gpt' END, 'value': text} ORDER BY turn)::JSON::VARCHAR AS conversations FROM conversations WHERE role <> 'system' GROUP BY 1
+""")
+def export_sharegpt(spark, sf_dir):
+    return conversation.export(table(spark, sf_dir, "conversations")).select("conv_id", F.to_json("conversations").alias("conversations"))
+
+
+@query("""
+WITH s AS (SELECT conv_id, arg_min(text, turn) FILTER (role = 'system') AS system, arg_min(text, turn) FILTER (role = 'user') AS instruction FROM conversations GROUP BY 1)
+SELECT conv_id, concat_ws(' ', coalesce(system, 'A chat.'), instruction) AS instruction FROM s
+""")
+def routing_projection(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.min_by("text", F.when(F.col("role") == "system", F.col("turn"))).alias("system"), F.min_by("text", F.when(F.col("role") == "user", F.col("turn"))).alias("instruction"))
+    return rows.select("conv_id", routing.routing_text("system", "instruction").alias("instruction"))
+
+
+@query(rf"SELECT conv_id, sum(CASE WHEN role <> 'assistant' THEN {WORDS.format('text')} ELSE 0 END)::BIGINT AS prompt_tokens, sum(CASE WHEN role = 'assistant' THEN {WORDS.format('text')} ELSE 0 END)::BIGINT AS completion_tokens, sum({WORDS.format('text')})::BIGINT AS total_tokens FROM conversations GROUP BY 1")
+def usage_totals(spark, sf_dir):
+    return conversation.usage(table(spark, sf_dir, "conversations"))
+
+
+@query("""
+SELECT conv_id, coalesce(string_agg(text, chr(10) ORDER BY turn) FILTER (role = 'system'), '') AS context, count(*) FILTER (role <> 'system') AS messages FROM conversations GROUP BY 1
+""")
+def author_form(spark, sf_dir):
+    context, rest = conversation.author_form(F.col("messages"))
+    return conversation.messages(table(spark, sf_dir, "conversations")).select("conv_id", context.alias("context"), F.size(rest).cast("bigint").alias("messages"))
+
+
+@query("""
+WITH g AS (SELECT conv_id, turn, text, string_agg(text, '') OVER (PARTITION BY conv_id ORDER BY turn) AS grown FROM conversations)
+SELECT conv_id, turn, substr(grown, coalesce(length(lag(grown) OVER (PARTITION BY conv_id ORDER BY turn)), 0) + 1) AS delta FROM g
+""")
+def stream_deltas(spark, sf_dir):
+    grown = F.array_join(F.collect_list("text").over(Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, 0)), "")
+    rows = table(spark, sf_dir, "conversations").withColumn("grown", grown)
+    return conversation.deltas(rows, "conv_id", "turn", "grown").select("conv_id", "turn", "delta")
+
+
+@query(rf"""
+WITH r AS (SELECT conv_id * 1000 + turn AS k, {WORDS.format('text')} AS n FROM conversations), s AS (SELECT k, n, sum(n) OVER (ORDER BY k) AS running FROM r)
+SELECT k, running::BIGINT AS running FROM s WHERE running <= (SELECT sum(n) // 2 FROM r)
+""")
+def usage_running_cutoff(spark, sf_dir):
+    """Turns until half of all words is used, in order."""
+    rows = table(spark, sf_dir, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("k"), S.word_count("text").alias("n"))
+    half = rows.agg(F.floor(F.sum("n") / 2)).first()[0]
+    return sampling.until_exhausted(rows, "n", "k", half).select("k", "running")
+
+
+# ---- counts, quotas, samples, splits ------------------------------------------------------------
+
+
+@query("""
+WITH r AS (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS n FROM documents), h AS (SELECT lang AS l, count(*) AS have FROM documents GROUP BY 1)
+SELECT source, doc_id FROM r WHERE n <= 12 + length(source)
+""")
+def category_quota(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select("source", "doc_id")
+    return sampling.quota(rows, "source", "doc_id", F.lit(12) + F.length("source"))
+
+
+@query("SELECT coalesce(source, 'general') AS source, count_if(lang <> 'en') AS count FROM documents GROUP BY 1")
+def category_counts(spark, sf_dir):
+    return aggregates.category_counts(table(spark, sf_dir, "documents"), "source", F.col("lang") != "en")
+
+
+@query("SELECT doc_id, count(*) OVER (PARTITION BY source ORDER BY doc_id) AS running_count FROM documents")
+def running_counts(spark, sf_dir):
+    return aggregates.running_counts(table(spark, sf_dir, "documents"), "source", "doc_id").select("doc_id", "running_count")
+
+
+@query("""
+WITH s AS (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS n, count(*) OVER (PARTITION BY source) AS c FROM documents)
+SELECT source, doc_id FROM s WHERE n <= greatest(1, least(500, floor(c * 0.1)))
+""")
+def stratified_sample(spark, sf_dir):
+    return sampling.stratified(table(spark, sf_dir, "documents").select("source", "doc_id"), "source", "doc_id")
+
+
+_EXPERTS = [("src%d" % i, ("qa", "creative", "code", "reasoning", "general")[i % 5]) for i in range(20)]
+
+
+@query(f"""
+WITH e AS (SELECT unnest({[c for c, _ in _EXPERTS]}) AS category, unnest({[x for _, x in _EXPERTS]}) AS expert),
+m AS (SELECT e.expert, d.source, d.doc_id FROM documents d JOIN e ON d.source = e.category),
+t AS (SELECT x.expert, coalesce(n, 0) AS n FROM (SELECT DISTINCT expert FROM e) x LEFT JOIN (SELECT expert, count(*) AS n FROM m GROUP BY 1) USING (expert)),
+s AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS n, count(*) OVER (PARTITION BY source) AS c FROM m),
+p AS (SELECT * FROM s WHERE n <= greatest(1, least(500, floor(c * 0.1))))
+SELECT expert, true AS own, doc_id FROM m UNION ALL
+SELECT t.expert, false, p.doc_id FROM p JOIN t ON t.expert <> p.expert AND p.n <= floor(t.n / (20 * 0.6))
+""")
+def expert_split_mix(spark, sf_dir):
+    experts = spark.createDataFrame([(x, c) for c, x in _EXPERTS], "expert string, category string")
+    return sampling.expert_split(table(spark, sf_dir, "documents").select("source", "doc_id"), experts, "source", "doc_id").select("expert", "own", "doc_id")
+
+
+@query("""
+WITH r AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS i, count(*) OVER (PARTITION BY source) AS n FROM documents),
+k AS (SELECT *, ceil(n / 7.0)::BIGINT AS k FROM r), f AS (SELECT *, n // k AS q, n % k AS m FROM k)
+SELECT doc_id, (1 + CASE WHEN i < m * (q + 1) THEN i // (q + 1) ELSE m + (i - m * (q + 1)) // q END)::INTEGER AS batch FROM f
+""")
+def judge_batches(spark, sf_dir):
+    return sampling.batches(table(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id", 7, "source").select("doc_id", "batch")
+
+
+@query("SELECT d.doc_id, n.n_name FROM documents d JOIN nation n ON (d.doc_id + 3) % 25 = n.n_nationkey")
+def round_robin(spark, sf_dir):
+    return sampling.rotated(table(spark, sf_dir, "documents"), "doc_id", table(spark, sf_dir, "nation"), "n_nationkey", 25, 3).select("doc_id", "n_name")
+
+
+@query()
+def hash_sample(spark, sf_dir):
+    """A thousand documents by a seeded hash, with an opinion each: weighted, and by chance."""
+    rows = sampling.sample(table(spark, sf_dir, "documents").select("doc_id"), 1000, "doc_id", 5)
+    return rows.select("doc_id", sampling.weighted([2, 3, 4], [0.85, 0.12, 0.03], 1, "doc_id").alias("party"), sampling.bernoulli(0.3, 2, "doc_id").alias("chosen"))
+
+
+@query("WITH t AS (SELECT doc_id, lower(trim(split_part(text, chr(10), 1), E' \\t')) AS t FROM documents) SELECT min(doc_id) AS doc_id FROM t GROUP BY t")
+def distinct_normalised(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select("doc_id", S.first_part("text", "\n").alias("line"))
+    return aggregates.first_by_text(rows, "line", "doc_id").select("doc_id")
+
+
+@query("SELECT source, list(doc_id ORDER BY doc_id) AS items FROM documents GROUP BY 1")
+def grouped_lists(spark, sf_dir):
+    return aggregates.grouped_lists(table(spark, sf_dir, "documents"), "source", "doc_id", F.col("doc_id"))
+
+
+@query("WITH s AS (SELECT source, quantile_disc(doc_id, 0.5) AS mark FROM documents GROUP BY 1) SELECT doc_id FROM documents d JOIN s USING (source) WHERE doc_id > mark")
+def resume_after_marker(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select("source", "doc_id", F.concat_ws(":", "source", F.col("doc_id").cast("string")).alias("line"))
+    state = rows.groupBy("source").agg(F.expr("percentile_disc(0.5) within group (order by doc_id)").cast("bigint").alias("at")).select("source", F.concat_ws(":", "source", F.col("at").cast("string")).alias("line"))
+    return aggregates.after_marker(rows, "source", "doc_id", "line", state).select("doc_id")
+
+
+# ---- text functions -----------------------------------------------------------------------------
+
+
+@query("SELECT doc_id, CASE WHEN length(p) = 100 THEN p || '...' ELSE p END AS preview FROM (SELECT doc_id, substr(split_part(text, chr(10), 1), 1, 100) AS p FROM documents)")
+def preview_line(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", S.preview("text", 100, True).alias("preview"))
+
+
+@query(rf"SELECT doc_id, {WORDS.format('text')}::BIGINT AS words, len(string_split(text, ' '))::BIGINT AS pieces, length(text) AS chars FROM documents")
+def text_counts(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", S.word_count("text").cast("bigint").alias("words"), S.space_count("text").cast("bigint").alias("pieces"), F.length("text").cast("bigint").alias("chars"))
+
+
+@query("SELECT doc_id, md5(text) AS h, lower(source) = lower(upper(source)) AS same, split_part(text, ' ', 1) AS first, string_split(text, ' ')[-1] AS last, replace(text, '|', '/') AS swapped, starts_with(text, 'Th') AS th, regexp_replace(text, ' +', ' ', 'g') AS squeezed FROM documents")
+def text_functions(spark, sf_dir):
+    t = F.col("text")
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(t).alias("h"), S.same_text("source", F.upper("source")).alias("same"), S.first_part(t, " ").alias("first"), S.last_part(t, " ").alias("last"), F.replace(t, F.lit("|"), F.lit("/")).alias("swapped"), F.startswith(t, F.lit("Th")).alias("th"), S.squeeze_spaces(t).alias("squeezed"))
+
+
+@query("SELECT item_id, 'About ' || 'n' || item_id || ':' || chr(10) || ' * TSK 1 x' || chr(10) || ' * TSK 2 n' || item_id || chr(10) || '{' || length(text) || '}' AS prompt FROM benchmark")
+def template_projection(spark, sf_dir):
+    name = F.concat(F.lit("n"), F.col("item_id").cast("string"))
+    lines = S.numbered(F.array(F.lit("x"), name), " * TSK ", " ")
+    return table(spark, sf_dir, "benchmark").select("item_id", S.fill("About {name}:\n{lines}\n{{{size}}}", name=name, lines=lines, size=F.length("text")).alias("prompt"))
+
+
+@query("SELECT doc_id, list_sort(list_distinct(list_concat(['a', lang], [source, lang]))) AS united, list_filter(['en', 'de', 'fr', 'es'], lambda x: x <> lang) AS others FROM documents")
+def name_sets(spark, sf_dir):
+    both = F.array_union(F.array(F.lit("a"), F.col("lang")), F.array(F.col("source"), F.col("lang")))
+    return table(spark, sf_dir, "documents").select("doc_id", F.array_sort(both).alias("united"), F.array_except(F.array(*map(F.lit, ("en", "de", "fr", "es"))), F.array("lang")).alias("others"))
+
+
+@query("SELECT 'documents' AS origin, doc_id AS id, source AS label FROM documents UNION ALL SELECT 'labels', doc_id, NULL FROM labels")
+def union_inputs(spark, sf_dir):
+    a = table(spark, sf_dir, "documents").select(F.lit("documents").alias("origin"), F.col("doc_id").alias("id"), F.col("source").alias("label"))
+    b = table(spark, sf_dir, "labels").select(F.lit("labels").alias("origin"), F.col("doc_id").alias("id"))
+    return a.unionByName(b, allowMissingColumns=True)
+
+
+@query("SELECT d.doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.quality = 0)")
+def purged_exclusion(spark, sf_dir):
+    purged = table(spark, sf_dir, "labels").where("quality = 0").select("doc_id")
+    return table(spark, sf_dir, "documents").join(purged, "doc_id", "left_anti").select("doc_id")
+
+
+# ---- relational and event-time extras (not features of the behaviour to match) ------------------
+
+
+@query("""
+SELECT n_name, o_orderpriority, count(*) AS n, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE l_shipdate >= TIMESTAMP '1995-01-01' GROUP BY ROLLUP (n_name, o_orderpriority)
+""")
+def extra_rollup(spark, sf_dir):
+    line, orders, customer, nation = (table(spark, sf_dir, t) for t in ("lineitem", "orders", "customer", "nation"))
+    rows = line.where(F.col("l_shipdate") >= F.lit("1995-01-01").cast("timestamp")).join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(customer, F.col("o_custkey") == F.col("c_custkey")).join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    return rows.rollup("n_name", "o_orderpriority").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"))
+
+
+@query("SELECT event_type, epoch(date_trunc('hour', ts))::BIGINT AS hour, count(*) AS n FROM events GROUP BY ALL")
+def extra_event_windows(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").groupBy("event_type", F.window("ts", "1 hour").alias("w")).agg(F.count(F.lit(1)).alias("n"))
+    return rows.select("event_type", F.unix_timestamp("w.start").alias("hour"), "n")
