@@ -1,5 +1,44 @@
-"""DuckDB SQL for the queries that SQL can express."""
+"""DuckDB SQL for the queries that SQL can express.
+
+The media bytes, templates, draws, models, edit distances and trie scores of the other queries have
+no SQL form; their tests hold them against plain versions, round trips and held-out rows.
+"""
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+from .sharding import TABLE_SIZE, fill_table
+
+
+def _shard_sql() -> str:
+    from .queries import SHARDS
+
+    table = ",".join(str(i) for i in fill_table(SHARDS))
+    names = ",".join(f"'{s}'" for s in SHARDS)
+    return f"""
+WITH t AS (SELECT [{table}] AS slots, [{names}] AS names),
+p AS (SELECT doc_id, source, n_chars, (('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT % {TABLE_SIZE})::INTEGER AS slot FROM documents)
+SELECT p.doc_id, p.source, p.n_chars, p.slot, t.names[t.slots[p.slot + 1] + 1] AS shard FROM p, t
+"""
+
+
+ORACLES: dict[str, str] = {
+    "op1_warc_captures": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+d AS (SELECT page_id, strlen(body)::BIGINT AS n, sha1(body) AS digest FROM p),
+l AS (SELECT digest, max(page_id) AS lead FROM d WHERE n >= 1000 GROUP BY 1),
+r AS (SELECT d.*, CASE WHEN n >= 1000 AND lead <> page_id THEN lead END AS refers_to FROM d LEFT JOIN l USING (digest))
+SELECT page_id, n AS payload_bytes, digest AS payload_digest, CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to, true AS has_request FROM r
+""",
+    "op5_near_duplicates": r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 1 THEN w WHEN len(w) = 0 THEN [] ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END)) AS s FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(id, root) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.id),
+c AS (SELECT id, min(root) AS component_id FROM r GROUP BY 1)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id, c.component_id = d.doc_id AS kept FROM documents d LEFT JOIN n USING (doc_id) JOIN c ON c.id = d.doc_id
+""",
+    "op6_shard_placement": _shard_sql(),
+}
