@@ -54,6 +54,45 @@ def _count(batches, limit: int = 400_000):
     yield from flush()
 
 
+def _count_grams(longest: int, limit: int = 400_000):
+    """(lang, gram, n) of the batches' counted words."""
+
+    def run(batches):
+        held: dict[str, dict[str, int]] = {}
+
+        def flush():
+            for lang, counts in held.items():
+                grams, ns = list(counts), list(counts.values())
+                for i in range(0, len(grams), 50_000):
+                    part = grams[i : i + 50_000]
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part), pa.string()), pa.array(part, pa.string()), pa.array(ns[i : i + 50_000], pa.int64())], names=["lang", "gram", "n"])
+            held.clear()
+
+        for batch in batches:
+            for lang, word, n in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                counts = held.setdefault(lang, {})
+                for size in range(1, longest + 1):
+                    for g in grams_of(word, size):
+                        counts[g] = counts.get(g, 0) + n
+            if sum(map(len, held.values())) > limit:
+                yield from flush()
+        yield from flush()
+
+    return run
+
+
+def _top(table: DataFrame, unit: str, most: int, *by: str):
+    """Rows of the ``most`` frequent units of each language (and ``by``), ties to the smaller unit.
+
+    A first cut in hashed parts keeps a common language from being ranked in one task.
+    """
+    order = [F.desc("n"), F.col(unit)]
+    parts = Window.partitionBy("lang", *by, F.pmod(F.hash(unit), F.lit(64))).orderBy(*order)
+    first = table.withColumn("rank", F.row_number().over(parts)).where(F.col("rank") <= most)
+    last = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang", *by).orderBy(*order)))
+    return last.where(F.col("rank") <= most).select("lang", unit, "n").collect()
+
+
 def train(df: DataFrame, text: str, lang: str, max_words: int = 30_000, max_grams: int = 30_000, longest: int = 5, max_langs: int = 500) -> dict:
     """Model of the rows whose text and language are not null: plain lists, at most ``max_langs``
     times ``max_words + longest * max_grams`` entries.  More languages raise an error.  Ties go to
@@ -61,26 +100,20 @@ def train(df: DataFrame, text: str, lang: str, max_words: int = 30_000, max_gram
     labelled = df.select(df[lang].cast("string").alias("lang"), df[text].alias("text")).where("lang is not null and text is not null")
     counted = labelled.mapInArrow(_count, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     counted = stage(counted, "langid-words")
-    totals = {r["lang"]: (r["n"], r["kinds"]) for r in counted.groupBy("lang").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")).limit(max_langs + 1).collect()}
-    if len(totals) > max_langs:
+    sums = counted.groupBy("lang").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")).limit(max_langs + 1).collect()
+    if len(sums) > max_langs:
         raise ValueError(f"more than {max_langs} languages")
-    model: dict = {"langs": sorted(totals), "words": [], "grams": {}, "totals": totals, "longest": longest}
-
-    def top(table: DataFrame, unit: str, most: int):
-        # a salted first cut keeps a common language from being ranked in one task
-        salt = F.pmod(F.hash(unit), F.lit(64))
-        first = table.withColumn("rank", F.row_number().over(Window.partitionBy("lang", salt).orderBy(F.desc("n"), unit))).where(F.col("rank") <= most)
-        return [(r["lang"], r[unit], r["n"]) for r in first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), unit))).where(F.col("rank") <= most).select("lang", unit, "n").collect()]
-
-    model["words"] = top(counted, "word", max_words)
-    padded = F.concat(F.lit(" "), "word", F.lit(" "))
-    for n in range(1, longest + 1):
-        shown = F.col("word") if n == 1 else padded
-        pieces = F.transform(F.sequence(F.lit(1), F.length(shown) - n + 1), lambda i: F.substring(shown, i, F.lit(n)))  # noqa: B023
-        grams = counted.where(F.length(shown) >= n).select("lang", "n", F.explode(pieces).alias("gram")).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-        sums = {r["lang"]: (r["n"], r["kinds"]) for r in grams.groupBy("lang").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")).collect()}
-        model["grams"][n] = (top(grams, "gram", max_grams), sums)
-    return model
+    totals = {r["lang"]: (r["n"], r["kinds"]) for r in sums}
+    grams = counted.mapInArrow(_count_grams(longest), "lang string, gram string, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    grams = stage(grams.withColumn("size", F.length("gram")), "langid-grams")
+    per_size: dict[int, dict] = {n: {} for n in range(1, longest + 1)}
+    for r in grams.groupBy("lang", "size").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")).collect():
+        per_size[r["size"]][r["lang"]] = (r["n"], r["kinds"])
+    kept: dict[int, list] = {n: [] for n in per_size}
+    for r in _top(grams, "gram", max_grams, "size"):
+        kept[len(r["gram"])].append((r["lang"], r["gram"], r["n"]))
+    words = [(r["lang"], r["word"], r["n"]) for r in _top(counted, "word", max_words)]
+    return {"langs": sorted(totals), "words": words, "grams": {n: (kept[n], per_size[n]) for n in per_size}, "totals": totals, "longest": longest}
 
 
 def _tables(model: dict, alpha: float = 0.5):
@@ -98,6 +131,7 @@ def _tables(model: dict, alpha: float = 0.5):
 
 
 def word_scores(word: str, words: dict, grams: dict, longest: int, langs: int) -> np.ndarray:
+    """Scores of one word, the plain way."""
     if word in words:
         return words[word]
     for n in range(longest, 0, -1):
@@ -108,49 +142,100 @@ def word_scores(word: str, words: dict, grams: dict, longest: int, langs: int) -
 
 
 class _Scored:
-    """Scores of the words met so far, one row each; forgotten when ``cells`` numbers are held."""
+    """Scores of the words met so far, one row each; forgotten when ``cells`` numbers are held.
 
-    def __init__(self, model: dict, cells: int = 12_000_000):
+    Rows of the model's words come first; unseen words of a batch are scored together.
+    """
+
+    def __init__(self, model: dict, cells: int = 2_400_000):
         self.langs, self.longest = model["langs"], model["longest"]
-        self.words, self.grams = _tables(model)
+        words, grams = _tables(model)
         self.most = max(10_000, cells // max(1, len(self.langs)))
-        self.at: dict[str, int] = {}
-        self.rows = np.zeros((1024, len(self.langs)))
-
-    def __missing(self, found: list[str]) -> None:
-        for w in found:
-            if w not in self.at:
-                i = self.at[w] = len(self.at)
-                if i == len(self.rows):
-                    self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-                self.rows[i] = word_scores(w, self.words, self.grams, self.longest, len(self.langs))
-
-    def total(self, found: list[str]) -> np.ndarray:
-        if len(self.at) > self.most:
-            self.at.clear()
+        self.model = {w: i for i, w in enumerate(words)}
+        self.first = np.array(list(words.values())).reshape(len(words), len(self.langs))
+        self.gram: list[dict[str, int]] = [{}]
+        rows: list[np.ndarray] = []
+        for n in range(1, self.longest + 1):
+            self.gram.append({g: len(rows) + i for i, g in enumerate(grams[n])})
+            rows += list(grams[n].values())
+        self.gram_rows = np.array(rows).reshape(len(rows), len(self.langs))
+        self.at, self.rows, self.used = dict(self.model), self.first.copy(), len(self.first)
+
+    def learn(self, new: list[str]) -> None:
+        """Rows for distinct words that have none."""
+        ids: list[int] = []
+        sizes: list[int] = []
+        for w in new:
+            found: list[int] = []
+            for n in range(self.longest, 0, -1):
+                table = self.gram[n]
+                found = [table[g] for g in grams_of(w, n) if g in table]
+                if found:
+                    break
+            ids += found
+            sizes.append(len(found))
+        made = np.zeros((len(new), len(self.langs)))
+        size = np.array(sizes, np.int64)
+        some = size > 0
+        if some.any():
+            starts = (np.cumsum(size) - size)[some]
+            made[some] = np.add.reduceat(self.gram_rows[ids], starts, axis=0) / size[some, None]
+        if self.used + len(new) > len(self.rows):
+            grown = np.zeros((max(2 * len(self.rows), self.used + len(new)), len(self.langs)))
+            grown[: self.used] = self.rows[: self.used]
+            self.rows = grown
+        self.rows[self.used : self.used + len(new)] = made
+        self.at.update(zip(new, range(self.used, self.used + len(new)), strict=True))
+        self.used += len(new)
+
+    def totals(self, texts: list[list[str]]) -> np.ndarray:
+        """Sums of the scores of each text's words; no text is without words."""
+        every = [w for t in texts for w in t]
+        at = self.at
         try:
-            ids = [self.at[w] for w in found]
+            ids = np.array([at[w] for w in every], np.int64)
         except KeyError:
-            self.__missing(found)
-            ids = [self.at[w] for w in found]
-        return self.rows[ids].sum(axis=0)
-
-
-def _predict(model, outputs: list[str]):
+            different = list(dict.fromkeys(every))
+            if self.used > len(self.first) + self.most:
+                self.at, self.used = dict(self.model), len(self.first)
+                self.rows = self.first.copy()
+            self.learn([w for w in different if w not in self.at])
+            at = self.at
+            ids = np.array([at[w] for w in every], np.int64)
+        sizes = np.array([len(t) for t in texts])
+        return np.add.reduceat(self.rows[ids], np.cumsum(sizes) - sizes, axis=0)
+
+
+def _predict(model, outputs: list[str], words: int = 60_000):
     def run(batches):
         scored = _Scored(model.value)
         for batch in batches:
-            names, scores = [], []
-            for text in batch.column(batch.num_columns - 1):
+            names, scores = [UNKNOWN] * batch.num_rows, [0.0] * batch.num_rows
+            held: list[list[str]] = []
+            where: list[int] = []
+
+            def settle(names=names, scores=scores, held=held, where=where):
+                if held:
+                    totals = scored.totals(held)
+                    best = totals.argmax(axis=1)
+                    even = np.sqrt([len(t) for t in held])[:, None]
+                    share = 1.0 / np.exp(np.clip((totals - totals.max(axis=1, keepdims=True)) / even, -700, 0)).sum(axis=1)
+                    for i, b, x in zip(where, best.tolist(), share.tolist(), strict=True):
+                        names[i], scores[i] = scored.langs[b], x
+                held.clear()
+                where.clear()
+
+            size = 0
+            for i, text in enumerate(batch.column(batch.num_columns - 1)):
                 found = words_of(text.as_py() or "") if scored.langs else []
-                if not found:
-                    names.append(UNKNOWN)
-                    scores.append(0.0)
-                    continue
-                total = scored.total(found)
-                best = int(np.argmax(total))
-                names.append(scored.langs[best])
-                scores.append(1.0 / float(np.sum(np.exp(np.clip((total - total[best]) / math.sqrt(len(found)), -700, 0)))))
+                if found:
+                    held.append(found)
+                    where.append(i)
+                    size += len(found)
+                    if size > words:
+                        settle()
+                        size = 0
+            settle()
             arrays = [batch.column(i) for i in range(batch.num_columns - 1)] + [pa.array(names, pa.string()), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays(arrays, names=batch.schema.names[:-1] + outputs)
 
