@@ -20,6 +20,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .workspace import fresh, stage
 
@@ -88,7 +89,7 @@ def _tokens():
     return run
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _without(text: pd.Series, numbers: pd.Series) -> pd.Series:
     def one(t, gone):
         if t is None or gone is None:

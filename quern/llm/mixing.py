@@ -23,6 +23,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from .workspace import fresh, stage
@@ -81,7 +82,7 @@ def permute(k: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
     return out.astype(np.int64)
 
 
-@F.pandas_udf("bigint")
+@F.pandas_udf(T.LongType())
 def _permuted(k: pd.Series, n: pd.Series, key: pd.Series) -> pd.Series:
     return pd.Series(permute(k.to_numpy(), n.to_numpy(), key.to_numpy()))
 
@@ -207,7 +208,7 @@ def words_taken(sizes: DataFrame, pieces: DataFrame) -> DataFrame:
     return sizes.alias("s").join(total.alias("t"), k & r, "left").select("s.*", F.coalesce("t.taken", F.lit(0)).alias("taken"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _cut(text: pd.Series, first: pd.Series, words: pd.Series) -> pd.Series:
     import re
 
