@@ -22,7 +22,9 @@ def read_instructions(spark: SparkSession, paths, keep_corrupt: bool = False) ->
     A row without a category is ``general``.  Lines that are no JSON object are left out, or kept
     with their text in ``_corrupt``.
     """
-    rows = spark.read.schema(_with_corrupt(schemas.INSTRUCTION)).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(paths)
+    lines = spark.read.text(paths).where(F.trim("value") != "")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    rows = lines.select(F.from_json("value", _with_corrupt(schemas.INSTRUCTION), options).alias("r")).select("r.*")
     rows = rows.withColumn("category", F.coalesce("category", F.lit("general")))
     return rows if keep_corrupt else rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
