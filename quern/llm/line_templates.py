@@ -117,9 +117,12 @@ def recurring(df: DataFrame, key: str = "doc_id", text: str = "text", min_docs:
     votes = shown.select("leaf", "docs", F.posexplode("tokens").alias("at", "token")).where(F.col("at") >= depth)
     votes = votes.groupBy("leaf", "at", "token").agg(F.sum("docs").alias("docs"))
     most = votes.groupBy("leaf", "at").agg(F.max(F.struct("docs", "token")).alias("top"), F.sum("docs").alias("all"))
-    constant = most.where("2 * top.docs > all").groupBy("leaf").agg(F.map_from_entries(F.collect_list(F.struct("at", "top.token"))).alias("constant"))
-    placed = shown.join(constant, "leaf")
-    agree = F.size(F.filter(F.transform("tokens", lambda t, i: (i < depth) | (F.element_at("constant", i) == t)), lambda x: x))
+    # every position from ``depth`` on has one row here, so a leaf's rows in order are its template
+    token = F.when(F.col("top.docs") * 2 > F.col("all"), F.col("top.token"))
+    template = most.groupBy("leaf").agg(F.array_sort(F.collect_list(F.struct("at", token.alias("token")))).alias("template"))
+    placed = shown.join(template, "leaf")
+    rest = F.slice("tokens", depth + 1, F.greatest(F.size("tokens") - depth, F.lit(0)))
+    agree = depth + F.size(F.filter(F.zip_with(rest, F.col("template"), lambda t, x: t == x["token"]), lambda same: same))
     members = placed.where(agree >= similarity * F.size("tokens")).select("leaf", "line")
 
     members = stage(members, "lines-members")
