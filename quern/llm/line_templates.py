@@ -100,7 +100,7 @@ def _without(text: pd.Series, numbers: pd.Series) -> pd.Series:
     return pd.Series([one(t, n) for t, n in zip(text, numbers, strict=True)], dtype=object)
 
 
-def recurring(df: DataFrame, key: str = "doc_id", text: str = "text", min_docs: int = 5, depth: int = 3, similarity: float = 0.5, min_tokens: int = 4) -> DataFrame:
+def recurring(df: DataFrame, key: str = "doc_id", text: str = "text", min_docs: int = 5, depth: int = 2, similarity: float = 0.5, min_tokens: int = 4) -> DataFrame:
     """(key, digest, numbers): for each row that has any, the numbers (from 0) of its lines whose
     template occurs in at least ``min_docs`` rows. ``digest`` is ``xxhash64(text)``."""
     docs = df.select(df[key].alias("key"), F.xxhash64(df[text]).alias("digest"), df[text].alias("text")).where("text is not null")
