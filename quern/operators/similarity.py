@@ -16,6 +16,8 @@ from pyspark.sql.window import Window
 from ..storage import cut
 
 BLOCK = 1024
+#: Rows and columns of cells over which a group's pairs of blocks are dealt.
+GRID = 8
 
 
 def _packed(df: DataFrame, group: Column, key: str, vector: str, flag: Column, block: int) -> DataFrame:
@@ -41,8 +43,13 @@ def pairs_within(df: DataFrame, threshold: float, key: str, vector: str, group:
     ``flag``: only rows with equal flags are compared.  Null vectors and keys have no pairs.
     """
     packed = _packed(df, F.col(group).cast("string") if group else F.lit(""), key, vector, flag if flag is not None else F.lit(True), block)
-    left, right = packed.toDF("g", "left", "i"), packed.toDF("g2", "right", "j")
-    met = left.join(right, left["g"].eqNullSafe(right["g2"]) & (F.col("i") <= F.col("j"))).select("g", "left", "right")
+    # a block goes to a row of cells on the left and to a column on the right, so that a large
+    # group's pairs of blocks are worked on in GRID * GRID tasks
+    every, own = F.explode(F.sequence(F.lit(0), F.lit(GRID - 1))), F.pmod("block", F.lit(GRID))
+    left = packed.select("g", F.col("rows").alias("left"), F.col("block").alias("i"), own.alias("row"), every.alias("column"))
+    right = packed.select(F.col("g").alias("g2"), F.col("rows").alias("right"), F.col("block").alias("j"), every.alias("row2"), own.alias("column2"))
+    cell = (F.col("row") == F.col("row2")) & (F.col("column") == F.col("column2"))
+    met = left.join(right, left["g"].eqNullSafe(right["g2"]) & cell & (F.col("i") <= F.col("j"))).select("g", "left", "right")
 
     def run(batches):
         for batch in batches:
@@ -66,7 +73,7 @@ def nearest(probes: DataFrame, history: DataFrame, k: int, key: str, vector: str
     group = F.col(history_group).cast("string") if history_group else F.lit("")
     right = _packed(history, group, history_key, vector, F.lit(True), block).select("g", F.col("rows").alias("right"))
     # probes are a stated query set: each block of them meets each block of the history
-    met = left.withColumn("__one", F.lit(1)).join(right.withColumn("__one", F.lit(1)), "__one").select("g", "left", "right")
+    met = left.crossJoin(right).select("g", "left", "right")
 
     def run(batches):
         for batch in batches:
