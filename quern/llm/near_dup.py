@@ -4,7 +4,7 @@
 2. Signatures of ``BANDS * ROWS`` minima of the set of shingles' hashes; equal bands share a bucket.
 3. A bucket's centre is the member that has most company in all its buckets.  Every member is
    compared with the centre: a star, not all pairs of the bucket.
-4. Verification of a pair reads the signatures batch by batch.  After each batch the posterior
+4. Verification of a pair reads the signatures batch by batch (up to 512 minima).  After each batch the posterior
    probability (uniform prior) that the similarity reaches the threshold is bounded: a pair whose
    posterior is below ``MISS`` is pruned.  Survivors are verified on their full sets of shingles.
 5. Links give components.  Where a bucket still holds several, members outside its largest one are
@@ -30,19 +30,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .components import components
-from .workspace import stage
+from .workspace import small_batches, stage
 
 BANDS, ROWS, BATCH = 36, 5, 30
+#: Minima beyond the bands' that are kept as one byte each, to tell close pairs of a large group apart.
+TAIL = 332
 #: Chance with which a pair at the threshold may be pruned, each time a batch is read.
 MISS = 1e-6
 #: Members of a packed block of a bucket.
 BLOCK = 512
 #: Survivors of a member and a block that each round verifies; the last round verifies all.
-ROUNDS = (1, 4, None)
+ROUNDS = (2, None)
 
 _rng = np.random.default_rng(20240229)
-_XOR = _rng.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
-_MUL = _rng.integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_XOR = _rng.integers(0, 1 << 32, BANDS * ROWS + TAIL, dtype=np.uint32)
+_MUL = _rng.integers(0, 1 << 31, BANDS * ROWS + TAIL, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _BAND = _rng.integers(0, 1 << 62, ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -55,7 +57,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 class Shingler:
     """Sets of shingles as sorted 64-bit hashes. Words are split at ASCII white space, A-Z lower-cased."""
 
-    def __init__(self, width: int, most: int = 500_000):
+    def __init__(self, width: int, most: int = 150_000):
         import xxhash
 
         self.width, self.most, self.hash = width, most, xxhash.xxh3_64_intdigest
@@ -89,7 +91,7 @@ class Shingler:
 
 
 def signatures(sets: list[np.ndarray]) -> np.ndarray:
-    """One row of BANDS * ROWS minima for each set; sets are not empty."""
+    """One row of BANDS * ROWS + TAIL minima for each set; sets are not empty."""
     starts = np.cumsum([0] + [len(s) for s in sets[:-1]])
     h = (np.concatenate(sets) >> np.uint64(32)).astype(np.uint32)
     out = np.empty((len(_XOR), len(sets)), np.uint32)
@@ -102,12 +104,13 @@ def _sketch(width: int, hashes: int = 60_000):
     def run(batches):
         shingler = Shingler(width)
         for batch in batches:
-            keys, sizes, minima, sets, where, held = [], [], [None] * batch.num_rows, [], [], 0
+            keys, sizes, minima, tails, sets, where, held = [], [], [None] * batch.num_rows, [None] * batch.num_rows, [], [], 0
 
             def flush():
                 if sets:
                     for i, row in zip(where, signatures(sets), strict=True):  # noqa: B023
-                        minima[i] = row.tobytes()  # noqa: B023
+                        minima[i] = row[: BANDS * ROWS].tobytes()  # noqa: B023
+                        tails[i] = row[BANDS * ROWS :].astype(np.uint8).tobytes()  # noqa: B023
                 sets.clear()
                 where.clear()
 
@@ -124,7 +127,7 @@ def _sketch(width: int, hashes: int = 60_000):
                         flush()
                         held = 0
             flush()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(minima, pa.binary())], names=["id", "key", "n", "sig"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(minima, pa.binary()), pa.array(tails, pa.binary())], names=["id", "key", "n", "sig", "tail"])
 
     return run
 
@@ -223,7 +226,7 @@ def _best(left: np.ndarray, agree: np.ndarray, most: int) -> np.ndarray:
 
 def _residual(threshold: float, most: int | None):
     """Compare packed blocks: (bucket, mine: members outside the largest component, all)."""
-    least = least_matches(threshold, 8)
+    least = least_matches(threshold, 8, total=BANDS * ROWS + TAIL)
     far = 1 - threshold + 1e-9
 
     def unpack(items):
@@ -253,7 +256,7 @@ def _residual(threshold: float, most: int | None):
                         found_a.append(ids[left[top]])
                         found_b.append(ids2[right[top]])
                     elif len(left):
-                        same = (sig[left] == sig2[right]).reshape(len(left), BANDS, ROWS).all(axis=2)
+                        same = (sig[left, : BANDS * ROWS] == sig2[right, : BANDS * ROWS]).reshape(len(left), BANDS, ROWS).all(axis=2)
                         first = same.argmax(axis=1) == band
                         found_a.append(ids[left[first]])
                         found_b.append(ids2[right[first]])
@@ -283,7 +286,7 @@ def _open_pairs(shared: DataFrame, found: DataFrame, near: DataFrame, sig: DataF
     open_ = labelled.join(largest, "bucket").withColumn("a", F.least("id", "centre")).withColumn("b", F.greatest("id", "centre"))
     distance = near.select("a", "b", (1 - F.col("inter") / F.col("union")).alias("distance"))
     open_ = open_.join(distance, ["a", "b"], "left").join(sig, "id")
-    member = F.struct("id", "component", (F.col("component") != F.col("largest")).alias("outside"), F.when(F.col("id") == F.col("centre"), 0.0).otherwise(F.col("distance")).alias("distance"), _low_bytes("sig").alias("sig"))
+    member = F.struct("id", "component", (F.col("component") != F.col("largest")).alias("outside"), F.when(F.col("id") == F.col("centre"), 0.0).otherwise(F.col("distance")).alias("distance"), F.concat(_low_bytes("sig"), "tail").alias("sig"))
     open_ = stage(open_.select("bucket", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / BLOCK)).alias("block"), member.alias("member")), "near-open")
     all_ = open_.groupBy("bucket", "block").agg(F.collect_list("member").alias("all")).drop("block")
     mine = open_.where("member.outside").groupBy("bucket", "block").agg(F.collect_list("member").alias("mine")).drop("block")
@@ -311,10 +314,11 @@ def classes(df: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     one.  Nothing is capped, and no links, components or signatures are sent to the driver.
     """
     threshold = percent / 100
+    small_batches(df.sparkSession)
     docs = df.select(df[key].cast("bigint").alias("id"), df[text].alias("text"))
-    sketched = stage(docs.mapInArrow(_sketch(width), "id bigint, key binary, n bigint, sig binary"), "near-sketch")
+    sketched = stage(docs.mapInArrow(_sketch(width), "id bigint, key binary, n bigint, sig binary, tail binary"), "near-sketch")
     usable = sketched.where("id is not null and n > 0")
-    firsts = usable.groupBy("key").agg(F.min_by(F.struct("id", "sig"), "id").alias("x")).select("key", "x.id", "x.sig")
+    firsts = usable.groupBy("key").agg(F.min_by(F.struct("id", "sig", "tail"), "id").alias("x")).select("key", "x.id", "x.sig", "x.tail")
     firsts = stage(firsts, "near-firsts")
 
     rows = firsts.select("id", "sig").mapInArrow(_bands, "bucket bigint, id bigint")
@@ -341,7 +345,7 @@ def classes(df: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     # what the stars leave open: buckets that hold several components
     tried = near.select("a", "b")
     for most in ROUNDS:
-        pairs = stage(_open_pairs(shared, found, near, sig, threshold, most), "near-more")
+        pairs = stage(_open_pairs(shared, found, near, firsts.select("id", "sig", "tail"), threshold, most), "near-more")
         if pairs.isEmpty():
             break
         new = verified(pairs.distinct().join(tried, ["a", "b"], "left_anti"))

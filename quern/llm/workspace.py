@@ -37,6 +37,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, rows: int = 2000, size: int = 8_000_000) -> None:
+    """Bound the batches that Python workers get, unless the session bounds them more tightly."""
+    for name, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
+        name = f"spark.sql.execution.arrow.{name}"
+        now = str(spark.conf.get(name)).lower()
+        if not now.rstrip("b").isdigit() or not 0 < int(now.rstrip("b")) <= most:
+            spark.conf.set(name, str(most))
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder below the shared one (any store that Hadoop reaches)."""
     jvm = spark.sparkContext._jvm
