@@ -130,7 +130,7 @@ def mix(df: DataFrame, text: str = "text", source: str = "source", key: str = "d
     plans = [r.asDict() for r in targets.collect()]
     for p in plans:
         p["blocks"] = -(-p["source_size"] // block)
-        p["chunks"] = max(1, min(1 << 16, p["source_rows"] // 20_000 + 1))
+        p["chunks"] = max(1, min(1 << 16, p["source_rows"] // 2_000 + 1))
         p["seed"] = _seeded(seed, p["source"])
         p["slots"], p["cut"] = _slots(p, block)
     first = 0
@@ -138,10 +138,11 @@ def mix(df: DataFrame, text: str = "text", source: str = "source", key: str = "d
         p["first"], first = first, first + p["slots"]
     shape = "source string, source_size bigint, target double, rank int, source_rows bigint, blocks bigint, chunks bigint, seed bigint, slots bigint, cut bigint, first bigint"
     order = [f.split()[0] for f in shape.split(", ")]
-    dim = F.broadcast(spark.createDataFrame([tuple(p[c] for c in order) for p in plans], shape))  # MAX_SOURCES rows at most
+    dim = spark.createDataFrame([tuple(p[c] for c in order) for p in plans], shape)
 
     # Where each document starts in its source's stream: totals of chunks, then inside a chunk.
-    rows = sized.join(dim, sized["source"].eqNullSafe(dim["source"])).select(sized["key"], "digest", "size", "rank", "source_size", "target", F.pmod("digest", "chunks").alias("chunk"))
+    # The broadcast table has MAX_SOURCES rows at most; slots, which grow, are made from it without the hint.
+    rows = sized.join(F.broadcast(dim), sized["source"].eqNullSafe(dim["source"])).select(sized["key"], "digest", "size", "rank", "source_size", "target", F.pmod("digest", "chunks").alias("chunk"))
     per_chunk = rows.groupBy("rank", "chunk").agg(F.sum("size").alias("words"))
     before = per_chunk.select("rank", "chunk", (F.sum("words").over(Window.partitionBy("rank").orderBy("chunk")) - F.col("words")).alias("before"))
     inside = Window.partitionBy("rank", "chunk").orderBy("digest", "key")
