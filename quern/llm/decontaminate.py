@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .workspace import fresh
+from .workspace import fresh, small_batches
 
 #: Bytes of test items that go to the executors at once; more items are done block by block.
 BLOCK_BYTES = 16_000_000
@@ -170,6 +170,7 @@ def contaminated(df: DataFrame, text: Column, items: DataFrame, keep: list[Colum
     one pass over the texts.
     """
     spark = df.sparkSession
+    small_batches(spark)
     kept = df.select(*keep).columns
     hidden, prefix = fresh(kept, "__text", "__found")
     out = df.select(*keep, text.alias(hidden))

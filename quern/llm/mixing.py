@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .workspace import fresh, stage
+from .workspace import fresh, small_batches, stage
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows of a table of sources that one task makes targets from; more sources raise an error.
@@ -123,6 +123,7 @@ def mix(df: DataFrame, text: str = "text", source: str = "source", key: str = "d
     are ignored.  Reruns agree: order and draws depend on values and ``seed`` alone.
     """
     spark = df.sparkSession
+    small_batches(spark)
     digest = F.xxhash64(F.lit(seed), df[key], df[text])
     sized = df.select(df[key].alias("key"), df[source].cast("string").alias("source"), digest.alias("digest"), word_count(df[text]).alias("size"))
     sized = stage(sized, "mix-sizes")
@@ -209,17 +210,17 @@ def words_taken(sizes: DataFrame, pieces: DataFrame) -> DataFrame:
     return sizes.alias("s").join(total.alias("t"), k & r, "left").select("s.*", F.coalesce("t.taken", F.lit(0)).alias("taken"))
 
 
-@F.pandas_udf(T.StringType())
-def _cut(text: pd.Series, first: pd.Series, words: pd.Series) -> pd.Series:
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _cut(text: pd.Series, pieces: pd.Series) -> pd.Series:
     import re
 
     word = re.compile(r"[^\x20\x09-\x0D]+")
 
-    def one(t: str, a: int, n: int) -> str:
+    def one(t: str, parts) -> list[str]:
         found = [m.span() for m in word.finditer(t)]
-        return t[found[a][0] : found[a + n - 1][1]]
+        return [t[found[p["first"]][0] : found[p["first"] + p["words"] - 1][1]] for p in parts]
 
-    return pd.Series([one(t, a, n) for t, a, n in zip(text, first, words, strict=True)], dtype=object)
+    return pd.Series([one(t, p) for t, p in zip(text, pieces, strict=True)], dtype=object)
 
 
 def mixed_documents(df: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", n_chars: str = "n_chars", seed: int = 7, **how) -> DataFrame:
@@ -230,13 +231,15 @@ def mixed_documents(df: DataFrame, text: str = "text", source: str = "source", k
     without words are in no piece.
     """
     _, pieces = mix(df, text, source, key, seed=seed, **how)
-    k, d, f, n, row = fresh(df.columns, "__key", "__digest", "__first", "__words", "__row")
+    k, d, cuts, row = fresh(df.columns, "__key", "__digest", "__cuts", "__row")
     name = lambda c: F.coalesce(c.cast("string"), F.lit("\0"))
-    cut = pieces.select(name(F.col("key")).alias(k), F.col("digest").alias(d), F.col("first").cast("int").alias(f), F.col("words").cast("int").alias(n))
+    piece = F.struct(F.col("first").cast("int").alias("first"), F.col("words").cast("int").alias("words"))
+    # a document's pieces are gathered, not its text repeated; there are as many as its own blocks
+    cut = pieces.groupBy(name(F.col("key")).alias(k), F.col("digest").alias(d)).agg(F.collect_list(piece).alias(cuts))
     whole = df.select(name(df[key]).alias(k), F.xxhash64(F.lit(seed), df[key], df[text]).alias(d), F.struct(*[df[c] for c in df.columns]).alias(row))
     whole = whole.groupBy(k, d).agg(F.first(row).alias(row))
-    out = whole.join(cut, [k, d]).select(*[F.col(row)[c].alias(c) for c in df.columns], f, n)
-    out = out.withColumn(text, _cut(F.col(text), F.col(f), F.col(n)))
+    out = whole.join(cut, [k, d]).select(*[F.col(row)[c].alias(c) for c in df.columns], F.explode(_cut(F.col(row)[text], F.col(cuts))).alias(cuts))
+    out = out.withColumn(text, F.col(cuts))
     if n_chars in df.columns:
         out = out.withColumn(n_chars, F.length(text).cast(df.schema[n_chars].dataType))
     return out.select(*df.columns)
