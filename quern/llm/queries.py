@@ -18,7 +18,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     captures = warc.round_trip(table(spark, sf_dir, "pages"))
     page = F.regexp_extract(F.col("metadata")[0]["fields"], r"pageId: (-?\d+)", 1).cast("bigint")
-    full = F.when(F.col("kind") == "revisit", F.col("declared_bytes")).otherwise(F.octet_length("payload")) if "payload" in captures.columns else F.col("declared_bytes")
+    # a revisit holds no payload: its size and digest are those that its headers keep
+    full = F.when(F.col("kind") == "revisit", F.col("declared_bytes")).otherwise(F.col("payload_bytes"))
     digest = F.when(F.col("kind") == "revisit", F.regexp_replace("payload_digest", "^sha1:", "")).otherwise(F.col("payload_sha1"))
     rows = stage(captures.select("record_id", page.alias("page_id"), full.alias("payload_bytes"), digest.alias("payload_digest"), F.col("kind").alias("record_type"), "refers_to", F.col("request").isNotNull().alias("has_request")), "warc-captures")
     stored = rows.where("record_type = 'response'").select(F.col("record_id").alias("refers_to"), F.col("page_id").alias("refers_to_page"))

@@ -135,12 +135,13 @@ def _record_row(headers, block):
         "http": http,
         "declared_bytes": declared,
         "payload": payload,
+        "payload_bytes": len(payload),
         "payload_sha1": hashlib.sha1(payload).hexdigest(),
     }
 
 
-RECORD = "record_id string, kind string, uri string, date string, concurrent_to array<string>, refers_to string, payload_digest string, http string, declared_bytes bigint, payload binary, payload_sha1 string"
-_RECORD = pa.schema([("record_id", pa.string()), ("kind", pa.string()), ("uri", pa.string()), ("date", pa.string()), ("concurrent_to", pa.list_(pa.string())), ("refers_to", pa.string()), ("payload_digest", pa.string()), ("http", pa.string()), ("declared_bytes", pa.int64()), ("payload", pa.binary()), ("payload_sha1", pa.string())])
+RECORD = "record_id string, kind string, uri string, date string, concurrent_to array<string>, refers_to string, payload_digest string, http string, declared_bytes bigint, payload binary, payload_bytes bigint, payload_sha1 string"
+_RECORD = pa.schema([("record_id", pa.string()), ("kind", pa.string()), ("uri", pa.string()), ("date", pa.string()), ("concurrent_to", pa.list_(pa.string())), ("refers_to", pa.string()), ("payload_digest", pa.string()), ("http", pa.string()), ("declared_bytes", pa.int64()), ("payload", pa.binary()), ("payload_bytes", pa.int64()), ("payload_sha1", pa.string())])
 PRIMARY = ("response", "revisit", "resource", "conversion")
 
 
@@ -210,4 +211,4 @@ def round_trip(pages: DataFrame, **columns) -> DataFrame:
     spark = pages.sparkSession
     path = new_path(spark, "warc")
     write_archives(pages, path, **columns)
-    return assemble(spark, path, ["kind", "uri", "refers_to", "payload_digest", "declared_bytes", "payload_sha1"])
+    return assemble(spark, path, ["kind", "uri", "refers_to", "payload_digest", "declared_bytes", "payload_bytes", "payload_sha1"])
