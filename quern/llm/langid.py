@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .workspace import fresh, stage
+from .workspace import fresh, small_batches, stage
 
 #: Letters and the marks, in any script, that Python counts as word characters.
 _WORD = re.compile(r"[^\W\d_]+")
@@ -35,7 +35,7 @@ def grams_of(word: str, n: int) -> list[str]:
     return [padded[i : i + n] for i in range(len(padded) - n + 1)] if n > 1 else list(word)
 
 
-def _count(batches, limit: int = 400_000):
+def _count(batches, limit: int = 200_000):
     """(lang, word, n) of each batch's rows; counts are passed on when ``limit`` words are held."""
     held: dict[str, Counter] = {}
 
@@ -54,7 +54,7 @@ def _count(batches, limit: int = 400_000):
     yield from flush()
 
 
-def _count_grams(longest: int, limit: int = 400_000):
+def _count_grams(longest: int, limit: int = 200_000):
     """(lang, gram, n) of the batches' counted words."""
 
     def run(batches):
@@ -93,10 +93,11 @@ def _top(table: DataFrame, unit: str, most: int, *by: str):
     return last.where(F.col("rank") <= most).select("lang", unit, "n").collect()
 
 
-def train(df: DataFrame, text: str, lang: str, max_words: int = 30_000, max_grams: int = 30_000, longest: int = 5, max_langs: int = 500) -> dict:
+def train(df: DataFrame, text: str, lang: str, max_words: int = 20_000, max_grams: int = 20_000, longest: int = 5, max_langs: int = 500) -> dict:
     """Model of the rows whose text and language are not null: plain lists, at most ``max_langs``
     times ``max_words + longest * max_grams`` entries.  More languages raise an error.  Ties go to
     the smaller string, so reruns agree."""
+    small_batches(df.sparkSession)
     labelled = df.select(df[lang].cast("string").alias("lang"), df[text].alias("text")).where("lang is not null and text is not null")
     counted = labelled.mapInArrow(_count, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     counted = stage(counted, "langid-words")
@@ -130,6 +131,14 @@ def _tables(model: dict, alpha: float = 0.5):
     return table(model["words"], model["totals"]), {n: table(*x) for n, x in model["grams"].items()}
 
 
+def packed(model: dict) -> dict:
+    """The model as strings and matrices of scores, a fraction of the lists' memory in a worker."""
+    words, grams = _tables(model)
+    langs = len(model["langs"])
+    rows = lambda table: np.array(list(table.values()), np.float64).reshape(len(table), langs)
+    return {"langs": model["langs"], "longest": model["longest"], "words": list(words), "word_rows": rows(words), "grams": {n: list(t) for n, t in grams.items()}, "gram_rows": {n: rows(t) for n, t in grams.items()}}
+
+
 def word_scores(word: str, words: dict, grams: dict, longest: int, langs: int) -> np.ndarray:
     """Scores of one word, the plain way."""
     if word in words:
@@ -147,18 +156,18 @@ class _Scored:
     Rows of the model's words come first; unseen words of a batch are scored together.
     """
 
-    def __init__(self, model: dict, cells: int = 2_400_000):
+    def __init__(self, model: dict, cells: int = 600_000):
         self.langs, self.longest = model["langs"], model["longest"]
-        words, grams = _tables(model)
+        model = model if "word_rows" in model else packed(model)
         self.most = max(10_000, cells // max(1, len(self.langs)))
-        self.model = {w: i for i, w in enumerate(words)}
-        self.first = np.array(list(words.values())).reshape(len(words), len(self.langs))
+        self.model = {w: i for i, w in enumerate(model["words"])}
+        self.first = model["word_rows"]
         self.gram: list[dict[str, int]] = [{}]
-        rows: list[np.ndarray] = []
+        before = 0
         for n in range(1, self.longest + 1):
-            self.gram.append({g: len(rows) + i for i, g in enumerate(grams[n])})
-            rows += list(grams[n].values())
-        self.gram_rows = np.array(rows).reshape(len(rows), len(self.langs))
+            self.gram.append({g: before + i for i, g in enumerate(model["grams"][n])})
+            before += len(model["grams"][n])
+        self.gram_rows = np.concatenate([model["gram_rows"][n] for n in range(1, self.longest + 1)])
         self.at, self.rows, self.used = dict(self.model), self.first.copy(), len(self.first)
 
     def learn(self, new: list[str]) -> None:
@@ -250,9 +259,10 @@ def predict(df: DataFrame, text: Column, model: dict, keep: list[Column], pred:
     was learned.  Ties go to the smaller language code.  The score is the best language's share of
     the likelihoods, evened by the square root of the number of words.
     """
+    small_batches(df.sparkSession)
     kept = df.select(*keep).columns
     (hidden,) = fresh([*kept, pred, score], "__text")
     chosen = df.select(*keep, text.alias(hidden))
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1])
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = df.sparkSession.sparkContext.broadcast(packed(model))
     return chosen.mapInArrow(_predict(shared, [pred, score]), f"{types}, `{pred}` string, `{score}` double")
