@@ -162,7 +162,8 @@ def mix(df: DataFrame, text: str = "text", source: str = "source", key: str = "d
     slots = runs.select("rank", "blocks", "seed", "slots", "cut", "first", F.explode(F.sequence(F.col("run") * RUN, F.least(F.col("run") * RUN + RUN, "slots") - 1)).alias("k"))
     epoch = F.floor(F.col("k") / F.col("blocks"))
     slots = slots.select("rank", _permuted(F.pmod("k", "blocks"), F.col("blocks"), F.col("seed") + epoch).alias("block"), _permuted(F.col("first") + F.col("k"), F.lit(max(1, first)), F.lit(_seeded(seed, "deal"))).alias("slot"), F.when(F.col("k") == F.col("slots") - 1, F.col("cut")).otherwise(block).alias("limit"))
-    joined = segments.join(slots, ["rank", "block"])
+    # size estimates do not see that rows were multiplied, so the join's kind is named
+    joined = segments.join(slots.hint("merge"), ["rank", "block"])
     taken = F.least(F.col("words"), F.col("limit") - F.col("offset"))
     pieces = joined.select("key", "digest", "row", F.floor(F.col("slot") / per_shard).alias("shard"), F.pmod("slot", F.lit(per_shard)).alias("slot"), F.col("offset").alias("at"), "first", taken.alias("words")).where("words > 0")
     return placed.select("key", "row", "size", "source_size", "target"), pieces
