@@ -4,7 +4,7 @@
 2. Signatures of ``BANDS * ROWS`` minima of the set of shingles' hashes; equal bands share a bucket.
 3. A bucket's centre is the member that has most company in all its buckets.  Every member is
    compared with the centre: a star, not all pairs of the bucket.
-4. Verification of a pair reads the signatures batch by batch (up to 512 minima).  After each batch the posterior
+4. Verification of a pair reads the signatures batch by batch (up to 1024 minima).  After each batch the posterior
    probability (uniform prior) that the similarity reaches the threshold is bounded: a pair whose
    posterior is below ``MISS`` is pruned.  Survivors are verified on their full sets of shingles.
 5. Links give components.  Where a bucket still holds several, members outside its largest one are
@@ -34,7 +34,7 @@ from .workspace import small_batches, stage
 
 BANDS, ROWS, BATCH = 36, 5, 30
 #: Minima beyond the bands' that are kept as one byte each, to tell close pairs of a large group apart.
-TAIL = 332
+TAIL = 844
 #: Chance with which a pair at the threshold may be pruned, each time a batch is read.
 MISS = 1e-6
 #: Members of a packed block of a bucket.
