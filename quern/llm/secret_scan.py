@@ -97,9 +97,14 @@ def log_likelihood_ratio(token: Column, ratios: list[float], alphabet: str = ALP
     return F.aggregate(F.sequence(F.lit(1), F.length(token) - 1), F.lit(0.0), lambda acc, i: acc + F.get(table, code(i) * size + code(i + 1)))
 
 
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, as a lambda's variable."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _running(deltas: Column) -> Column:
     """Running totals of an array of numbers, in blocks: work for n items is n times the block
-    length plus the square of the number of blocks."""
+    length plus the square of the number of blocks. ``deltas`` is a variable, not an expression."""
     block = 64
     last = F.floor((F.size(deltas) - 1) / block).cast("int")
     part = lambda k: F.slice(deltas, k * block + 1, F.lit(block))
@@ -112,7 +117,7 @@ def _running(deltas: Column) -> Column:
     zero = F.lit(0).cast("bigint")
     sums = F.transform(F.sequence(F.lit(0), last), lambda k: F.aggregate(part(k), zero, lambda a, x: a + x))
     before = F.concat(F.array(zero), totals(sums, zero))
-    return F.flatten(F.transform(F.sequence(F.lit(0), last), lambda k: totals(part(k), F.get(before, k))))
+    return _bound(before, lambda b: F.flatten(F.transform(F.sequence(F.lit(0), last), lambda k: totals(part(k), F.get(b, k)))))
 
 
 def spans_of(text: Column, pattern: str, kind: str, keep) -> Column:
@@ -121,19 +126,20 @@ def spans_of(text: Column, pattern: str, kind: str, keep) -> Column:
     The text between matches comes from splitting at the same pattern; the running sum of both
     lengths gives the offsets.
     """
-    found, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
     number = KINDS.index(kind)
 
-    def located(matches: Column, between: Column) -> Column:
-        deltas = F.transform(matches, lambda m, i: (F.length(F.get(between, i)) + F.coalesce(F.length(F.get(matches, i - 1)), F.lit(0))).cast("bigint"))
-        starts = _running(deltas)
-        made = F.transform(matches, lambda m, i: F.struct(F.get(starts, i).alias("start"), F.lit(number).alias("kind"), (F.get(starts, i) + F.length(m)).alias("end"), m.alias("match")))
+    def located(m: Column, gaps: Column) -> Column:
+        deltas = F.zip_with(gaps, F.concat(F.array(F.lit(0)), F.transform(m, lambda x: F.length(x))), lambda g, n: (F.length(g) + n).cast("bigint"))
+        spans = lambda starts: F.zip_with(F.slice(starts, 1, F.size(m)), m, lambda s, x: F.struct(s.alias("start"), F.lit(number).alias("kind"), (s + F.length(x)).alias("end"), x.alias("match")))
+        made = _bound(deltas, lambda d: _bound(_running(d), spans))
         return F.transform(F.filter(made, lambda x: keep(x["match"])), lambda x: F.struct(x["start"], x["kind"], x["end"]))
 
-    return F.when(F.size(F.filter(found, keep)) > 0, located(found, gaps)).otherwise(F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>"))
+    none = F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")
+    one = lambda m: F.when(F.size(F.filter(m, keep)) > 0, _bound(F.split(text, pattern, -1), lambda gaps: located(m, gaps))).otherwise(none)
+    return _bound(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), one)
 
 
-def scan(df: DataFrame, text: str, ratios: list[float], threshold: float = 12.0, out: str = "secrets") -> DataFrame:
+def scan(df: DataFrame, text: str, ratios: list[float], threshold: float = 8.0, out: str = "secrets") -> DataFrame:
     """``df`` with an array column ``out`` of structs (start, kind, end), by start, then kind.
 
     ``kind`` is a position in ``KINDS``; ``markov`` spans are runs of 20 or more characters of the
