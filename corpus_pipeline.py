@@ -12,17 +12,16 @@ from pyspark.sql import functions as F
 from quern.llm import decontaminate, langid, mixing, near_dup, sharding
 from quern.llm.workspace import fresh, stage
 
-#: Least share of the likelihoods that the best language must have.
-LEAST_SCORE = 0.5
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents whose text is in one of the languages learned from the labelled documents."""
+    """Keeps documents that are given one of the languages learned from the labelled documents: all
+    but null texts and texts without a letter. A text in two languages has a low score and stays."""
     model = langid.train(docs, "text", "lang")
     pred, score = fresh(docs.columns, "__pred", "__score")
     found = langid.predict(docs, F.col("text"), model, [F.col(f"`{c}`") for c in docs.columns], pred, score)
-    return found.where((F.col(pred) != langid.UNKNOWN) & (F.col(score) >= LEAST_SCORE)).select(*docs.columns)
+    return found.where(F.col(pred) != langid.UNKNOWN).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
