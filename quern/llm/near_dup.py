@@ -12,7 +12,7 @@
    with the same batches and bounds and with the triangle inequality of exact distances to the
    centre.  Only survivors become rows.  They are verified in the same way, and components are
    joined up.  First each member's best survivors are verified, which joins most of a large group
-   of near copies; then all survivors of what is still apart, each pair in its first common band.
+   of near copies; then all survivors of what is still apart, each pair in its first common bucket.
 
 So every banded pair of different components is looked at, and pairs inside a component are not
 needed.  At similarity 0.8 the bands miss a pair with a chance of 6e-7.
@@ -132,14 +132,19 @@ def _sketch(width: int, hashes: int = 60_000):
     return run
 
 
+def _buckets(sigs: list[bytes]) -> np.ndarray:
+    """One row of BANDS buckets for each signature: a bucket's lowest six bits are its band."""
+    sig = np.frombuffer(b"".join(sigs), np.uint32).reshape(len(sigs), BANDS, ROWS).astype(np.uint64)
+    h = _mix((sig * _BAND).sum(axis=2, dtype=np.uint64)) & ~np.uint64(63)
+    return (h | np.arange(BANDS, dtype=np.uint64)).astype(np.int64)
+
+
 def _bands(batches):
-    """(bucket, id): the bucket's lowest six bits are its band."""
+    """(bucket, id) of each signature's buckets."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(batch.num_rows, BANDS, ROWS).astype(np.uint64)
-        h = _mix((sig * _BAND).sum(axis=2, dtype=np.uint64)) & ~np.uint64(63)
-        bucket = (h | np.arange(BANDS, dtype=np.uint64)).astype(np.int64)
+        bucket = _buckets(batch.column(1).to_pylist())
         ids = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), BANDS)
         yield pa.RecordBatch.from_arrays([pa.array(bucket.ravel()), pa.array(ids)], names=["bucket", "id"])
 
@@ -225,8 +230,13 @@ def _best(left: np.ndarray, agree: np.ndarray, most: int) -> np.ndarray:
 
 
 def _residual(threshold: float, most: int | None):
-    """Compare packed blocks: (bucket, mine: members outside the largest component, all)."""
-    least = least_matches(threshold, 8, total=BANDS * ROWS + TAIL)
+    """Compare packed blocks: (bucket, mine: members outside the largest component, all).
+
+    Where every survivor is wanted, members' packed bytes end in their buckets, by which a pair is
+    left to its first common one; minima of which one byte is kept agree by chance too often.
+    """
+    minima = BANDS * ROWS + TAIL
+    least = least_matches(threshold, 8, total=minima)
     far = 1 - threshold + 1e-9
 
     def unpack(items):
@@ -251,13 +261,13 @@ def _residual(threshold: float, most: int | None):
                     alive = _prune(left, right, sig, sig2, least)
                     left, right = left[alive], right[alive]
                     if len(left) and most is not None:
-                        agree = (sig[left] == sig2[right]).sum(axis=1, dtype=np.int32)
+                        agree = (sig[left, :minima] == sig2[right, :minima]).sum(axis=1, dtype=np.int32)
                         top = _best(left, agree, most)
                         found_a.append(ids[left[top]])
                         found_b.append(ids2[right[top]])
                     elif len(left):
-                        same = (sig[left, : BANDS * ROWS] == sig2[right, : BANDS * ROWS]).reshape(len(left), BANDS, ROWS).all(axis=2)
-                        first = same.argmax(axis=1) == band
+                        buckets, buckets2 = (np.ascontiguousarray(x[:, minima:]).view(np.int64) for x in (sig, sig2))
+                        first = (buckets[left] == buckets2[right]).argmax(axis=1) == band
                         found_a.append(ids[left[first]])
                         found_b.append(ids2[right[first]])
             if found_a:
@@ -272,6 +282,11 @@ def _low_bytes(sig):
     return sig.map(lambda s: np.frombuffer(s, np.uint32).astype(np.uint8).tobytes())
 
 
+@F.pandas_udf(T.BinaryType())
+def _bucket_bytes(sig):
+    return sig.map(lambda s: _buckets([s]).tobytes())
+
+
 PAIR = "a bigint, b bigint"
 
 
@@ -286,7 +301,8 @@ def _open_pairs(shared: DataFrame, found: DataFrame, near: DataFrame, sig: DataF
     open_ = labelled.join(largest, "bucket").withColumn("a", F.least("id", "centre")).withColumn("b", F.greatest("id", "centre"))
     distance = near.select("a", "b", (1 - F.col("inter") / F.col("union")).alias("distance"))
     open_ = open_.join(distance, ["a", "b"], "left").join(sig, "id")
-    member = F.struct("id", "component", (F.col("component") != F.col("largest")).alias("outside"), F.when(F.col("id") == F.col("centre"), 0.0).otherwise(F.col("distance")).alias("distance"), F.concat(_low_bytes("sig"), "tail").alias("sig"))
+    packed = [_low_bytes("sig"), F.col("tail")] + ([_bucket_bytes("sig")] if most is None else [])
+    member = F.struct("id", "component", (F.col("component") != F.col("largest")).alias("outside"), F.when(F.col("id") == F.col("centre"), 0.0).otherwise(F.col("distance")).alias("distance"), F.concat(*packed).alias("sig"))
     open_ = stage(open_.select("bucket", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / BLOCK)).alias("block"), member.alias("member")), "near-open")
     all_ = open_.groupBy("bucket", "block").agg(F.collect_list("member").alias("all")).drop("block")
     mine = open_.where("member.outside").groupBy("bucket", "block").agg(F.collect_list("member").alias("mine")).drop("block")

@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 from quern.llm import near_dup as N
 from quern.llm.components import components
 
@@ -58,6 +60,22 @@ def test_blocks_of_a_hot_bucket(spark, monkeypatch):
     assert got == brute(rows, 2)
 
 
+def test_last_round_takes_the_first_common_bucket(spark):
+    # bands 0 and 2 agree in the low bytes only: the first common bucket is band 1's
+    one = np.arange(N.BANDS * N.ROWS, dtype=np.uint32)
+    two = one.copy()
+    two[[0, 2 * N.ROWS + 1]] += 256
+    tail = bytes(N.TAIL)
+    sig = spark.createDataFrame([(1, one.tobytes(), tail), (2, two.tobytes(), tail)], "id bigint, sig binary, tail binary")
+    rows = [(int(b), i, 2, 1) for i, s in ((1, one), (2, two)) for b in N._buckets([s.tobytes()])[0]]
+    held = {b for b, i, *_ in rows if i == 1} & {b for b, i, *_ in rows if i == 2}
+    shared = spark.createDataFrame([r for r in rows if r[0] in held], "bucket bigint, id bigint, n bigint, centre bigint")
+    found = spark.createDataFrame([], "id bigint, component bigint")
+    near = spark.createDataFrame([], "a bigint, b bigint, inter bigint, union bigint")
+    got = [tuple(r) for r in N._open_pairs(shared, found, near, sig, 0.8, None).collect()]
+    assert len(held) == N.BANDS - 2 and got == [(1, 2)]
+
+
 def test_edges(spark):
     df = clashing(docs(spark), "id", "key", "n", "bucket", "a", "b", "component")
     got = N.classes(df).collect()
