@@ -4,7 +4,7 @@ A line's way through the tree has a fixed depth: its number of tokens, then its
 a token that holds a digit counts as a variable field.  Lines that end in one leaf share a template:
 at each further position the token that most of the leaf's documents have there stays, other
 positions become variable fields.  A line belongs to its leaf's template if it agrees with enough of
-it, else it is a template of its own (with digits as variable fields).  Templates that occur in
+it after the leading tokens (``similarity``, and one token that is no field at least), else it is a template of its own (with digits as variable fields).  Templates that occur in
 ``min_docs`` documents are dropped from all of them.
 
 Templates are found from counts alone - no order of arrival, no group in one task: equal lines are
@@ -68,11 +68,18 @@ def _addresses(depth: int, min_tokens: int):
     return run
 
 
-def _tokens():
-    """(leaf, line, docs, tokens) of the lines that a row stands for; tokens as 32-bit hashes."""
+def _token(token: str) -> int:
     import xxhash
 
-    hash32 = xxhash.xxh32_intdigest
+    return xxhash.xxh32_intdigest(token.encode("utf-8", "surrogatepass")) - (1 << 31)
+
+
+def _field():
+    return F.lit(_token(FIELD))
+
+
+def _tokens():
+    """(leaf, line, docs, tokens) of the lines that a row stands for; tokens as 32-bit hashes."""
 
     def run(batches):
         for batch in batches:
@@ -83,7 +90,7 @@ def _tokens():
                     leaf.append(w["leaf"])
                     line.append(w["line"])
                     docs.append(w["docs"])
-                    tokens.append([hash32(t.encode("utf-8", "surrogatepass")) - (1 << 31) for t in masked(lines[w["number"]])])
+                    tokens.append([_token(t) for t in masked(lines[w["number"]])])
             yield pa.RecordBatch.from_arrays([pa.array(leaf, pa.int64()), pa.array(line, pa.int64()), pa.array(docs, pa.int64()), pa.array(tokens, pa.list_(pa.int32()))], names=["leaf", "line", "docs", "tokens"])
 
     return run
@@ -100,7 +107,7 @@ def _without(text: pd.Series, numbers: pd.Series) -> pd.Series:
     return pd.Series([one(t, n) for t, n in zip(text, numbers, strict=True)], dtype=object)
 
 
-def recurring(df: DataFrame, key: str = "doc_id", text: str = "text", min_docs: int = 5, depth: int = 2, similarity: float = 0.5, min_tokens: int = 4) -> DataFrame:
+def recurring(df: DataFrame, key: str = "doc_id", text: str = "text", min_docs: int = 5, depth: int = 2, similarity: float = 0.6, min_tokens: int = 4) -> DataFrame:
     """(key, digest, numbers): for each row that has any, the numbers (from 0) of its lines whose
     template occurs in at least ``min_docs`` rows. ``digest`` is ``xxhash64(text)``."""
     docs = df.select(df[key].alias("key"), F.xxhash64(df[text]).alias("digest"), df[text].alias("text")).where("text is not null")
@@ -122,8 +129,10 @@ def recurring(df: DataFrame, key: str = "doc_id", text: str = "text", min_docs:
     template = most.groupBy("leaf").agg(F.array_sort(F.collect_list(F.struct("at", token.alias("token")))).alias("template"))
     placed = shown.join(template, "leaf")
     rest = F.slice("tokens", depth + 1, F.greatest(F.size("tokens") - depth, F.lit(0)))
-    agree = depth + F.size(F.filter(F.zip_with(rest, F.col("template"), lambda t, x: t == x["token"]), lambda same: same))
-    members = placed.where(agree >= similarity * F.size("tokens")).select("leaf", "line")
+    kept = F.filter(F.zip_with(rest, F.col("template"), lambda t, x: F.when(t == x["token"], t)), lambda t: t.isNotNull())
+    # leading tokens are common to the leaf and tell nothing; nor do fields alone
+    agree = (F.size(kept) >= similarity * F.size(rest)) & F.exists(kept, lambda t: t != _field())
+    members = placed.where(agree).select("leaf", "line")
 
     members = stage(members, "lines-members")
     counted = lines.join(members, ["leaf", "line"]).select("leaf", "key", "digest").distinct().groupBy("leaf").count().where(F.col("count") >= min_docs).select("leaf")

@@ -26,6 +26,13 @@ def test_rare_lines_stay(spark):
     assert all(n == 0 for _, n in got.values()) and got[0][0] == texts[0]
 
 
+def test_leading_tokens_alone_are_no_template(spark):
+    ends = "a it.|heing is.|onenly. was|thth es|7 anor.|8 ndned.".split("|")
+    texts = [f"From ou {e}\nOf that {i} then {e}" for i, e in enumerate(ends)]
+    got = _run(docs(spark, _rows(texts)), min_docs=5)
+    assert all(n == 0 for _, n in got.values())
+
+
 def test_copies_inside_a_document_count_once_and_all_go(spark):
     line = "this line is said again"
     got = _run(docs(spark, _rows([f"{line}\nx\n{line}", line, f"\n\n{line}\n"])), min_docs=3)
