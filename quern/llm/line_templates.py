@@ -5,7 +5,7 @@ a token that holds a digit counts as a variable field.  Lines that end in one le
 at each further position the token that most of the leaf's documents have there stays, other
 positions become variable fields.  A line belongs to its leaf's template if it agrees with enough of
 it after the leading tokens (``similarity``, and one token that is no field at least), else it is a template of its own (with digits as variable fields).  Templates that occur in
-``min_docs`` documents are dropped from all of them.
+``min_docs`` documents are dropped from all of them, long ones from ``long_docs`` documents on.
 
 Templates are found from counts alone - no order of arrival, no group in one task: equal lines are
 added up first, and only leaves with several different lines are looked at token by token, one
@@ -37,29 +37,36 @@ def _signed(h: int) -> int:
     return h - (1 << 64) if h >= 1 << 63 else h
 
 
-def _addresses(depth: int, min_tokens: int):
-    """(key, digest, leaf, line, numbers) of each different masked line of each row."""
+def _addresses(depth: int, min_tokens: int, min_docs: int, long_tokens: int, long_docs: int):
+    """(key, digest, leaf, line, least, numbers) of each different masked line of each row; ``least``
+    is the number of documents from which on its line or template recurs. Lines of fewer than
+    ``min_tokens`` tokens are not masked and have a leaf of their own."""
     import xxhash
 
     hash64 = xxhash.xxh3_64_intdigest
 
     def run(batches, most: int = 100_000):
-        names = ["key", "digest", "leaf", "line", "numbers"]
-        types = [None, pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
+        names = ["key", "digest", "leaf", "line", "least", "numbers"]
+        types = [None, pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int32())]
         for batch in batches:
             types[0] = batch.column(0).type
             rows: list[tuple] = []
             for i, text in enumerate(batch.column(2)):
                 if not text.is_valid:
                     continue
-                lines: dict[tuple[int, int], list[int]] = {}
+                lines: dict[tuple[int, int, int], list[int]] = {}
                 for number, line in enumerate(text.as_py().split("\n")):
                     tokens = masked(line)
-                    if len(tokens) >= min_tokens:
-                        leaf = _signed(hash64(" ".join([str(len(tokens)), *tokens[:depth]]).encode("utf-8", "surrogatepass")))
-                        lines.setdefault((leaf, _signed(hash64(" ".join(tokens).encode("utf-8", "surrogatepass")))), []).append(number)
+                    if not tokens:
+                        continue
+                    short = len(tokens) < min_tokens
+                    leading = ["short", *line.split()] if short else [str(len(tokens)), *tokens[:depth]]
+                    leaf = _signed(hash64(" ".join(leading).encode("utf-8", "surrogatepass")))
+                    whole = leaf if short else _signed(hash64(" ".join(tokens).encode("utf-8", "surrogatepass")))
+                    least = min(min_docs, long_docs) if len(tokens) >= long_tokens else min_docs
+                    lines.setdefault((leaf, whole, least), []).append(number)
                 key, digest = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
-                rows += [(key, digest, leaf, line, numbers) for (leaf, line), numbers in lines.items()]
+                rows += [(key, digest, *address, numbers) for address, numbers in lines.items()]
                 if len(rows) > most:
                     yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate(types)], names=names)
                     rows = []
@@ -107,15 +114,16 @@ def _without(text: pd.Series, numbers: pd.Series) -> pd.Series:
     return pd.Series([one(t, n) for t, n in zip(text, numbers, strict=True)], dtype=object)
 
 
-def recurring(df: DataFrame, key: str = "doc_id", text: str = "text", min_docs: int = 5, depth: int = 2, similarity: float = 0.6, min_tokens: int = 4) -> DataFrame:
+def recurring(df: DataFrame, key: str = "doc_id", text: str = "text", min_docs: int = 5, depth: int = 2, similarity: float = 0.6, min_tokens: int = 4, long_tokens: int = 50, long_docs: int = 2) -> DataFrame:
     """(key, digest, numbers): for each row that has any, the numbers (from 0) of its lines whose
-    template occurs in at least ``min_docs`` rows. ``digest`` is ``xxhash64(text)``."""
+    template occurs in at least ``min_docs`` rows, ``long_docs`` for lines of ``long_tokens`` tokens
+    or more. ``digest`` is ``xxhash64(text)``."""
     docs = df.select(df[key].alias("key"), F.xxhash64(df[text]).alias("digest"), df[text].alias("text")).where("text is not null")
     kind = df.schema[key].dataType.simpleString()
-    lines = stage(docs.mapInArrow(_addresses(depth, min_tokens), f"key {kind}, digest bigint, leaf bigint, line bigint, numbers array<int>"), "lines")
+    lines = stage(docs.mapInArrow(_addresses(depth, min_tokens, min_docs, long_tokens, long_docs), f"key {kind}, digest bigint, leaf bigint, line bigint, least int, numbers array<int>"), "lines")
 
-    different = stage(lines.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("docs"), F.min(F.struct("key", "digest", F.element_at("numbers", 1).alias("number"))).alias("first")), "lines-different")
-    open_ = different.groupBy("leaf").agg(F.count(F.lit(1)).alias("kinds"), F.sum("docs").alias("all")).where(f"kinds > 1 and all >= {int(min_docs)}").select("leaf")
+    different = stage(lines.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("docs"), F.min("least").alias("least"), F.min(F.struct("key", "digest", F.element_at("numbers", 1).alias("number"))).alias("first")), "lines-different")
+    open_ = different.groupBy("leaf").agg(F.count(F.lit(1)).alias("kinds"), F.sum("docs").alias("all"), F.min("least").alias("least")).where("kinds > 1 and all >= least").select("leaf")
     wanted = different.join(open_, "leaf").select("first.key", "first.digest", F.struct("leaf", "line", "docs", "first.number").alias("w")).groupBy("key", "digest").agg(F.collect_list("w").alias("wanted"))
     same = docs["key"].eqNullSafe(wanted["key"]) & (docs["digest"] == wanted["digest"])
     shown = docs.join(wanted, same).select("text", "wanted").mapInArrow(_tokens(), "leaf bigint, line bigint, docs bigint, tokens array<int>")
@@ -135,8 +143,8 @@ def recurring(df: DataFrame, key: str = "doc_id", text: str = "text", min_docs:
     members = placed.where(agree).select("leaf", "line")
 
     members = stage(members, "lines-members")
-    counted = lines.join(members, ["leaf", "line"]).select("leaf", "key", "digest").distinct().groupBy("leaf").count().where(F.col("count") >= min_docs).select("leaf")
-    often = different.where(F.col("docs") >= min_docs).select("leaf", "line").unionAll(members.join(counted, "leaf").select("leaf", "line")).distinct()
+    counted = lines.join(members, ["leaf", "line"]).select("leaf", "key", "digest", "least").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("docs"), F.min("least").alias("least")).where("docs >= least").select("leaf")
+    often = different.where("docs >= least").select("leaf", "line").unionAll(members.join(counted, "leaf").select("leaf", "line")).distinct()
     dropped = lines.join(stage(often, "lines-often"), ["leaf", "line"]).select("key", "digest", F.explode("numbers").alias("number"))
     return dropped.groupBy("key", "digest").agg(F.collect_set("number").alias("numbers"))
 
@@ -145,8 +153,8 @@ def drop_recurring(df: DataFrame, key: str = "doc_id", text: str = "text", **how
     """``df`` with ``text`` cleaned of recurring lines, and ``n_dropped``, the lines dropped.
 
     Every row counts as a document, repeated rows too; within a row a repeated line counts once and
-    all of its copies go.  Lines of fewer than ``min_tokens`` tokens stay, blank ones too.  Null
-    texts stay null, an empty table stays empty, a null key is a key like others.  An input column
+    all of its copies go.  Lines of fewer than ``min_tokens`` tokens go where they recur exactly
+    (white space aside), blank ones stay.  Null texts stay null, an empty table stays empty, a null key is a key like others.  An input column
     called ``n_dropped`` is replaced.
     """
     found = recurring(df, key, text, **how)

@@ -33,6 +33,14 @@ def test_leading_tokens_alone_are_no_template(spark):
     assert all(n == 0 for _, n in got.values())
 
 
+def test_long_lines_from_two_documents_on_and_short_ones_as_they_are(spark):
+    passage = " ".join(f"w{chr(97 + i % 26)}{i // 26 * 'x'}" for i in range(50))
+    short = passage.rsplit(" ", 1)[0]
+    texts = [f"{passage}\n{short}\nRead more", f"own\n{passage} \n{short}\n\nRead  more", *[f"Read more\n\nPart {i}" for i in range(3)]]
+    got = _run(docs(spark, _rows(texts)))
+    assert got == {0: (short, 2), 1: (f"own\n{short}\n", 2), **{i + 2: (f"\nPart {i}", 1) for i in range(3)}}
+
+
 def test_copies_inside_a_document_count_once_and_all_go(spark):
     line = "this line is said again"
     got = _run(docs(spark, _rows([f"{line}\nx\n{line}", line, f"\n\n{line}\n"])), min_docs=3)
