@@ -1,10 +1,11 @@
 """Recurring lines by a log-template tree.
 
 A line's way through the tree has a fixed depth: its number of tokens, then its leading tokens, where
-a token that holds a digit counts as a variable field.  Lines that end in one leaf share a template:
-at each further position the token that most of the leaf's documents have there stays, other
-positions become variable fields.  A line belongs to its leaf's template if it agrees with enough of
-it after the leading tokens (``similarity``, and one token that is no field at least), else it is a template of its own (with digits as variable fields).  Templates that occur in
+a token that holds a digit counts as a variable field.  Lines of one leaf may have several templates:
+a template keeps the tokens that are most common in the leaf at the positions after the leading
+tokens (``similarity`` of them, one that is no field at least), other positions are variable fields.
+A line without one is a template of its own (with digits as variable fields).  Templates are found
+in rounds, the lines of those found taken out of the next.  Templates that occur in
 ``min_docs`` documents are dropped from all of them, long ones from ``long_docs`` documents on.
 
 Templates are found from counts alone - no order of arrival, no group in one task: equal lines are
@@ -86,19 +87,20 @@ def _field():
 
 
 def _tokens():
-    """(leaf, line, docs, tokens) of the lines that a row stands for; tokens as 32-bit hashes."""
+    """(leaf, line, docs, least, tokens) of the lines that a row stands for; tokens as 32-bit hashes."""
 
     def run(batches):
         for batch in batches:
-            leaf, line, docs, tokens = [], [], [], []
+            leaf, line, docs, least, tokens = [], [], [], [], []
             for text, wanted in zip(batch.column(0), batch.column(1), strict=True):
                 lines = text.as_py().split("\n")
                 for w in wanted.as_py():
                     leaf.append(w["leaf"])
                     line.append(w["line"])
                     docs.append(w["docs"])
+                    least.append(w["least"])
                     tokens.append([_token(t) for t in masked(lines[w["number"]])])
-            yield pa.RecordBatch.from_arrays([pa.array(leaf, pa.int64()), pa.array(line, pa.int64()), pa.array(docs, pa.int64()), pa.array(tokens, pa.list_(pa.int32()))], names=["leaf", "line", "docs", "tokens"])
+            yield pa.RecordBatch.from_arrays([pa.array(leaf, pa.int64()), pa.array(line, pa.int64()), pa.array(docs, pa.int64()), pa.array(least, pa.int32()), pa.array(tokens, pa.list_(pa.int32()))], names=["leaf", "line", "docs", "least", "tokens"])
 
     return run
 
@@ -114,6 +116,66 @@ def _without(text: pd.Series, numbers: pd.Series) -> pd.Series:
     return pd.Series([one(t, n) for t, n in zip(text, numbers, strict=True)], dtype=object)
 
 
+def _templates(weighed: DataFrame, by: list[str], depth: int) -> DataFrame:
+    """(*by, template) of rows with docs and tokens: at each position from ``depth`` on the token
+    that more than half of the documents have, else null."""
+    votes = weighed.select(*by, "docs", F.posexplode("tokens").alias("at", "token")).where(F.col("at") >= depth)
+    votes = votes.groupBy(*by, "at", "token").agg(F.sum("docs").alias("docs"))
+    most = votes.groupBy(*by, "at").agg(F.max(F.struct("docs", "token")).alias("top"), F.sum("docs").alias("all"))
+    token = F.when(F.col("top.docs") * 2 > F.col("all"), F.col("top.token"))
+    # every position has one row here, so the rows in order are the template
+    return most.groupBy(*by).agg(F.transform(F.array_sort(F.collect_list(F.struct("at", token.alias("token")))), lambda x: x["token"]).alias("template"))
+
+
+def _recurs(lines: DataFrame, members: DataFrame, by: list[str]) -> DataFrame:
+    """``by`` of the members (leaf, line, ...) that occur in enough different documents together."""
+    apart = lines.join(members, ["leaf", "line"]).select(*by, "key", "digest", "least").distinct()
+    return apart.groupBy(*by).agg(F.count(F.lit(1)).alias("docs"), F.min("least").alias("least")).where("docs >= least").select(*by)
+
+
+def _members(shown: DataFrame, lines: DataFrame, depth: int, similarity: float) -> list[DataFrame]:
+    """Tables (leaf, line) of the lines that belong to a template, one table for each round.
+
+    shown: (leaf, line, docs, least, tokens); lines: (leaf, line, key, digest, least), by document.
+    Each round: a line's key are its most common tokens after the leading ones, with their
+    positions, as many as must agree; the lines of a key are a group, and groups of enough documents
+    make templates, as does the whole leaf.  Lines that agree with one of their leaf's templates are
+    taken out, and the rest of these leaves is counted anew, until nothing is found.
+    """
+    rest = shown
+    found: list[DataFrame] = []
+    need = F.greatest(F.lit(1), F.ceil(F.round(similarity * (F.size("tokens") - depth), 6))).cast("int")
+
+    def agrees(template):
+        tokens = F.slice("tokens", depth + 1, F.greatest(F.size("tokens") - depth, F.lit(0)))
+        kept = F.filter(F.zip_with(tokens, template, lambda t, x: F.when(t == x, t)), lambda t: t.isNotNull())
+        # leading tokens are common to the leaf and tell nothing; nor do fields alone
+        return (F.size(kept) >= need) & F.exists(kept, lambda t: t != _field())
+
+    while True:
+        pairs = rest.select("leaf", "line", "docs", "least", need.alias("need"), F.posexplode("tokens").alias("at", "token")).where(F.col("at") >= depth)
+        votes = pairs.groupBy("leaf", "at", "token").agg(F.sum("docs").alias("votes"), F.min("least").alias("least")).where("votes >= least").drop("least")
+        # a token that is no field comes first
+        order = F.struct((-F.col("votes")).alias("votes"), "at", "token")
+        ranked = pairs.join(votes, ["leaf", "at", "token"]).groupBy("leaf", "line", "docs", "least", "need").agg(F.array_sort(F.collect_list(order)).alias("common"))
+        ranked = ranked.withColumn("lead", F.get(F.filter("common", lambda p: p["token"] != _field()), F.lit(0))).where("lead is not null and size(common) >= need")
+        key = F.concat(F.array("lead"), F.slice(F.filter("common", lambda p: p != F.col("lead")), 1, F.col("need") - 1))
+        ranked = stage(ranked.select("leaf", "line", "docs", "least", F.xxhash64(F.array_sort(key)).alias("group")), "lines-keys")
+        enough = ranked.groupBy("leaf", "group").agg(F.sum("docs").alias("docs"), F.min("least").alias("least")).where("docs >= least").select("leaf", "group")
+        groups = _recurs(lines, ranked.join(enough, ["leaf", "group"]).select("leaf", "line", "group"), ["leaf", "group"])
+        own = ranked.join(groups, ["leaf", "group"]).select("leaf", "line", "group").join(rest, ["leaf", "line"])
+        several = _templates(own, ["leaf", "group"], depth).groupBy("leaf").agg(F.collect_list("template").alias("templates"))
+        grouped = rest.join(several, "leaf").where(F.exists("templates", agrees)).select("leaf", "line")
+        whole = rest.join(_templates(rest, ["leaf"], depth), "leaf").where(agrees(F.col("template"))).select("leaf", "line")
+        whole = stage(whole, "lines-whole")
+        whole = whole.join(_recurs(lines, whole, ["leaf"]), "leaf").select("leaf", "line")
+        new = stage(grouped.unionAll(whole).distinct(), "lines-members")
+        if new.isEmpty():
+            return found
+        found.append(new)
+        rest = stage(rest.join(new.select("leaf").distinct(), "leaf", "left_semi").join(new, ["leaf", "line"], "left_anti"), "lines-rest")
+
+
 def recurring(df: DataFrame, key: str = "doc_id", text: str = "text", min_docs: int = 5, depth: int = 2, similarity: float = 0.6, min_tokens: int = 4, long_tokens: int = 50, long_docs: int = 2) -> DataFrame:
     """(key, digest, numbers): for each row that has any, the numbers (from 0) of its lines whose
     template occurs in at least ``min_docs`` rows, ``long_docs`` for lines of ``long_tokens`` tokens
@@ -124,27 +186,17 @@ def recurring(df: DataFrame, key: str = "doc_id", text: str = "text", min_docs:
 
     different = stage(lines.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("docs"), F.min("least").alias("least"), F.min(F.struct("key", "digest", F.element_at("numbers", 1).alias("number"))).alias("first")), "lines-different")
     open_ = different.groupBy("leaf").agg(F.count(F.lit(1)).alias("kinds"), F.sum("docs").alias("all"), F.min("least").alias("least")).where("kinds > 1 and all >= least").select("leaf")
-    wanted = different.join(open_, "leaf").select("first.key", "first.digest", F.struct("leaf", "line", "docs", "first.number").alias("w")).groupBy("key", "digest").agg(F.collect_list("w").alias("wanted"))
+    wanted = different.join(open_, "leaf").select("first.key", "first.digest", F.struct("leaf", "line", "docs", "least", "first.number").alias("w")).groupBy("key", "digest").agg(F.collect_list("w").alias("wanted"))
     same = docs["key"].eqNullSafe(wanted["key"]) & (docs["digest"] == wanted["digest"])
-    shown = docs.join(wanted, same).select("text", "wanted").mapInArrow(_tokens(), "leaf bigint, line bigint, docs bigint, tokens array<int>")
+    shown = docs.join(wanted, same).select("text", "wanted").mapInArrow(_tokens(), "leaf bigint, line bigint, docs bigint, least int, tokens array<int>")
     shown = stage(shown.dropDuplicates(["leaf", "line"]), "lines-shown")
 
-    votes = shown.select("leaf", "docs", F.posexplode("tokens").alias("at", "token")).where(F.col("at") >= depth)
-    votes = votes.groupBy("leaf", "at", "token").agg(F.sum("docs").alias("docs"))
-    most = votes.groupBy("leaf", "at").agg(F.max(F.struct("docs", "token")).alias("top"), F.sum("docs").alias("all"))
-    # every position from ``depth`` on has one row here, so a leaf's rows in order are its template
-    token = F.when(F.col("top.docs") * 2 > F.col("all"), F.col("top.token"))
-    template = most.groupBy("leaf").agg(F.array_sort(F.collect_list(F.struct("at", token.alias("token")))).alias("template"))
-    placed = shown.join(template, "leaf")
-    rest = F.slice("tokens", depth + 1, F.greatest(F.size("tokens") - depth, F.lit(0)))
-    kept = F.filter(F.zip_with(rest, F.col("template"), lambda t, x: F.when(t == x["token"], t)), lambda t: t.isNotNull())
-    # leading tokens are common to the leaf and tell nothing; nor do fields alone
-    agree = (F.size(kept) >= similarity * F.size(rest)) & F.exists(kept, lambda t: t != _field())
-    members = placed.where(agree).select("leaf", "line")
-
-    members = stage(members, "lines-members")
-    counted = lines.join(members, ["leaf", "line"]).select("leaf", "key", "digest", "least").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("docs"), F.min("least").alias("least")).where("docs >= least").select("leaf")
-    often = different.where("docs >= least").select("leaf", "line").unionAll(members.join(counted, "leaf").select("leaf", "line")).distinct()
+    open_lines = stage(lines.select("leaf", "line", "key", "digest", "least").join(open_, "leaf", "left_semi"), "lines-open")
+    members = _members(shown, open_lines, depth, similarity)
+    often = different.where("docs >= least").select("leaf", "line")
+    for found in members:
+        often = often.unionAll(found)
+    often = often.distinct()
     dropped = lines.join(stage(often, "lines-often"), ["leaf", "line"]).select("key", "digest", F.explode("numbers").alias("number"))
     return dropped.groupBy("key", "digest").agg(F.collect_set("number").alias("numbers"))
 

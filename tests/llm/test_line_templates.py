@@ -41,6 +41,15 @@ def test_long_lines_from_two_documents_on_and_short_ones_as_they_are(spark):
     assert got == {0: (short, 2), 1: (f"own\n{short}\n", 2), **{i + 2: (f"\nPart {i}", 1) for i in range(3)}}
 
 
+def test_several_templates_of_a_leaf(spark):
+    # no token after the leading ones has a majority, and one name is as common as the fixed words
+    names = "ann bob cid dan eve fay gus hal".split()
+    kinds = ["Posted by {} in the red room", "Posted by {} on a blue board", "Posted by {} at my own home", "Posted by {} under that old tree"]
+    texts = [k.format(n) for n in names for k in kinds] + ["Posted by ann with some other words"]
+    got = _run(docs(spark, _rows(texts)), min_docs=5)
+    assert [n for _, n in got.values()] == [1] * 32 + [0]
+
+
 def test_copies_inside_a_document_count_once_and_all_go(spark):
     line = "this line is said again"
     got = _run(docs(spark, _rows([f"{line}\nx\n{line}", line, f"\n\n{line}\n"])), min_docs=3)
