@@ -1,7 +1,8 @@
 """Secret scan: fixed patterns plus a comparison of two character Markov models.
 
 Candidate strings are scored by the log-likelihood ratio of a first-order character model of random
-strings and one of ordinary identifiers.  Both are estimated from labelled samples by DataFrame
+strings and one of ordinary identifiers: as a whole, and by their best stretch, so that the name in
+``name=value`` or ``path/value`` does not hide the value.  Both are estimated from labelled samples by DataFrame
 operations; the table that reaches the driver has at most one row for each pair of the alphabet's
 characters, and scoring reads it as a constant array.  All offsets count code points; ends are
 exclusive.
@@ -85,8 +86,8 @@ def train(samples: DataFrame, alphabet: str = ALPHABET) -> list[float]:
     return [math.log(counts["random"][a][b] / sum(counts["random"][a])) - math.log(counts["ordinary"][a][b] / sum(counts["ordinary"][a])) for a in range(size) for b in range(size)]
 
 
-def log_likelihood_ratio(token: Column, ratios: list[float], alphabet: str = ALPHABET) -> Column:
-    """Sum of the transitions' ratios over a token made of the alphabet's characters."""
+def _over_transitions(token: Column, ratios: list[float], alphabet: str, start: Column, step, finish=None) -> Column:
+    """``step`` over the ratios of the transitions of a token made of the alphabet's characters."""
     size = len(alphabet)
     index = [0] * 128
     for i, c in enumerate(alphabet):
@@ -94,7 +95,23 @@ def log_likelihood_ratio(token: Column, ratios: list[float], alphabet: str = ALP
     codes = F.expr("cast(split('" + ",".join(map(str, index)) + "', ',') as array<int>)")
     table = F.expr("cast(split('" + ",".join(f"{r:.9g}" for r in ratios) + "', ',') as array<double>)")
     code = lambda i: F.get(codes, F.ascii(F.substring(token, i, F.lit(1))))
-    return F.aggregate(F.sequence(F.lit(1), F.length(token) - 1), F.lit(0.0), lambda acc, i: acc + F.get(table, code(i) * size + code(i + 1)))
+    return F.aggregate(F.sequence(F.lit(1), F.length(token) - 1), start, lambda acc, i: step(acc, F.get(table, code(i) * size + code(i + 1))), finish)
+
+
+def log_likelihood_ratio(token: Column, ratios: list[float], alphabet: str = ALPHABET) -> Column:
+    """Sum of the transitions' ratios over a token made of the alphabet's characters."""
+    return _over_transitions(token, ratios, alphabet, F.lit(0.0), lambda acc, x: acc + x)
+
+
+def best_stretch(token: Column, ratios: list[float], alphabet: str = ALPHABET) -> Column:
+    """Largest sum of the transitions' ratios over any stretch of a token, 0 at least."""
+    both = lambda now, best: F.struct(now.alias("now"), best.alias("best"))
+
+    def step(acc: Column, x: Column) -> Column:
+        now = F.greatest(acc["now"] + x, F.lit(0.0))
+        return both(now, F.greatest(acc["best"], now))
+
+    return _over_transitions(token, ratios, alphabet, both(F.lit(0.0), F.lit(0.0)), step, lambda acc: acc["best"])
 
 
 def _bound(value: Column, use) -> Column:
@@ -139,17 +156,18 @@ def spans_of(text: Column, pattern: str, kind: str, keep) -> Column:
     return _bound(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), one)
 
 
-def scan(df: DataFrame, text: str, ratios: list[float], threshold: float = 8.0, out: str = "secrets") -> DataFrame:
+def scan(df: DataFrame, text: str, ratios: list[float], threshold: float = 8.0, out: str = "secrets", stretch: float = 10.0) -> DataFrame:
     """``df`` with an array column ``out`` of structs (start, kind, end), by start, then kind.
 
     ``kind`` is a position in ``KINDS``; ``markov`` spans are runs of 20 or more characters of the
-    alphabet whose ratio is at least ``threshold``.  Null and empty texts have an empty array.  An
+    alphabet whose ratio is at least ``threshold``, or the ratio of whose best stretch is at least
+    ``stretch`` (higher, as the best of many is looked at); the span is the whole run.  Null and empty texts have an empty array.  An
     input column called ``out`` is replaced.  Rows are neither shuffled nor merged.
     """
     t = F.coalesce(df[text], F.lit(""))
     group2 = lambda m: F.length(F.regexp_extract(m, ASSIGN, 2)) >= 12
     always = lambda m: F.lit(True)
-    random = lambda m: log_likelihood_ratio(m, ratios) >= threshold
+    random = lambda m: (log_likelihood_ratio(m, ratios) >= threshold) | (best_stretch(m, ratios) >= stretch)
     parts = [spans_of(t, ASSIGN, "assign", group2), spans_of(t, ACCESS, "access", always), spans_of(t, HEX, "hex", always), spans_of(t, CANDIDATE, "markov", random)]
     return df.withColumn(out, F.array_sort(F.concat(*parts)))
 

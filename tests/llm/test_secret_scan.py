@@ -47,6 +47,28 @@ def test_models_tell_random_from_ordinary(spark, ratios):
     assert all((s["start"], s["end"]) == (4, 4 + len(secrets[i])) for i in range(len(secrets)) for s in found[i])
 
 
+def test_names_and_paths_do_not_hide_secrets(spark):
+    ratios = S.train(S.training_samples(spark))  # as the query
+    rng = random.Random(8)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    names = ["client_identifier=", "database_connection_string=", "storage_account_access_value=", "/usr/share/lib/data/", "connection_string_value_"]
+    runs = [n + "".join(rng.choices(alphabet, k=k)) + end for n in names for k in (16, 32) for end in ("", "/document") for _ in range(20)]
+    plain_ = [n + "default_user_name" for n in names]
+    df = docs(spark, [(i, f"see {t} there", "en", "s", 0) for i, t in enumerate(runs + plain_)])
+    found = {r["doc_id"]: [(s["start"], s["end"]) for s in r["secrets"] if s["kind"] == 3] for r in S.scan(df, "text", ratios).collect()}
+    assert sum(found[i] == [(4, 4 + len(t))] for i, t in enumerate(runs)) >= 0.95 * len(runs)
+    assert not any(found[len(runs) + i] for i in range(len(plain_)))
+
+
+def test_best_stretch(spark, ratios):
+    at, n = S.ALPHABET.index, len(S.ALPHABET)
+    for token in ("aB3_x9-Zq", "the_name=xQ9zK2/and", "a", "ordinary"):
+        x = [ratios[at(a) * n + at(b)] for a, b in zip(token, token[1:], strict=False)]
+        want = max([0.0] + [sum(x[i:j]) for i in range(len(x)) for j in range(i + 1, len(x) + 1)])
+        if len(token) > 1:
+            assert spark.range(1).select(S.best_stretch(F.lit(token), ratios)).first()[0] == pytest.approx(want, abs=1e-6)
+
+
 def test_score_is_the_sum_of_transitions(spark, ratios):
     token, at = "aB3_x9-Zq", S.ALPHABET.index
     want = sum(ratios[at(a) * len(S.ALPHABET) + at(b)] for a, b in zip(token, token[1:], strict=False))
