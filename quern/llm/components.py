@@ -1,8 +1,8 @@
 """Connected components of an edge table, by alternating large-star and small-star steps.
 
-Every step is a grouped minimum and a join on a node, so a hub is handled like any other node: its
-minimum is pre-aggregated and its edges are dealt out again by the join.  Each round is written to
-the shared folder; only counts reach the driver.
+Every step is a grouped minimum, which is pre-aggregated, and a join on a node.  A hub's edges meet in
+one partition of that join, two numbers each; adaptive execution splits it where it is large.  Each
+round is written to the shared folder and the one before deleted; only counts reach the driver.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .workspace import stage
+from .workspace import release, stage
 
 
 def _large(edges: DataFrame) -> DataFrame:
@@ -38,8 +38,11 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         if state == seen or not state[0]:
             break
         seen = state
-        now = stage(_small(_large(now)), "cc")
+        now, before = stage(_small(_large(now)), "cc"), now
+        release(before)
     else:
         raise RuntimeError("components did not settle")
     roots = now.select(F.col("a").alias("id"), F.col("a").alias("component")).distinct()
-    return now.select(F.col("b").alias("id"), F.col("a").alias("component")).unionAll(roots)
+    out = stage(now.select(F.col("b").alias("id"), F.col("a").alias("component")).unionAll(roots), "cc")
+    release(now)
+    return out

@@ -1,11 +1,13 @@
 """Intermediate tables in the shared folder that the cluster names in ``spark.checkpoint.dir``.
 
 A table written here cuts lineage like ``checkpoint()``: every executor can read it again after
-another one is lost.  Where the setting is absent (tests, a laptop) a temporary folder is used.
+another one is lost.  Where the setting is absent, a temporary folder is used if all of Spark runs in
+one process (tests, a laptop); on a cluster it is an error.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -19,6 +21,8 @@ def shared_dir(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         if app not in _own:
             _own[app] = tempfile.mkdtemp(prefix="quern-")
         base = "file://" + _own[app]
@@ -34,7 +38,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._quern_path = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables that ``stage`` has written, when nothing that is still to be computed reads them."""
+    for t in tables:
+        path = getattr(t, "_quern_path", None)
+        if path:
+            remove(t.sparkSession, path)
 
 
 def small_batches(spark: SparkSession, rows: int = 2000, size: int = 8_000_000) -> None:
