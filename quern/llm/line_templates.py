@@ -8,25 +8,31 @@ A line without one is a template of its own (with digits as variable fields).  T
 in rounds, the lines of those found taken out of the next.  Templates that occur in
 ``min_docs`` documents are dropped from all of them, long ones from ``long_docs`` documents on.
 
-Templates are found from counts alone - no order of arrival, no group in one task: equal lines are
-added up first, and only leaves with several different lines are looked at token by token, one
-line for each different one.
+Templates are found from counts alone, in no order of arrival: equal lines are added up first, and
+only leaves with several different lines are looked at token by token, one line for each different
+one.  A leaf of up to ``LEAF_LINES`` different lines is worked on as a whole by one task; larger ones
+by the same steps as joins and aggregations, so that none is in one task.
 """
 
 from __future__ import annotations
 
+import functools
+import math
 import re
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .workspace import fresh, stage
+from .workspace import fresh, release, small_batches, stage
 
 FIELD = "<*>"
 _DIGIT = re.compile(r"\d")
+#: Different lines of a leaf that one task may hold.
+LEAF_LINES = 10_000
 
 
 def masked(line: str) -> list[str]:
@@ -39,23 +45,26 @@ def _signed(h: int) -> int:
 
 
 def _addresses(depth: int, min_tokens: int, min_docs: int, long_tokens: int, long_docs: int):
-    """(key, digest, leaf, line, least, numbers) of each different masked line of each row; ``least``
-    is the number of documents from which on its line or template recurs. Lines of fewer than
-    ``min_tokens`` tokens are not masked and have a leaf of their own."""
+    """(key, digest, leaf, line, least, numbers, tokens) of each different masked line of each row;
+    ``least`` is the number of documents from which on its line or template recurs. Lines of fewer
+    than ``min_tokens`` tokens are not masked and have a leaf of their own. Tokens are 32-bit hashes."""
     import xxhash
 
     hash64 = xxhash.xxh3_64_intdigest
 
-    def run(batches, most: int = 100_000):
-        names = ["key", "digest", "leaf", "line", "least", "numbers"]
-        types = [None, pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int32())]
+    def run(batches, most: int = 50_000):
+        names = ["key", "digest", "leaf", "line", "least", "numbers", "tokens"]
+        types = [None, pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int32())]
+        known: dict[str, int] = {}
         for batch in batches:
             types[0] = batch.column(0).type
             rows: list[tuple] = []
             for i, text in enumerate(batch.column(2)):
                 if not text.is_valid:
                     continue
-                lines: dict[tuple[int, int, int], list[int]] = {}
+                lines: dict[tuple[int, int, int], tuple[list[int], list[int]]] = {}
+                if len(known) > 200_000:
+                    known.clear()
                 for number, line in enumerate(text.as_py().split("\n")):
                     tokens = masked(line)
                     if not tokens:
@@ -65,9 +74,16 @@ def _addresses(depth: int, min_tokens: int, min_docs: int, long_tokens: int, lon
                     leaf = _signed(hash64(" ".join(leading).encode("utf-8", "surrogatepass")))
                     whole = leaf if short else _signed(hash64(" ".join(tokens).encode("utf-8", "surrogatepass")))
                     least = min(min_docs, long_docs) if len(tokens) >= long_tokens else min_docs
-                    lines.setdefault((leaf, whole, least), []).append(number)
+                    address = (leaf, whole, least)
+                    if address in lines:
+                        lines[address][0].append(number)
+                        continue
+                    for t in () if short else tokens:
+                        if t not in known:
+                            known[t] = _token(t)
+                    lines[address] = [number], [] if short else [known[t] for t in tokens]
                 key, digest = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
-                rows += [(key, digest, *address, numbers) for address, numbers in lines.items()]
+                rows += [(key, digest, *address, *held) for address, held in lines.items()]
                 if len(rows) > most:
                     yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate(types)], names=names)
                     rows = []
@@ -86,21 +102,95 @@ def _field():
     return F.lit(_token(FIELD))
 
 
-def _tokens():
-    """(leaf, line, docs, least, tokens) of the lines that a row stands for; tokens as 32-bit hashes."""
+def leaf_members(tokens: np.ndarray, docs: list[int], holders: list, least: int, depth: int, similarity: float) -> set[int]:
+    """Positions of those lines of a leaf that belong to a template.
+
+    tokens: a row for each different line; docs: how many documents hold it; holders: their digests,
+    needed for lines in fewer than ``least`` documents.  Each round: a line's key are its most common
+    tokens after the leading ones, with their positions, as many as must agree; the lines of a key
+    are a group, and groups of enough documents make templates, as does the whole rest.  Lines that
+    agree with a template are taken out, and the rest is counted anew, until nothing is found.
+    """
+    field = _token(FIELD)
+    tail = tokens[:, depth:]
+    width = tail.shape[1]
+    need = max(1, math.ceil(round(similarity * width, 6)))
+    members: set[int] = set()
+    if width < need:
+        return members
+    weight = np.array(docs, np.int64)
+
+    def recurs(lines) -> bool:
+        if any(docs[i] >= least for i in lines):
+            return True
+        apart: set[int] = set()
+        for i in lines:
+            apart.update(holders[i])
+        return len(apart) >= least
+
+    def agreeing(lines: list[int]) -> list[int]:
+        """Lines of the rest that agree with the template of ``lines``."""
+        whole = sum(docs[i] for i in lines)
+        template, fixed = np.zeros(width, tail.dtype), np.zeros(width, bool)
+        for at in range(width):
+            count: dict[int, int] = {}
+            for i, t in zip(lines, tail[lines, at].tolist(), strict=True):
+                count[t] = count.get(t, 0) + docs[i]
+            most = max((n, t) for t, n in count.items())
+            if most[0] * 2 > whole:
+                template[at], fixed[at] = most[1], True
+        same = (tail[rest] == template) & fixed
+        # leading tokens are common to the leaf and tell nothing; nor do fields alone
+        ok = (same.sum(axis=1) >= need) & (same & (tail[rest] != field)).any(axis=1)
+        return [rest[i] for i in np.flatnonzero(ok)]
+
+    rest = list(range(len(tokens)))
+    while rest:
+        votes: dict[tuple[int, int], int] = {}
+        spelt = [list(enumerate(row)) for row in tail[rest].tolist()]
+        for places, n in zip(spelt, weight[rest].tolist(), strict=True):
+            for p in places:
+                votes[p] = votes.get(p, 0) + n
+        groups: dict[frozenset, list[int]] = {}
+        for i, places in zip(rest, spelt, strict=True):
+            common = sorted((-votes[p], *p) for p in places if votes[p] >= least)
+            lead = next((c for c in common if c[2] != field), None)
+            if lead is not None and len(common) >= need:
+                groups.setdefault(frozenset([lead, *[c for c in common if c != lead][: need - 1]]), []).append(i)
+        found: set[int] = set()
+        for lines in groups.values():
+            if recurs(lines):
+                found.update(agreeing(lines))
+        whole = agreeing(rest)
+        if whole and recurs(whole):
+            found.update(whole)
+        if not found:
+            break
+        members |= found
+        rest = [i for i in rest if i not in found]
+    return members
+
+
+def _by_leaf(depth: int, similarity: float):
+    """(leaf, line) of the members among rows (leaf, line, docs, least, tokens, holders) sorted by leaf."""
 
     def run(batches):
+        rows: list[tuple] = []
+
+        def settle():
+            tokens = np.array([r[4] for r in rows], np.int64)
+            at = leaf_members(tokens, [r[2] for r in rows], [r[5] for r in rows], rows[0][3], depth, similarity) if len(rows) > 1 else ()
+            found = [(rows[i][0], rows[i][1]) for i in sorted(at)]
+            return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["leaf", "line"])
+
         for batch in batches:
-            leaf, line, docs, least, tokens = [], [], [], [], []
-            for text, wanted in zip(batch.column(0), batch.column(1), strict=True):
-                lines = text.as_py().split("\n")
-                for w in wanted.as_py():
-                    leaf.append(w["leaf"])
-                    line.append(w["line"])
-                    docs.append(w["docs"])
-                    least.append(w["least"])
-                    tokens.append([_token(t) for t in masked(lines[w["number"]])])
-            yield pa.RecordBatch.from_arrays([pa.array(leaf, pa.int64()), pa.array(line, pa.int64()), pa.array(docs, pa.int64()), pa.array(least, pa.int32()), pa.array(tokens, pa.list_(pa.int32()))], names=["leaf", "line", "docs", "least", "tokens"])
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if rows and rows[0][0] != row[0]:
+                    yield settle()
+                    rows = []
+                rows.append(row)
+        if rows:
+            yield settle()
 
     return run
 
@@ -133,14 +223,10 @@ def _recurs(lines: DataFrame, members: DataFrame, by: list[str]) -> DataFrame:
     return apart.groupBy(*by).agg(F.count(F.lit(1)).alias("docs"), F.min("least").alias("least")).where("docs >= least").select(*by)
 
 
-def _members(shown: DataFrame, lines: DataFrame, depth: int, similarity: float) -> list[DataFrame]:
-    """Tables (leaf, line) of the lines that belong to a template, one table for each round.
+def _large_leaves(shown: DataFrame, lines: DataFrame, depth: int, similarity: float) -> DataFrame:
+    """(leaf, line) of the lines that belong to a template, by the steps of ``leaf_members``.
 
     shown: (leaf, line, docs, least, tokens); lines: (leaf, line, key, digest, least), by document.
-    Each round: a line's key are its most common tokens after the leading ones, with their
-    positions, as many as must agree; the lines of a key are a group, and groups of enough documents
-    make templates, as does the whole leaf.  Lines that agree with one of their leaf's templates are
-    taken out, and the rest of these leaves is counted anew, until nothing is found.
     """
     rest = shown
     found: list[DataFrame] = []
@@ -171,7 +257,7 @@ def _members(shown: DataFrame, lines: DataFrame, depth: int, similarity: float)
         whole = whole.join(_recurs(lines, whole, ["leaf"]), "leaf").select("leaf", "line")
         new = stage(grouped.unionAll(whole).distinct(), "lines-members")
         if new.isEmpty():
-            return found
+            return functools.reduce(DataFrame.unionAll, found, new)
         found.append(new)
         rest = stage(rest.join(new.select("leaf").distinct(), "leaf", "left_semi").join(new, ["leaf", "line"], "left_anti"), "lines-rest")
 
@@ -182,33 +268,38 @@ def recurring(df: DataFrame, key: str = "doc_id", text: str = "text", min_docs:
     or more. ``digest`` is ``xxhash64(text)``."""
     docs = df.select(df[key].alias("key"), F.xxhash64(df[text]).alias("digest"), df[text].alias("text")).where("text is not null")
     kind = df.schema[key].dataType.simpleString()
-    lines = stage(docs.mapInArrow(_addresses(depth, min_tokens, min_docs, long_tokens, long_docs), f"key {kind}, digest bigint, leaf bigint, line bigint, least int, numbers array<int>"), "lines")
+    lines = stage(docs.mapInArrow(_addresses(depth, min_tokens, min_docs, long_tokens, long_docs), f"key {kind}, digest bigint, leaf bigint, line bigint, least int, numbers array<int>, tokens array<int>"), "lines")
 
-    different = stage(lines.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("docs"), F.min("least").alias("least"), F.min(F.struct("key", "digest", F.element_at("numbers", 1).alias("number"))).alias("first")), "lines-different")
-    open_ = different.groupBy("leaf").agg(F.count(F.lit(1)).alias("kinds"), F.sum("docs").alias("all"), F.min("least").alias("least")).where("kinds > 1 and all >= least").select("leaf")
-    wanted = different.join(open_, "leaf").select("first.key", "first.digest", F.struct("leaf", "line", "docs", "least", "first.number").alias("w")).groupBy("key", "digest").agg(F.collect_list("w").alias("wanted"))
-    same = docs["key"].eqNullSafe(wanted["key"]) & (docs["digest"] == wanted["digest"])
-    shown = docs.join(wanted, same).select("text", "wanted").mapInArrow(_tokens(), "leaf bigint, line bigint, docs bigint, least int, tokens array<int>")
-    shown = stage(shown.dropDuplicates(["leaf", "line"]), "lines-shown")
+    different = stage(lines.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("docs"), F.min("least").alias("least")), "lines-different")
+    open_ = different.groupBy("leaf").agg(F.count(F.lit(1)).alias("kinds"), F.sum("docs").alias("all"), F.min("least").alias("least")).where("kinds > 1 and all >= least").select("leaf", "kinds")
+    open_ = stage(lines.select("leaf", "line", "key", "digest", "least", "tokens").join(open_, "leaf"), "lines-open")
+    # lines in enough documents recur on their own; of others all documents are named: fewer than ``least``
+    holder = F.when(F.col("docs") < F.col("least"), F.xxhash64("key", "digest"))
+    shown = open_.join(different.select("leaf", "line", "docs"), ["leaf", "line"]).groupBy("leaf", "line")
+    shown = stage(shown.agg(F.max("docs").alias("docs"), F.max("least").alias("least"), F.first("tokens").alias("tokens"), F.collect_set(holder).alias("holders"), F.max("kinds").alias("kinds")), "lines-shown")
 
-    open_lines = stage(lines.select("leaf", "line", "key", "digest", "least").join(open_, "leaf", "left_semi"), "lines-open")
-    members = _members(shown, open_lines, depth, similarity)
+    small = shown.where(F.col("kinds") <= LEAF_LINES).select("leaf", "line", "docs", "least", "tokens", "holders")
     often = different.where("docs >= least").select("leaf", "line")
-    for found in members:
-        often = often.unionAll(found)
-    often = often.distinct()
-    dropped = lines.join(stage(often, "lines-often"), ["leaf", "line"]).select("key", "digest", F.explode("numbers").alias("number"))
+    often = often.unionAll(small.repartition("leaf").sortWithinPartitions("leaf", "line").mapInArrow(_by_leaf(depth, similarity), "leaf bigint, line bigint"))
+    large = shown.where(F.col("kinds") > LEAF_LINES)
+    if not large.isEmpty():
+        often = often.unionAll(_large_leaves(large.select("leaf", "line", "docs", "least", "tokens"), open_.where(F.col("kinds") > LEAF_LINES), depth, similarity))
+    often = stage(often.distinct(), "lines-often")
+    release(different, open_, shown)
+    dropped = lines.join(often, ["leaf", "line"]).select("key", "digest", F.explode("numbers").alias("number"))
     return dropped.groupBy("key", "digest").agg(F.collect_set("number").alias("numbers"))
 
 
 def drop_recurring(df: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """``df`` with ``text`` cleaned of recurring lines, and ``n_dropped``, the lines dropped.
 
-    Every row counts as a document, repeated rows too; within a row a repeated line counts once and
-    all of its copies go.  Lines of fewer than ``min_tokens`` tokens go where they recur exactly
-    (white space aside), blank ones stay.  Null texts stay null, an empty table stays empty, a null key is a key like others.  An input column
-    called ``n_dropped`` is replaced.
+    Every row counts as a document, repeated rows too (where several lines make a template, rows that
+    are equal count once); within a row a repeated line counts once and all of its copies go.  Very
+    long texts and lines are read whole.  Lines of fewer than ``min_tokens`` tokens go where they recur exactly
+    (white space aside), blank ones stay.  Null texts stay null, an empty table stays empty, a null key
+    is a key like others.  An input column called ``n_dropped`` is replaced.
     """
+    small_batches(df.sparkSession)
     found = recurring(df, key, text, **how)
     k, d, n = fresh(df.columns, "__key", "__digest", "__numbers")
     found = found.select(F.col("key").alias(k), F.col("digest").alias(d), F.col("numbers").alias(n))

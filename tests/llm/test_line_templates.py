@@ -1,3 +1,7 @@
+import collections
+import math
+import random
+
 from quern.llm import line_templates as L
 
 from .helpers import clashing, docs, empty
@@ -50,6 +54,78 @@ def test_several_templates_of_a_leaf(spark):
     assert [n for _, n in got.values()] == [1] * 32 + [0]
 
 
+def _lines(seed):
+    rng = random.Random(seed)
+    heads = ["Posted by", "Part 3", "see also"]
+    tails = [["in", "the", "red", "room"], ["on", "a", "blue", "board"], ["at", "9", "my", "home"], ["x", "y", "z", "q"]]
+    out = []
+    for i in range(260):
+        tail = list(rng.choice(tails))
+        for at in range(4):
+            if rng.random() < 0.35:
+                tail[at] = rng.choice(["red", "the", "7", "ann", "bob", f"w{i}"])
+        out.append(" ".join([rng.choice(heads), *tail, *rng.choices(["far", "near"], k=rng.randrange(3))]))
+    return ["\n".join(rng.choices(out, k=rng.randrange(1, 4))) for _ in range(120)]
+
+
+def plain(texts, min_docs, depth=2, similarity=0.6):
+    """Lines that recur, each leaf and each round counted anew from the lines themselves."""
+    leaves = {}
+    for i, t in enumerate(texts):
+        for line in t.split("\n"):
+            m = tuple("<*>" if any(c.isdigit() for c in w) else w for w in line.split())
+            leaves.setdefault((len(m), m[:depth]), {}).setdefault(m, set()).add(i)
+    gone = {m for leaf in leaves.values() for m, held in leaf.items() if len(held) >= min_docs}
+    for leaf in leaves.values():
+        rest = dict(leaf)
+
+        def votes(of):
+            n = collections.Counter()
+            for m in of:
+                n.update(dict.fromkeys([(at, w) for at, w in enumerate(m) if at >= depth], len(rest[m])))
+            return n
+
+        def matching(of):
+            n, whole = votes(of), sum(len(rest[m]) for m in of)
+            fixed = {p for p, c in n.items() if 2 * c > whole}
+            out = set()
+            for m in rest:
+                same = [w for at, w in enumerate(m) if (at, w) in fixed]
+                if len(same) >= max(1, math.ceil(round(similarity * (len(m) - depth), 6))) and any(w != "<*>" for w in same):
+                    out.add(m)
+            return out
+
+        while rest:
+            n, groups = votes(rest), {}
+            for m in rest:
+                need = max(1, math.ceil(round(similarity * (len(m) - depth), 6)))
+                order = sorted((-n[at, w], at, L._token(w), w) for at, w in enumerate(m) if at >= depth and n[at, w] >= min_docs)
+                lead = [x for x in order if x[3] != "<*>"][:1]
+                if lead and len(order) >= need:
+                    groups.setdefault(frozenset(lead + [x for x in order if x != lead[0]][: need - 1]), set()).add(m)
+            new = set()
+            for of in [*groups.values(), matching(rest)]:
+                if of and len(set().union(*(rest[m] for m in of))) >= min_docs:
+                    new |= matching(of) if of in groups.values() else of
+            if not new:
+                break
+            gone |= new
+            rest = {m: h for m, h in rest.items() if m not in new}
+    return gone
+
+
+def test_same_as_a_plain_tree_in_one_task_or_by_joins(spark, monkeypatch):
+    texts = _lines(1)
+    gone = plain(texts, 5)
+    want = [sum(tuple("<*>" if any(c.isdigit() for c in w) else w for w in x.split()) in gone for x in t.split("\n")) for t in texts]
+    assert 0 < sum(want) < sum(len(t.split("\n")) for t in texts)
+    local = _run(docs(spark, _rows(texts)), min_docs=5)
+    monkeypatch.setattr(L, "LEAF_LINES", 2)
+    joined = _run(docs(spark, _rows(texts)), min_docs=5)
+    assert [local[i][1] for i in range(len(texts))] == want
+    assert joined == local
+
+
 def test_copies_inside_a_document_count_once_and_all_go(spark):
     line = "this line is said again"
     got = _run(docs(spark, _rows([f"{line}\nx\n{line}", line, f"\n\n{line}\n"])), min_docs=3)
