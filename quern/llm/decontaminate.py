@@ -6,7 +6,9 @@ occurrence holds an exact piece at a known offset, up to k places off.  One auto
 pieces in one pass over a document; around each hit, Myers' bit-parallel algorithm gives the least
 edit distance of the item to any stretch of the window.
 
-Texts are compared with letters lower-cased and white space runs as one space.
+Texts are compared with letters lower-cased and white space runs as one space.  Short items, of which
+a few edits would make another text, are looked for as they are, between characters that are neither
+letters nor digits.
 """
 
 from __future__ import annotations
@@ -67,6 +69,33 @@ def least_distance(masks: dict[str, int], m: int, window: str) -> tuple[int, int
     return best, at
 
 
+def start_of(item: str, text: str, end: int, distance: int) -> int:
+    """Start of the stretch of ``text`` up to ``end`` that is ``distance`` edits from the item; of
+    several the one whose length is nearest to the item's, the longer of two."""
+    m = len(item)
+    back, masks = text[max(0, end - m - distance) : end][::-1], masks_of(item[::-1])
+    full, top = (1 << m) - 1, 1 << (m - 1)
+    up, down, d = full, 0, m
+    options = [0] if d == distance else []
+    for i, c in enumerate(back, 1):
+        eq = masks.get(c, 0)
+        x = eq | down
+        h = (((eq & up) + up) ^ up) | eq
+        right_up, right_down = down | (full & ~(h | up)), up & h
+        d += 1 if right_up & top else -1 if right_down & top else 0
+        # both strings begin here: each further character of the text costs one more
+        right_up, right_down = (right_up << 1 | 1) & full, right_down << 1 & full
+        up, down = right_down | (full & ~(x | right_up)), right_up & x
+        if d == distance:
+            options.append(i)
+    return end - min(options, key=lambda n: (abs(n - m), -n))
+
+
+def alone(text: str, begin: int, end: int) -> bool:
+    """Whether no letter or digit touches a stretch."""
+    return not (begin > 0 and text[begin - 1].isalnum() or end < len(text) and text[end].isalnum())
+
+
 class Finder:
     """All items of a block, ready to be looked for. Items: (id, text)."""
 
@@ -77,12 +106,13 @@ class Finder:
         where: dict[str, list[tuple[int, int]]] = {}
         for key, text in items:
             t = normal(text or "")
-            if len(t) < max(1, least_chars):
+            if not t:
                 continue
-            k = budget(t, error_rate)
+            short = len(t) < least_chars
+            k = 0 if short else budget(t, error_rate)
             for offset, piece in pieces_of(t, k):
                 where.setdefault(piece, []).append((len(self.items), offset))
-            self.items.append((key, t, k, masks_of(t)))
+            self.items.append((key, t, k, masks_of(t), short))
         self.automaton = ahocorasick.Automaton()
         for piece, places in where.items():
             self.automaton.add_word(piece, (len(piece), places))
@@ -100,14 +130,13 @@ class Finder:
                 starts.setdefault(number, set()).add(end - size + 1 - offset)
         found = []
         for number, begins in starts.items():
-            key, item, k, masks = self.items[number]
+            key, item, k, masks, short = self.items[number]
             best = None
-            reach = -1
             for b in sorted(begins):
-                if t.startswith(item, b) if b >= 0 else False:
+                if b >= 0 and t.startswith(item, b) and (not short or alone(t, b, b + len(item))):
                     best = (0, b, b + len(item))
                     break
-            if best is None:
+            if best is None and k:
                 # neighbouring windows are joined: no stretch is looked at twice
                 spans: list[list[int]] = []
                 for b in sorted(begins):
@@ -119,8 +148,9 @@ class Finder:
                 for low, high in spans:
                     d, at = least_distance(masks, len(item), t[low:high])
                     if d <= k and (best is None or d < best[0]):
-                        reach = low + at
-                        best = (d, max(0, reach - len(item)), reach)
+                        best = (d, -1, low + at)
+                if best is not None:
+                    best = (best[0], start_of(item, t, best[2], best[0]), best[2])
             if best is not None:
                 found.append((key, *best))
         return sorted(found)
@@ -165,9 +195,12 @@ def contaminated(df: DataFrame, text: Column, items: DataFrame, keep: list[Colum
     """Columns ``keep`` with ``found``: an array of structs (item, distance, start, end), by item.
 
     Offsets count characters of the normal form (lower case, single spaces).  Items shorter than
-    ``least_chars`` in that form are not looked for.  Null and empty texts find nothing, as does any
-    text where there are no items.  Rows are neither merged nor shuffled.  Each block of items is
-    one pass over the texts.
+    ``least_chars`` in that form are found without edits and on their own only; empty ones never.
+    Null and empty texts find nothing, as does any text where there are no items.  Very long texts
+    are searched whole; of several places of an item the one with the least distance counts, the
+    first of equal ones.  Rows are neither merged nor shuffled: repeated rows are found alike, an
+    empty table gives an empty one, a kept column called ``found`` is replaced.  Each block of items
+    is one pass over the texts.
     """
     spark = df.sparkSession
     small_batches(spark)

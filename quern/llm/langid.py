@@ -1,10 +1,16 @@
 """Language identification by words first, character n-grams for unseen words.
 
-Training counts every word of every labelled row in Arrow batches and adds the batches' counts.  A
-language's model keeps its most frequent words and n-grams, ``max_words`` and ``max_grams`` of
-each: the capacity that bounds what is broadcast.  A word in the model scores each language by its
-smoothed log frequency there.  Any other word takes the longest n-grams, of ``longest`` characters
-down to one, of which the model knows one at least, and scores their mean.
+Training counts every word of every labelled row in Arrow batches and adds the batches' counts.  The
+model keeps the words and n-grams that are most frequent over all languages, each with its counts in
+every language, as far as its capacity goes: ``most_entries`` (unit, language) pairs of words and as
+many of n-grams, which bounds what is broadcast.  The cut follows from a table of how many units have
+which count, so nothing is ranked; units of one count are kept or left out together.  A word in the
+model scores each language by its smoothed log frequency there.  Any other word takes the longest
+n-grams, of ``longest`` characters down to one, of which the model knows one at least, and scores
+their mean.
+
+A model is held as sorted 64-bit digests of units and, for each, the languages that have it with the
+logarithm of what it gains over a unit that the language lacks.
 """
 
 from __future__ import annotations
@@ -17,13 +23,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .workspace import fresh, small_batches, stage
+from .workspace import fresh, release, small_batches, stage
 
 #: Letters and the marks, in any script, that Python counts as word characters.
 _WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
+#: Added to every count.
+ALPHA = 0.5
+#: An unseen word is known if the model has this share of its n-grams of KNOWN_GRAM or more characters
+#: (with the spaces around the word), of one size.
+KNOWN_GRAM, KNOWN_SHARE = 4, 0.8
 
 
 def words_of(text: str) -> list[str]:
@@ -55,7 +65,7 @@ def _count(batches, limit: int = 200_000):
 
 
 def _count_grams(longest: int, limit: int = 200_000):
-    """(lang, gram, n) of the batches' counted words."""
+    """(lang, unit, n) of the n-grams of counted words."""
 
     def run(batches):
         held: dict[str, dict[str, int]] = {}
@@ -65,7 +75,7 @@ def _count_grams(longest: int, limit: int = 200_000):
                 grams, ns = list(counts), list(counts.values())
                 for i in range(0, len(grams), 50_000):
                     part = grams[i : i + 50_000]
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part), pa.string()), pa.array(part, pa.string()), pa.array(ns[i : i + 50_000], pa.int64())], names=["lang", "gram", "n"])
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part), pa.string()), pa.array(part, pa.string()), pa.array(ns[i : i + 50_000], pa.int64())], names=["lang", "unit", "n"])
             held.clear()
 
         for batch in batches:
@@ -81,156 +91,187 @@ def _count_grams(longest: int, limit: int = 200_000):
     return run
 
 
-def _top(table: DataFrame, unit: str, most: int, *by: str):
-    """Rows of the ``most`` frequent units of each language (and ``by``), ties to the smaller unit.
+def _added(counts: DataFrame) -> DataFrame:
+    """(lang, unit, n) with equal rows added up, rows of a unit in one partition. Workers have added
+    up what they could, so a common unit has few rows."""
+    return counts.repartition("unit").groupBy("unit", "lang").agg(F.sum("n").alias("n")).select("lang", "unit", "n")
 
-    A first cut in hashed parts keeps a common language from being ranked in one task.
-    """
-    order = [F.desc("n"), F.col(unit)]
-    parts = Window.partitionBy("lang", *by, F.pmod(F.hash(unit), F.lit(64))).orderBy(*order)
-    first = table.withColumn("rank", F.row_number().over(parts)).where(F.col("rank") <= most)
-    last = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang", *by).orderBy(*order)))
-    return last.where(F.col("rank") <= most).select("lang", unit, "n").collect()
+
+def least_kept(kinds: dict[int, int], most: int) -> int:
+    """Least count from which on units are kept, so that ``most`` entries are not exceeded.
+    kinds: count -> entries of the units with that count."""
+    held, least = 0, max(kinds, default=0) + 1
+    for count in sorted(kinds, reverse=True):
+        held += kinds[count]
+        if held > most:
+            break
+        least = count
+    return least
+
+
+def _entries(counts: DataFrame, most: int) -> pa.Table:
+    """(unit, lang, n) of the kept units, the unit as its digest: at most ``most`` rows."""
+    units = counts.groupBy("unit").agg(F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("by"))
+    # exact counts up to 65,535, powers of two above: a bounded number of rows for the driver
+    total = F.when(F.col("total") < 65_536, F.col("total")).otherwise(F.pow(F.lit(2.0), F.floor(F.log2("total"))).cast("bigint"))
+    units = stage(units.select(F.xxhash64("unit").alias("unit"), total.alias("total"), "by"), "langid-units")
+    kinds = {r["total"]: r["n"] for r in units.groupBy("total").agg(F.sum(F.size("by")).alias("n")).collect()}
+    kept = units.where(F.col("total") >= least_kept(kinds, most)).select("unit", F.explode("by").alias("x")).select("unit", "x.lang", "x.n").toArrow()
+    release(units)
+    return kept
+
+
+def _sums(counts: DataFrame, *by: str) -> dict[tuple, tuple[int, int]]:
+    """Occurrences and different units for each language (and ``by``)."""
+    rows = counts.groupBy("lang", *by).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")).collect()
+    return {(r["lang"], *(r[c] for c in by)): (r["n"], r["kinds"]) for r in rows}
+
+
+def _table(entries: pa.Table, at: dict[str, int]) -> tuple:
+    """(units, starts, languages, gains): sorted digests, and for each its languages and gains."""
+    unit = entries["unit"].to_numpy()
+    lang = np.array([at[x] for x in entries["lang"].to_pylist()], np.int32)
+    gain = np.log((entries["n"].to_numpy() + ALPHA) / ALPHA)
+    order = np.lexsort((lang, unit))
+    units, starts = np.unique(unit[order], return_index=True)
+    return units, np.append(starts, len(order)).astype(np.int64), lang[order], gain[order].astype(np.float32)
 
 
-def train(df: DataFrame, text: str, lang: str, max_words: int = 20_000, max_grams: int = 20_000, longest: int = 5, max_langs: int = 500) -> dict:
-    """Model of the rows whose text and language are not null: plain lists, at most ``max_langs``
-    times ``max_words + longest * max_grams`` entries.  More languages raise an error.  Ties go to
-    the smaller string, so reruns agree."""
+def train(df: DataFrame, text: str, lang: str, most_entries: int = 500_000, longest: int = 5) -> dict:
+    """Model of all rows whose text and language are not null.
+
+    Of words, and of n-grams, those are kept that are most frequent over all languages, at most
+    ``most_entries`` pairs of a unit and a language; where there are no more, all are kept.  Reruns
+    agree.  An empty table gives a model without languages.  The number of languages is not bounded:
+    for each, one row of ``longest + 1`` sums reaches the driver.
+    """
     small_batches(df.sparkSession)
     labelled = df.select(df[lang].cast("string").alias("lang"), df[text].alias("text")).where("lang is not null and text is not null")
-    counted = labelled.mapInArrow(_count, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    counted = stage(counted, "langid-words")
-    sums = counted.groupBy("lang").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")).limit(max_langs + 1).collect()
-    if len(sums) > max_langs:
-        raise ValueError(f"more than {max_langs} languages")
-    totals = {r["lang"]: (r["n"], r["kinds"]) for r in sums}
-    grams = counted.mapInArrow(_count_grams(longest), "lang string, gram string, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    grams = stage(grams.withColumn("size", F.length("gram")), "langid-grams")
-    per_size: dict[int, dict] = {n: {} for n in range(1, longest + 1)}
-    for r in grams.groupBy("lang", "size").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")).collect():
-        per_size[r["size"]][r["lang"]] = (r["n"], r["kinds"])
-    kept: dict[int, list] = {n: [] for n in per_size}
-    for r in _top(grams, "gram", max_grams, "size"):
-        kept[len(r["gram"])].append((r["lang"], r["gram"], r["n"]))
-    words = [(r["lang"], r["word"], r["n"]) for r in _top(counted, "word", max_words)]
-    return {"langs": sorted(totals), "words": words, "grams": {n: (kept[n], per_size[n]) for n in per_size}, "totals": totals, "longest": longest}
-
-
-def _tables(model: dict, alpha: float = 0.5):
-    at = {l: i for i, l in enumerate(model["langs"])}
-
-    def table(rows, totals) -> dict[str, np.ndarray]:
-        out: dict[str, np.ndarray] = {}
-        n, kinds = (np.array([totals.get(l, (0, 0))[j] for l in model["langs"]], float) for j in (0, 1))
-        below = n + alpha * (kinds + 1)
-        for lang, unit, c in rows:
-            out.setdefault(unit, np.zeros(len(at)))[at[lang]] = c
-        return {u: np.log((c + alpha) / below) for u, c in out.items()}
-
-    return table(model["words"], model["totals"]), {n: table(*x) for n, x in model["grams"].items()}
-
-
-def packed(model: dict) -> dict:
-    """The model as strings and matrices of scores, a fraction of the lists' memory in a worker."""
-    words, grams = _tables(model)
-    langs = len(model["langs"])
-    rows = lambda table: np.array(list(table.values()), np.float64).reshape(len(table), langs)
-    return {"langs": model["langs"], "longest": model["longest"], "words": list(words), "word_rows": rows(words), "grams": {n: list(t) for n, t in grams.items()}, "gram_rows": {n: rows(t) for n, t in grams.items()}}
-
-
-def word_scores(word: str, words: dict, grams: dict, longest: int, langs: int) -> np.ndarray:
-    """Scores of one word, the plain way."""
-    if word in words:
-        return words[word]
-    for n in range(longest, 0, -1):
-        known = [grams[n][g] for g in grams_of(word, n) if g in grams[n]]
-        if known:
-            return np.mean(known, axis=0)
-    return np.zeros(langs)
+    words = stage(_added(labelled.mapInArrow(_count, "lang string, unit string, n bigint")), "langid-words")
+    grams = stage(_added(words.mapInArrow(_count_grams(longest), "lang string, unit string, n bigint")), "langid-grams")
+    own, sized = _sums(words), _sums(grams.withColumn("size", F.length("unit")), "size")
+    langs = sorted({k[0] for k in own})
+    at = {name: i for i, name in enumerate(langs)}
+    base = np.zeros((longest + 1, len(langs)))
+    for name, i in at.items():
+        for size in range(longest + 1):
+            n, kinds = own[(name,)] if size == 0 else sized.get((name, size), (0, 0))
+            base[size, i] = math.log(ALPHA / (n + ALPHA * (kinds + 1)))
+    model = {"langs": langs, "longest": longest, "base": base, "words": _table(_entries(words, most_entries), at), "grams": _table(_entries(grams, most_entries), at)}
+    release(words, grams)
+    return model
 
 
-class _Scored:
-    """Scores of the words met so far, one row each; forgotten when ``cells`` numbers are held.
+def _digests(units: list[str]) -> np.ndarray:
+    """What ``xxhash64`` gives in SQL."""
+    import xxhash
 
-    Rows of the model's words come first; unseen words of a batch are scored together.
-    """
+    h = xxhash.xxh64_intdigest
+    return np.array([h(u.encode("utf-8", "surrogatepass"), 42) for u in units], np.uint64).view(np.int64)
 
-    def __init__(self, model: dict, cells: int = 600_000):
-        self.langs, self.longest = model["langs"], model["longest"]
-        model = model if "word_rows" in model else packed(model)
+
+class _Scored:
+    """Scores of the words met so far, one row each, and whether they are known; forgotten when
+    ``cells`` numbers are held.  New words of a batch are looked up together."""
+
+    def __init__(self, model: dict, cells: int = 1_000_000):
+        self.langs, self.longest, self.base = model["langs"], model["longest"], model["base"]
+        self.words, self.grams = model["words"], model["grams"]
         self.most = max(10_000, cells // max(1, len(self.langs)))
-        self.model = {w: i for i, w in enumerate(model["words"])}
-        self.first = model["word_rows"]
-        self.gram: list[dict[str, int]] = [{}]
-        before = 0
-        for n in range(1, self.longest + 1):
-            self.gram.append({g: before + i for i, g in enumerate(model["grams"][n])})
-            before += len(model["grams"][n])
-        self.gram_rows = np.concatenate([model["gram_rows"][n] for n in range(1, self.longest + 1)])
-        self.at, self.rows, self.used = dict(self.model), self.first.copy(), len(self.first)
+        self.forget()
+
+    def forget(self) -> None:
+        self.at: dict[str, int] = {}
+        self.rows, self.known, self.used = np.zeros((1024, len(self.langs))), np.zeros(1024, bool), 0
+
+    @staticmethod
+    def _find(table: tuple, digests: np.ndarray) -> np.ndarray:
+        """Positions in the table's units, -1 where there is none."""
+        units = table[0]
+        if not len(units):
+            return np.full(len(digests), -1)
+        at = np.minimum(np.searchsorted(units, digests), len(units) - 1)
+        return np.where(units[at] == digests, at, -1)
+
+    @staticmethod
+    def _add(made: np.ndarray, rows: np.ndarray, table: tuple, at: np.ndarray, weight: np.ndarray) -> None:
+        """Add the gains of the units ``at``, each times its weight, to their rows."""
+        _, starts, langs, gains = table
+        n = starts[at + 1] - starts[at]
+        places = np.arange(n.sum()) + np.repeat(starts[at] - (np.cumsum(n) - n), n)
+        np.add.at(made, (np.repeat(rows, n), langs[places]), gains[places] * np.repeat(weight, n))
 
     def learn(self, new: list[str]) -> None:
         """Rows for distinct words that have none."""
-        ids: list[int] = []
-        sizes: list[int] = []
-        for w in new:
-            found: list[int] = []
-            for n in range(self.longest, 0, -1):
-                table = self.gram[n]
-                found = [table[g] for g in grams_of(w, n) if g in table]
-                if found:
-                    break
-            ids += found
-            sizes.append(len(found))
-        made = np.zeros((len(new), len(self.langs)))
-        size = np.array(sizes, np.int64)
-        some = size > 0
-        if some.any():
-            starts = (np.cumsum(size) - size)[some]
-            made[some] = np.add.reduceat(self.gram_rows[ids], starts, axis=0) / size[some, None]
+        made, known = np.zeros((len(new), len(self.langs))), np.zeros(len(new), bool)
+        at = self._find(self.words, _digests(new))
+        own = np.flatnonzero(at >= 0)
+        made[own], known[own] = self.base[0], True
+        self._add(made, own, self.words, at[own], np.ones(len(own)))
+        left = unsure = np.flatnonzero(at < 0)
+        for size in range(self.longest, 0, -1):
+            # words of which a longer n-gram is known are scored, but looked at until they count as known
+            words = unsure if size >= KNOWN_GRAM else left
+            if not len(words):
+                continue
+            grams = [grams_of(new[i], size) for i in words]
+            n = np.array([len(g) for g in grams])
+            owner = np.repeat(np.arange(len(words)), n)
+            found = self._find(self.grams, _digests([g for gs in grams for g in gs]))
+            owner, found = owner[found >= 0], found[found >= 0]
+            hits = np.bincount(owner, minlength=len(words))
+            first = np.isin(words, left) & (hits > 0)
+            made[words[first]] = self.base[size]
+            use = first[owner]
+            self._add(made, words[owner[use]], self.grams, found[use], 1.0 / hits[owner[use]])
+            left = np.setdiff1d(left, words[first], assume_unique=True)
+            if size >= KNOWN_GRAM:
+                known[words] = (hits > 0) & (hits >= KNOWN_SHARE * n)
+                unsure = words[~known[words]]
         if self.used + len(new) > len(self.rows):
-            grown = np.zeros((max(2 * len(self.rows), self.used + len(new)), len(self.langs)))
-            grown[: self.used] = self.rows[: self.used]
-            self.rows = grown
+            more = max(2 * len(self.rows), self.used + len(new))
+            self.rows = np.concatenate([self.rows[: self.used], np.zeros((more - self.used, len(self.langs)))])
+            self.known = np.concatenate([self.known[: self.used], np.zeros(more - self.used, bool)])
         self.rows[self.used : self.used + len(new)] = made
+        self.known[self.used : self.used + len(new)] = known
         self.at.update(zip(new, range(self.used, self.used + len(new)), strict=True))
         self.used += len(new)
 
-    def totals(self, texts: list[list[str]]) -> np.ndarray:
-        """Sums of the scores of each text's words; no text is without words."""
+    def totals(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """For each text the sums of its words' scores and its share of known words; no text is
+        without words."""
         every = [w for t in texts for w in t]
         at = self.at
         try:
             ids = np.array([at[w] for w in every], np.int64)
         except KeyError:
             different = list(dict.fromkeys(every))
-            if self.used > len(self.first) + self.most:
-                self.at, self.used = dict(self.model), len(self.first)
-                self.rows = self.first.copy()
+            if self.used > self.most:
+                self.forget()
             self.learn([w for w in different if w not in self.at])
             at = self.at
             ids = np.array([at[w] for w in every], np.int64)
         sizes = np.array([len(t) for t in texts])
-        return np.add.reduceat(self.rows[ids], np.cumsum(sizes) - sizes, axis=0)
+        starts = np.cumsum(sizes) - sizes
+        return np.add.reduceat(self.rows[ids], starts, axis=0), np.add.reduceat(self.known[ids].astype(float), starts) / sizes
 
 
 def _predict(model, outputs: list[str], words: int = 60_000):
     def run(batches):
         scored = _Scored(model.value)
         for batch in batches:
-            names, scores = [UNKNOWN] * batch.num_rows, [0.0] * batch.num_rows
+            names, scores, shares = [UNKNOWN] * batch.num_rows, [0.0] * batch.num_rows, [0.0] * batch.num_rows
             held: list[list[str]] = []
             where: list[int] = []
 
-            def settle(names=names, scores=scores, held=held, where=where):
+            def settle(names=names, scores=scores, shares=shares, held=held, where=where):
                 if held:
-                    totals = scored.totals(held)
+                    totals, known = scored.totals(held)
                     best = totals.argmax(axis=1)
                     even = np.sqrt([len(t) for t in held])[:, None]
                     share = 1.0 / np.exp(np.clip((totals - totals.max(axis=1, keepdims=True)) / even, -700, 0)).sum(axis=1)
-                    for i, b, x in zip(where, best.tolist(), share.tolist(), strict=True):
-                        names[i], scores[i] = scored.langs[b], x
+                    for i, b, x, k in zip(where, best.tolist(), share.tolist(), known.tolist(), strict=True):
+                        names[i], scores[i], shares[i] = scored.langs[b], x, k
                 held.clear()
                 where.clear()
 
@@ -245,24 +286,26 @@ def _predict(model, outputs: list[str], words: int = 60_000):
                         settle()
                         size = 0
             settle()
-            arrays = [batch.column(i) for i in range(batch.num_columns - 1)] + [pa.array(names, pa.string()), pa.array(scores, pa.float64())]
+            arrays = [batch.column(i) for i in range(batch.num_columns - 1)] + [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(shares, pa.float64())]
             yield pa.RecordBatch.from_arrays(arrays, names=batch.schema.names[:-1] + outputs)
 
     return run
 
 
-def predict(df: DataFrame, text: Column, model: dict, keep: list[Column], pred: str = "lang_pred", score: str = "score") -> DataFrame:
-    """Columns ``keep`` with ``pred`` and ``score`` (0 to 1) of each row of ``df``; the names must
-    not be among those kept.
+def predict(df: DataFrame, text: Column, model: dict, keep: list[Column], pred: str = "lang_pred", score: str = "score", known: str = "known") -> DataFrame:
+    """Columns ``keep`` with ``pred``, ``score`` and ``known`` (0 to 1) of each row of ``df``; the
+    names must not be among those kept.  ``known`` is the share of a text's words that the model has,
+    or of whose n-grams of four or of five characters it has four fifths.
 
     Null texts and texts without a letter are ``und`` with score 0, as is every row where nothing
     was learned.  Ties go to the smaller language code.  The score is the best language's share of
-    the likelihoods, evened by the square root of the number of words.
+    the likelihoods, evened by the square root of the number of words.  Very long texts are read whole,
+    repeated rows stay, an empty table gives an empty one.
     """
     small_batches(df.sparkSession)
     kept = df.select(*keep).columns
-    (hidden,) = fresh([*kept, pred, score], "__text")
+    (hidden,) = fresh([*kept, pred, score, known], "__text")
     chosen = df.select(*keep, text.alias(hidden))
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1])
-    shared = df.sparkSession.sparkContext.broadcast(packed(model))
-    return chosen.mapInArrow(_predict(shared, [pred, score]), f"{types}, `{pred}` string, `{score}` double")
+    shared = df.sparkSession.sparkContext.broadcast(model)
+    return chosen.mapInArrow(_predict(shared, [pred, score, known]), f"{types}, `{pred}` string, `{score}` double, `{known}` double")

@@ -5,9 +5,11 @@
 2. Blocks: each source's documents, in a pseudorandom order, form one stream of words that is cut
    into blocks of ``block`` words (the last is shorter).
 3. Slots: a source fills ``ceil(words / block)`` slots; its last slot is cut where the target is
-   reached.  A pseudorandom permutation deals all sources' slots over output shards of ``per_shard``
-   slots, so a shard's source counts are a multinomial draw conditioned on the corpus totals
-   (unconditioned draws would miss a small source's target by ``1/sqrt(slots)``).
+   reached.  Output shards have ``per_shard`` slots.  How many of a shard's slots each source gets is
+   a multinomial draw conditioned on the corpus totals (unconditioned draws would miss a small
+   source's target by ``1/sqrt(slots)``).  Draws go down a binary tree of shards: at each node, the
+   counts of its left half.  Any run of shards is drawn by itself from the root, with the same result,
+   so no task and not the driver holds the counts of all shards.
 4. Slot ``k`` of a source uses block ``p(k)`` for a keyed permutation ``p`` of the source's block
    numbers, a new one in each epoch, so every block is used once before any is used again.
 5. Slots and blocks are joined by (source, block number): evenly spread keys, whatever the sizes of
@@ -21,6 +23,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,8 +34,10 @@ from .workspace import fresh, small_batches, stage
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows of a table of sources that one task makes targets from; more sources raise an error.
 MAX_SOURCES = 100_000
-#: Slots made from one row.
-RUN = 1 << 14
+#: Shards whose slots are made from one row.
+RUN = 16
+#: Slots of a node of the tree of shards up to which its split is drawn; above, it is in proportion.
+MOST_DRAWN = 500_000_000
 
 
 def word_count(text: Column) -> Column:
@@ -82,15 +87,63 @@ def permute(k: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
     return out.astype(np.int64)
 
 
-@F.pandas_udf(T.LongType())
-def _permuted(k: pd.Series, n: pd.Series, key: pd.Series) -> pd.Series:
-    return pd.Series(permute(k.to_numpy(), n.to_numpy(), key.to_numpy()))
-
-
 def _seeded(seed: int, *parts) -> int:
     return int.from_bytes(hashlib.sha256(repr((seed, *parts)).encode()).digest()[:7], "big")
 
 
+def split_counts(counts: np.ndarray, left: int, seed: int) -> np.ndarray:
+    """How many slots of each source are among ``left`` slots taken from all without replacement."""
+    total = int(counts.sum())
+    if total <= MOST_DRAWN:
+        return np.random.Generator(np.random.Philox(seed)).multivariate_hypergeometric(counts, left, method="marginals")
+    whole = [int(c) * left // total for c in counts]
+    rest = sorted(range(len(counts)), key=lambda i: (-(int(counts[i]) * left % total), i))
+    for i in rest[: left - sum(whole)]:
+        whole[i] += 1
+    return np.array(whole, np.int64)
+
+
+def shard_counts(counts: np.ndarray, per_shard: int, first: int, last: int, seed: int):
+    """(shard, counts, before) of the shards from ``first`` up to ``last``: each source's slots in the
+    shard, and in all shards before it."""
+    shards = -(-int(counts.sum()) // per_shard)
+
+    def walk(low, high, counts, before):
+        if high <= first or low >= last or low >= high:
+            return
+        if high - low == 1:
+            yield low, counts, before
+            return
+        middle = (low + high) // 2
+        left = split_counts(counts, (middle - low) * per_shard, _seeded(seed, "split", low, high))
+        yield from walk(low, middle, left, before)
+        yield from walk(middle, high, counts - left, before + left)
+
+    yield from walk(0, shards, counts, np.zeros_like(counts))
+
+
+def _deal(plans: list[dict], block: int, per_shard: int, seed: int):
+    """(rank, block, shard, slot, limit) of all slots of the runs of shards whose first one is given."""
+    column = lambda c: np.array([p[c] for p in plans], np.int64)
+    slots, blocks, seeds, cut = column("slots"), column("blocks"), column("seed"), column("cut")
+
+    def run(batches):
+        for batch in batches:
+            for first in batch.column(0).to_pylist():
+                out = []
+                for shard, counts, before in shard_counts(slots, per_shard, first, first + RUN, seed):
+                    n = int(counts.sum())
+                    rank = np.repeat(np.arange(len(plans)), counts)
+                    k = np.arange(n) - np.repeat(np.cumsum(counts) - counts, counts) + before[rank]
+                    number = permute(k % blocks[rank], blocks[rank], seeds[rank] + k // blocks[rank])
+                    slot = permute(np.arange(n), np.full(n, n), np.full(n, _seeded(seed, "deal", shard)))
+                    out.append((rank, number, np.full(n, shard), slot, np.where(k == slots[rank] - 1, cut[rank], block)))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[c] for o in out]).astype(np.int64)) for c in range(5)], names=["rank", "block", "shard", "slot", "limit"])
+
+    return run
+
+
 def plan(sized: DataFrame, source: str, size: str, weights=(3, 1, 2), budget: float = 1.5, repeat: float = 2.0) -> DataFrame:
     """Targets per source: (source, source_size, target, rank).
 
@@ -134,10 +187,7 @@ def mix(df: DataFrame, text: str = "text", source: str = "source", key: str = "d
         p["chunks"] = max(1, min(1 << 16, p["source_rows"] // 2_000 + 1))
         p["seed"] = _seeded(seed, p["source"])
         p["slots"], p["cut"] = _slots(p, block)
-    first = 0
-    for p in plans:
-        p["first"], first = first, first + p["slots"]
-    shape = "source string, source_size bigint, target double, rank int, source_rows bigint, blocks bigint, chunks bigint, seed bigint, slots bigint, cut bigint, first bigint"
+    shape = "source string, source_size bigint, target double, rank int, source_rows bigint, blocks bigint, chunks bigint, seed bigint, slots bigint, cut bigint"
     order = [f.split()[0] for f in shape.split(", ")]
     dim = spark.createDataFrame([tuple(p[c] for c in order) for p in plans], shape)
 
@@ -156,16 +206,14 @@ def mix(df: DataFrame, text: str = "text", source: str = "source", key: str = "d
     high = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block)
     segments = covered.select("key", "digest", "row", "rank", "block", (low - F.col("start")).alias("first"), (low - F.col("block") * block).alias("offset"), (high - low).alias("words"))
 
-    # One row per slot, made in runs so that no row holds more than RUN of them.
-    runs = dim.where("slots > 0").select("*", F.explode(F.sequence(F.lit(0), F.floor((F.col("slots") - 1) / RUN))).alias("run"))
-    runs = runs.repartition(max(1, min(10_000, first // RUN + 1)), "rank", "run")
-    slots = runs.select("rank", "blocks", "seed", "slots", "cut", "first", F.explode(F.sequence(F.col("run") * RUN, F.least(F.col("run") * RUN + RUN, "slots") - 1)).alias("k"))
-    epoch = F.floor(F.col("k") / F.col("blocks"))
-    slots = slots.select("rank", _permuted(F.pmod("k", "blocks"), F.col("blocks"), F.col("seed") + epoch).alias("block"), _permuted(F.col("first") + F.col("k"), F.lit(max(1, first)), F.lit(_seeded(seed, "deal"))).alias("slot"), F.when(F.col("k") == F.col("slots") - 1, F.col("cut")).otherwise(block).alias("limit"))
+    # One row per slot, made in runs of shards.
+    shards = -(-sum(p["slots"] for p in plans) // per_shard)
+    runs = spark.range(0, max(1, shards), RUN, max(1, min(10_000, shards // (4 * RUN) + 1))).where(F.col("id") < shards)
+    slots = runs.mapInArrow(_deal(plans, block, per_shard, seed), "rank bigint, block bigint, shard bigint, slot bigint, limit bigint")
     # size estimates do not see that rows were multiplied, so the join's kind is named
     joined = segments.join(slots.hint("merge"), ["rank", "block"])
     taken = F.least(F.col("words"), F.col("limit") - F.col("offset"))
-    pieces = joined.select("key", "digest", "row", F.floor(F.col("slot") / per_shard).alias("shard"), F.pmod("slot", F.lit(per_shard)).alias("slot"), F.col("offset").alias("at"), "first", taken.alias("words")).where("words > 0")
+    pieces = joined.select("key", "digest", "row", "shard", "slot", F.col("offset").alias("at"), "first", taken.alias("words")).where("words > 0")
     return placed.select("key", "row", "size", "source_size", "target"), pieces
 
 
@@ -228,19 +276,26 @@ def mixed_documents(df: DataFrame, text: str = "text", source: str = "source", k
     """The mix as documents: one row per piece with ``df``'s columns; ``text`` is the stretch of
     the original text that the piece covers, ``n_chars`` (where there is such a column) its length.
 
-    Of rows with equal keys and texts all pieces are given with one row's other columns.  Texts
-    without words are in no piece.
+    Rows are dealt by output shard and sorted by shard, slot and place in the slot: a written file
+    holds whole shards, and the rows of a block of ``block`` words follow each other.
+
+    Of rows with equal keys and texts all pieces are given with one row's other columns, the same in
+    each run.  Null texts and texts without words are in no piece, null sources and keys are values
+    like others, very long texts are cut like others, an empty table gives an empty one.
     """
     _, pieces = mix(df, text, source, key, seed=seed, **how)
-    k, d, cuts, row = fresh(df.columns, "__key", "__digest", "__cuts", "__row")
+    k, d, cuts, row, place = fresh(df.columns, "__key", "__digest", "__cuts", "__row", "__place")
     name = lambda c: F.coalesce(c.cast("string"), F.lit("\0"))
-    piece = F.struct(F.col("first").cast("int").alias("first"), F.col("words").cast("int").alias("words"))
+    piece = F.struct(F.col("first").cast("int").alias("first"), F.col("words").cast("int").alias("words"), "shard", "slot", "at")
     # a document's pieces are gathered, not its text repeated; there are as many as its own blocks
     cut = pieces.groupBy(name(F.col("key")).alias(k), F.col("digest").alias(d)).agg(F.collect_list(piece).alias(cuts))
-    whole = df.select(name(df[key]).alias(k), F.xxhash64(F.lit(seed), df[key], df[text]).alias(d), F.struct(*[df[c] for c in df.columns]).alias(row))
-    whole = whole.groupBy(k, d).agg(F.first(row).alias(row))
-    out = whole.join(cut, [k, d]).select(*[F.col(row)[c].alias(c) for c in df.columns], F.explode(_cut(F.col(row)[text], F.col(cuts))).alias(cuts))
-    out = out.withColumn(text, F.col(cuts))
+    others = F.struct(*[df[c] for c in df.columns if c != text])
+    whole = df.select(name(df[key]).alias(k), F.xxhash64(F.lit(seed), df[key], df[text]).alias(d), F.struct(*[df[c] for c in df.columns]).alias(row), F.xxhash64(F.to_json(others)).alias(place))
+    whole = whole.groupBy(k, d).agg(F.max_by(row, place).alias(row))
+    made = F.arrays_zip(_cut(F.col(row)[text], F.col(cuts)).alias("text"), F.transform(cuts, lambda c: F.struct(c["shard"], c["slot"], c["at"])).alias("place"))
+    out = whole.join(cut, [k, d]).select(*[F.col(row)[c].alias(c) for c in df.columns if c != text], F.explode(made).alias(place))
+    out = out.withColumn(text, F.col(place)["text"]).withColumn(place, F.col(place)["place"])
     if n_chars in df.columns:
         out = out.withColumn(n_chars, F.length(text).cast(df.schema[n_chars].dataType))
+    out = out.repartition(F.col(place)["shard"]).sortWithinPartitions(place)
     return out.select(*df.columns)

@@ -14,6 +14,8 @@ import zlib
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 
+from .workspace import fresh, small_batches
+
 # Fixed values of the container format.
 CAPTURE = b"OggS"
 CONTINUED, FIRST, LAST = 1, 2, 4
@@ -232,11 +234,22 @@ def _encode(batches):
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(sizes, pa.int64()), pa.array(media, pa.binary())], names=[*batch.schema.names[:-1], "n_bytes", "media"])
 
 
+def _chosen(df: DataFrame, value: Column, keep: list[Column], made: list[str]) -> DataFrame:
+    """Columns ``keep`` but those called like ``made``, and ``value`` under a name of its own."""
+    taken = {m.lower() for m in made}
+    kept = df.select(*keep)
+    own = [c for c, name in zip(keep, kept.columns, strict=True) if name.lower() not in taken]
+    (hidden,) = fresh([*kept.columns, *made], "__value")
+    return df.select(*own, value.alias(hidden))
+
+
 def to_media(df: DataFrame, text: Column, keep: list[Column]) -> DataFrame:
     """Columns ``keep`` with ``n_bytes`` (UTF-8, unpadded) and ``media``: the whole text, spaces
     added up to a positive multiple of 192 bytes, as an Ogg stream. Null counts as empty. Equal
-    texts give equal bytes. Rows are neither merged nor shuffled."""
-    chosen = df.select(*keep, text.alias("__text"))
+    texts give equal bytes, very long ones are stored whole. Rows are neither merged nor shuffled;
+    an empty table gives an empty one. Kept columns called ``n_bytes`` or ``media`` are replaced."""
+    small_batches(df.sparkSession)
+    chosen = _chosen(df, text, keep, ["n_bytes", "media"])
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1])
     return chosen.mapInArrow(_encode, f"{types}, n_bytes bigint, media binary")
 
@@ -264,7 +277,9 @@ def _decode(batches):
 
 def from_media(df: DataFrame, media: Column, keep: list[Column]) -> DataFrame:
     """Columns ``keep`` with what reading the stored bytes gives (``FEATURES``). Null media gives
-    nulls; damaged pages are passed over and counted in ``feature``."""
-    chosen = df.select(*keep, media.alias("__media"))
+    nulls; damaged pages are passed over and counted in ``feature``. Kept columns with the names of
+    the results are replaced; repeated rows stay, an empty table gives an empty one."""
+    small_batches(df.sparkSession)
+    chosen = _chosen(df, media, keep, [n for n, _ in _FEATURES])
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1])
     return chosen.mapInArrow(_decode, f"{types}, {FEATURES}")

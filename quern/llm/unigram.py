@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .workspace import fresh, small_batches
+
 SPACE = "▁"
 #: Pre-tokens: a word with the space before it, a run of spaces, or one other white-space character.
 _PRE = re.compile(f"{SPACE}?[^{SPACE}\\s]+|{SPACE}+|\\s")
@@ -122,10 +124,14 @@ def count_tokens(df: DataFrame, text: Column, vocabulary: dict, keep: list[Colum
 
     A space is put before the text, spaces count as part of the word that follows, and no piece
     reaches over two pre-tokens.  Characters that the vocabulary lacks count their UTF-8 bytes.
-    Null and empty texts have 0 tokens; an empty table gives an empty one.  Rows stay as they are:
-    there is no shuffle.  The broadcast vocabulary is that of a file, whatever the input's size.
+    Null and empty texts have 0 tokens; very long ones are counted whole; an empty table gives an
+    empty one.  Rows stay as they are, repeated ones too: there is no shuffle.  A kept column called
+    ``n_tokens`` is replaced.  The broadcast vocabulary is that of a file, whatever the input's size.
     """
-    chosen = df.select(*keep, text.alias("__text"))
+    small_batches(df.sparkSession)
+    names = df.select(*keep).columns
+    (hidden,) = fresh([*names, "n_tokens"], "__text")
+    chosen = df.select(*[c for c, name in zip(keep, names, strict=True) if name.lower() != "n_tokens"], text.alias(hidden))
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1])
     shared = df.sparkSession.sparkContext.broadcast(vocabulary)
     return chosen.mapInArrow(_batches(shared), f"{types}, n_tokens bigint")

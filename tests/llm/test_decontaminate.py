@@ -63,7 +63,29 @@ def test_same_as_plain_search():
             d = semi(n, D.normal(text))
             if d <= D.budget(n, 0.06):
                 want.append((i, d))
-        assert [(i, d) for i, d, _, _ in finder.find(text)] == want
+        found = finder.find(text)
+        assert [(i, d) for i, d, _, _ in found] == want
+        by = dict(items)
+        for i, d, start, end in found:
+            assert whole(D.normal(by[i]), D.normal(text)[start:end]) == d
+
+
+def whole(p, t):
+    """Edit distance of two strings, the plain way."""
+    row = list(range(len(t) + 1))
+    for i, q in enumerate(p, 1):
+        new = [i]
+        for j, c in enumerate(t, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (q != c)))
+        row = new
+    return row[-1]
+
+
+def test_short_items_are_found_as_they_are_and_alone():
+    finder = D.Finder([(1, "Too  short"), (2, ""), (3, "é 7")], 0.06, 40)
+    find = lambda t: [(i, d, t[a:b]) for i, d, a, b in finder.find(t)]
+    assert find("it is too short, no") == [(1, 0, "too short")] and find("too shor") == [] and find("stoo short too shorts") == []
+    assert find("stoo short (too short)") == [(1, 0, "too short")] and find("é 7") == [(3, 0, "é 7")] and find("é 77") == []
 
 
 def test_columns_blocks_and_edges(spark, monkeypatch):
@@ -74,7 +96,7 @@ def test_columns_blocks_and_edges(spark, monkeypatch):
         monkeypatch.setattr(D, "item_blocks", lambda i, k, t, most=most, f=D.item_blocks: f(i, k, t, most)) if most == 10 else None
         df = clashing(docs(spark, rows), "found", "__text", "item")
         got = {r["doc_id"]: [(x["item"], x["distance"]) for x in r["found"]] for r in D.contaminated(df, F.col("text"), b, [F.col("doc_id"), F.col("found"), F.col("__text")]).collect()}
-        assert got == {10: [(1, 0)], 11: [(1, 1)], 12: [], 13: [(None, 0)], 14: [], 15: []}
+        assert got == {10: [(1, 0)], 11: [(1, 1)], 12: [], 13: [(None, 0)], 14: [(3, 0)], 15: []}
     assert all(r["found"] == [] for r in D.contaminated(docs(spark), F.col("text"), b.limit(0), [F.col("doc_id")]).collect())
     assert D.contaminated(docs(spark), F.col("text"), b, [F.col("doc_id")]).count() == 8
     assert D.contaminated(empty(spark), F.col("text"), b, [F.col("doc_id")]).count() == 0

@@ -1,3 +1,6 @@
+import collections
+import math
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -15,16 +18,64 @@ def _train_rows(n=40):
     return rows + [(900, None, "en", "s", 0), (901, "no label here", None, "s", 0)]
 
 
-def test_words_first_then_shorter_grams(spark):
-    m = L.train(docs(spark, _train_rows()), "text", "lang")
-    assert m["langs"] == ["de", "en"]
-    scored = L._Scored(m)
-    words, grams = L._tables(m)
-    texts = [["the"], ["houses"], ["qqq"], ["weglange", "the", "zzz", "ß"]]
-    for t, got in zip(texts, scored.totals(texts), strict=True):
-        want = np.sum([L.word_scores(w, words, grams, 5, 2) for w in t], axis=0)
-        assert np.allclose(got, want)
-    assert scored.totals([["houses"]])[0].argmax() == 1 and scored.totals([["herrns"]])[0].argmax() == 0
+def plain(rows, longest=5):
+    """Scores of a word per language from plain counts of all words and n-grams."""
+    words, grams = {}, {}
+    for _, text, lang, *_ in rows:
+        if text is None or lang is None:
+            continue
+        own = words.setdefault(lang, collections.Counter())
+        own.update(L.words_of(text))
+    for lang, own in words.items():
+        for w, n in own.items():
+            padded = f" {w} "
+            for size in range(1, longest + 1):
+                for at in range(len(w) if size == 1 else len(padded) - size + 1):
+                    gram = w[at] if size == 1 else padded[at : at + size]
+                    grams.setdefault(lang, {}).setdefault(size, collections.Counter())[gram] += n
+
+    def log(count, unit):
+        return math.log((count[unit] + 0.5) / (sum(count.values()) + 0.5 * (len(count) + 1)))
+
+    def score(word):
+        if any(word in c for c in words.values()):
+            return [log(words[k], word) for k in sorted(words)]
+        for size in range(longest, 0, -1):
+            found = [g for g in L.grams_of(word, size) if any(g in grams[k].get(size, {}) for k in words)]
+            if found:
+                return [sum(log(grams[k].get(size, collections.Counter()), g) for g in found) / len(found) for k in sorted(words)]
+        return [0.0] * len(words)
+
+    return score
+
+
+def test_scores_are_those_of_plain_counts(spark):
+    rows = [*_train_rows(), (902, "ein kleiner Satz, the, ß", "fr", "s", 0)]
+    m = L.train(docs(spark, rows), "text", "lang")
+    assert m["langs"] == ["de", "en", "fr"]
+    scored, score = L._Scored(m), plain(rows)
+    texts = [["the"], ["houses"], ["qqq"], ["weglange", "the", "zzz", "ß"], ["kleine", "e", "日本"], ["herrns"]]
+    totals, known = scored.totals(texts)
+    assert np.allclose(totals, [np.sum([score(w) for w in t], axis=0) for t in texts], atol=1e-4)
+    have = {g for _, t, lang, *_ in rows if t and lang for w in L.words_of(t) for n in (4, 5) for g in L.grams_of(w, n)}
+    words = {w for _, t, lang, *_ in rows if t and lang for w in L.words_of(t)}
+
+    def is_known(w):
+        shares = [sum(g in have for g in L.grams_of(w, n)) / len(L.grams_of(w, n)) for n in (4, 5) if L.grams_of(w, n)]
+        return w in words or any(x >= 0.8 for x in shares)
+
+    assert known.tolist() == [sum(map(is_known, t)) / len(t) for t in texts]
+    assert scored.totals([["kleinen"], ["househouse"], ["kommen"], ["lang"]])[1].tolist() == [is_known("kleinen"), is_known("househouse"), is_known("kommen"), is_known("lang")]
+    assert totals[1].argmax() == 1 and totals[5].argmax() == 0
+
+
+def test_capacity_keeps_the_most_frequent_units_of_all_languages(spark):
+    assert L.least_kept({1: 50, 2: 20, 9: 5}, 25) == 2 and L.least_kept({1: 50, 2: 20, 9: 5}, 24) == 9
+    assert L.least_kept({1: 50}, 100) == 1 and L.least_kept({}, 5) == 1 and L.least_kept({3: 9}, 2) == 4
+    rows = [(0, "aa aa aa bb bb cc", "en", "s", 0), (1, "aa dd dd", "de", "s", 0)]
+    m = L.train(docs(spark, rows), "text", "lang", most_entries=4)
+    # aa (4, two languages), bb and dd (2 each) fit; cc does not
+    assert sorted(m["words"][0]) == sorted(L._digests(["aa", "bb", "dd"])) and len(m["words"][2]) == 4
 
 
 def test_forgetting_changes_nothing(spark):
@@ -32,13 +83,13 @@ def test_forgetting_changes_nothing(spark):
     small, large = L._Scored(m), L._Scored(m)
     small.most = 2
     for t in (["aa", "bb", "cc"], ["dd", "aa", "the"], ["the", "ee"], ["aa", "bb", "ff"]):
-        assert np.allclose(small.totals([t]), large.totals([t]))
+        assert np.allclose(small.totals([t])[0], large.totals([t])[0])
 
 
 def test_predictions(spark):
     m = L.train(docs(spark, _train_rows()), "text", "lang")
     rows = [(1, "The Lord came", None, None, 0), (2, "Das HAUS war da", "en", "x", 0), (3, None, "en", "x", 0), (4, "123 -- _ ½", "en", "x", 0), (5, "", "en", "x", 0)]
-    got = {r["doc_id"]: r for r in L.predict(clashing(docs(spark, rows), "__text"), F.col("text"), m, [F.col("doc_id"), F.col("__text")]).collect()}
+    got = {r["doc_id"]: r for r in L.predict(clashing(docs(spark, [*rows, (6, "the house " * 50_000, None, None, 0), (6, "the house", None, None, 0)]), "__text"), F.col("text"), m, [F.col("doc_id"), F.col("__text")]).collect()}
     assert [got[i]["lang_pred"] for i in range(1, 6)] == ["en", "de", "und", "und", "und"]
     assert all(0 <= r["score"] <= 1 for r in got.values()) and got[1]["score"] > 0.5
 

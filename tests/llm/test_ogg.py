@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quern.llm import ogg
 
-from .helpers import EDGE, docs, empty
+from .helpers import EDGE, clashing, docs, empty
 
 
 def _slow_checksum(data):
@@ -56,7 +56,10 @@ def test_granules_give_times():
 
 
 def test_columns(spark):
-    media = ogg.to_media(docs(spark), F.col("text"), [F.col("doc_id"), F.col("text")])
+    df = clashing(docs(spark), "__text", "__media", "__value", "media", "n_bytes", "feature")
+    media = ogg.to_media(df, F.col("text"), [F.col("doc_id"), F.col("text"), F.col("media"), F.col("__value")])
+    assert media.columns == ["doc_id", "text", "__value", "n_bytes", "media"]
+    assert ogg.from_media(media.withColumn("feature", F.lit("x")), F.col("media"), [F.col("feature"), F.col("doc_id")]).columns[0] == "doc_id"
     rows = ogg.from_media(media, F.col("media"), [F.col("doc_id"), F.col("n_bytes"), F.col("text")]).collect()
     assert len(rows) == len(EDGE)
     for r in rows:

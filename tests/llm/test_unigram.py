@@ -53,9 +53,11 @@ def test_pre_tokens_keep_every_character():
 
 
 def test_columns(spark, vocabulary):
-    df = clashing(docs(spark), "n", "__text")
-    rows = U.count_tokens(df.drop("__text"), F.col("text"), vocabulary, [F.col("doc_id"), F.col("text")]).collect()
-    assert len(rows) == len(EDGE)
+    df = clashing(docs(spark), "n", "__text", "n_tokens")
+    out = U.count_tokens(df, F.col("text"), vocabulary, [F.col(c) for c in df.columns])
+    assert out.columns == [c for c in df.columns if c != "n_tokens"] + ["n_tokens"]
+    rows = out.collect()
+    assert len(rows) == len(EDGE) and {r["__text"] for r in rows} == {"x"}
     for r in rows:
         if r["doc_id"] != 6:
             assert r["n_tokens"] == sum(plain(w, vocabulary) for w in U.pre_tokens(r["text"] or ""))
