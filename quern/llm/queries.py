@@ -16,14 +16,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    captures = warc.round_trip(table(spark, sf_dir, "pages"))
-    page = F.regexp_extract(F.col("metadata")[0]["fields"], r"pageId: (-?\d+)", 1).cast("bigint")
+    return captured_pages(table(spark, sf_dir, "pages"))
+
+
+def captured_pages(pages: DataFrame, salts: int = 16) -> DataFrame:
+    """One row per row of ``pages``, from the archives that hold them."""
+    captures = warc.round_trip(pages)
+    page = F.regexp_extract(F.get("metadata", F.lit(0))["fields"], r"pageId: (-?\d+)", 1)
     # a revisit holds no payload: its size and digest are those that its headers keep
     full = F.when(F.col("kind") == "revisit", F.col("declared_bytes")).otherwise(F.col("payload_bytes"))
     digest = F.when(F.col("kind") == "revisit", F.regexp_replace("payload_digest", "^sha1:", "")).otherwise(F.col("payload_sha1"))
-    rows = stage(captures.select("record_id", page.alias("page_id"), full.alias("payload_bytes"), digest.alias("payload_digest"), F.col("kind").alias("record_type"), "refers_to", F.col("request").isNotNull().alias("has_request")), "warc-captures")
-    stored = rows.where("record_type = 'response'").select(F.col("record_id").alias("refers_to"), F.col("page_id").alias("refers_to_page"))
-    return rows.join(stored, "refers_to", "left").select("page_id", "payload_bytes", "payload_digest", "record_type", F.col("refers_to_page").alias("refers_to"), "has_request")
+    rows = stage(captures.select("record_id", F.when(page != "", page).cast("bigint").alias("page_id"), full.alias("payload_bytes"), digest.alias("payload_digest"), F.col("kind").alias("record_type"), F.col("refers_to").alias("target"), F.col("request").isNotNull().alias("has_request")), "warc-captures")
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type"]
+    # only revisits look for their response; those of one response are dealt over several keys
+    revisits = rows.where("target is not null").withColumn("salt", F.pmod(F.xxhash64("record_id"), F.lit(salts)).cast("int"))
+    wanted = rows.where("target is not null").select("target").distinct()
+    stored = rows.where("target is null").select(F.col("record_id").alias("target"), F.col("page_id").alias("refers_to"))
+    stored = stored.join(wanted, "target").select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+    found = revisits.join(stored, ["target", "salt"], "left").select(*columns, "refers_to", "has_request")
+    return rows.where("target is null").select(*columns, F.lit(None).cast("bigint").alias("refers_to"), "has_request").unionAll(found)
 
 
 def op2_ogg_media(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 import gzip
 import hashlib
 
-from quern.llm import warc
+from quern.llm import queries, warc
 from quern.llm.workspace import new_path
 
 PAGES = "page_id bigint, url string, html string"
@@ -66,6 +66,50 @@ def test_links_in_either_direction_and_over_a_request(spark, tmp_path):
     assert rows["r2"]["request"] is None and rows["r2"]["metadata"] == []
 
 
+def _plain(rows):
+    out = []
+    for page, _, html in rows:
+        body = (html or "").encode()
+        least = lambda p: (p is not None, p or 0)
+        same = [p for p, _, h in rows if (h or "") == (html or "")]
+        lead = max(same, key=least)
+        revisit = len(body) >= 1000 and lead != page
+        out.append((page, len(body), hashlib.sha1(body).hexdigest(), "revisit" if revisit else "response", lead if revisit else None, True))
+    return sorted(out, key=str)
+
+
+def test_a_row_per_page_whatever_its_id(spark):
+    big = "é" * 600
+    rows = [(None, "u", "small"), (None, "u", "small"), (None, None, big), (None, "u", big), (7, "u", big), (7, "u", big), (7, "u", "other"), (3, "u", big), (8, "u", None), (8, "u", None), (5, "u", "z" * 30_000), (4, "u", "z" * 30_000), (6, "u", "y" * 1_200_000), (2, "u", "x" * 999), (1, "u", "x" * 999)]
+    got = sorted((tuple(r) for r in queries.captured_pages(_pages(spark, rows).repartition(3)).collect()), key=str)
+    assert got == _plain(rows)
+    lone = [(None, "u", big), (None, "u", big)]
+    assert [tuple(r) for r in queries.captured_pages(_pages(spark, lone)).collect()] == _plain(lone)
+
+
+def test_archives_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(warc, "CLASSES", ((20, 3), (100, 2), (None, 1)))
+    path = new_path(spark, "t")
+    warc.write_archives(_pages(spark, [(i, "u", "x" * (i * 13)) for i in range(20)]).coalesce(1), path)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).collect()
+    sizes = [[len(b) for h, b in warc.parse_archive(bytes(f["content"])) if h["warc-type"] == ["response"]] for f in files]
+    head = 80
+    assert sum(map(len, sizes)) == 20 and all(len(s) <= 3 for s in sizes)
+    assert all(len(s) <= 2 for s in sizes if max(s) >= head + 20) and all(len(s) == 1 for s in sizes if max(s) >= head + 100)
+
+
+def test_broken_archives_are_read_as_far_as_they_go():
+    good = _record("request", "q1", b"GET" * 700_000)
+    assert [h["warc-record-id"] for h, _ in warc.parse_archive(good * 3)] == [["q1"]] * 3
+    packed = gzip.compress(good) + gzip.compress(good)
+    assert len(list(warc.parse_archive(packed))) == 2 and list(warc.parse_archive(packed))[1][1] == b"GET" * 700_000
+    assert len(list(warc.parse_archive(packed[:-20]))) == 2 or len(list(warc.parse_archive(packed[:-20]))) == 1
+    broken = gzip.compress(good) + b"\x1f\x8b" + b"\x00" * 50
+    assert len(list(warc.parse_archive(broken))) == 1
+    assert list(warc.parse_archive(good.replace(b"Content-Length: ", b"Content-Length: x"))) == []
+    assert list(warc.parse_archive(b"")) == [] and list(warc.parse_archive(b"WARC")) == []
+
+
 def test_archives_are_plain_records(spark):
     path = new_path(spark, "t")
     warc.write_archives(_pages(spark, [(1, "u", "x")]), path)
