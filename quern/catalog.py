@@ -75,13 +75,34 @@ def batch_antijoin_dedup(spark, sf_dir):
     return similarity.drop_similar(rows.where("label >= 5"), rows.where("label < 5"), NEAR, "vec_id", "embedding", "vec_id").select("vec_id", "label")
 
 
-@query()
+@query(f"""
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding, row_number() OVER (ORDER BY vec_id) AS n FROM embeddings),
+e AS (SELECT b.n, list(a.vec_id) AS near FROM v a JOIN v b ON a.n < b.n WHERE {D2} <= {NEAR} GROUP BY 1),
+o AS (SELECT v.n, v.vec_id, coalesce(e.near, []) AS near FROM v LEFT JOIN e USING (n)),
+s(n, kept) AS (SELECT 0::BIGINT, []::BIGINT[] UNION ALL SELECT o.n, CASE WHEN list_has_any(s.kept, o.near) THEN s.kept ELSE list_append(s.kept, o.vec_id) END FROM s JOIN o ON o.n = s.n + 1),
+k AS (SELECT unnest(arg_max(kept, n)) AS vec_id FROM s)
+SELECT vec_id, label FROM embeddings JOIN k USING (vec_id)
+""")
 def greedy_dedup(spark, sf_dir):
-    """Sequential order-dependent deduplication of all vectors (SQL would need a recursion per row)."""
+    """Sequential order-dependent deduplication of all vectors."""
     return similarity.greedy_dedup(table(spark, sf_dir, "embeddings"), NEAR, "vec_id", "embedding").select("vec_id", "label")
 
 
-@query()
+@query(f"""
+WITH RECURSIVE q AS (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY 1),
+v AS (SELECT e.vec_id, e.label, e.embedding, coalesce(q.quality = 1, true) AS good, coalesce(d.n_chars, 0) AS size, row_number() OVER (ORDER BY e.vec_id) AS n FROM embeddings e LEFT JOIN q ON q.doc_id = e.vec_id LEFT JOIN documents d ON d.doc_id = e.vec_id),
+p AS (SELECT a.n, list({{'good': b.good, 'size': b.size, 'k': b.vec_id}}) AS later FROM v a JOIN v b ON a.label = b.label AND a.n < b.n WHERE {D2} <= 1.4 GROUP BY 1),
+o AS (SELECT v.n, v.vec_id, list_append(coalesce(p.later, []), {{'good': v.good, 'size': v.size, 'k': v.vec_id}}) AS near FROM v LEFT JOIN p USING (n)),
+s(n, done, kept) AS (
+  SELECT 0::BIGINT, []::BIGINT[], []::BIGINT[]
+  UNION ALL
+  SELECT n, CASE WHEN list_contains(done, id) THEN done WHEN goods = 1 THEN list_concat(done, [id, best]) ELSE list_concat(done, list_transform(batch, lambda x: x.k)) END,
+         CASE WHEN list_contains(done, id) OR goods = 0 THEN kept ELSE list_append(kept, best) END
+  FROM (SELECT n, id, done, kept, batch, len(list_filter(batch, lambda x: x.good)) AS goods, list_sort(batch, 'DESC')[1].k AS best
+        FROM (SELECT o.n, o.vec_id AS id, s.done, s.kept, list_filter(o.near, lambda x: NOT list_contains(s.done, x.k)) AS batch FROM s JOIN o ON o.n = s.n + 1))),
+k AS (SELECT unnest(arg_max(kept, n)) AS vec_id FROM s)
+SELECT vec_id AS rid, label::VARCHAR AS category FROM embeddings JOIN k USING (vec_id)
+""")
 def cull_groups(spark, sf_dir):
     """Batches of near vectors inside a label; quality labels judge, the longer document wins."""
     rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("rid"), F.col("label").cast("string").alias("category"), "embedding")
@@ -377,11 +398,11 @@ def prefix_rows(spark, sf_dir):
 WITH u AS (SELECT conv_id, turn, role, text, lag(text) OVER w AS q, lag(role) OVER w AS r FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
 x AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS idx, q, text FROM u WHERE role = 'assistant' AND r = 'user'),
 y AS (SELECT *, 10 + sum({WORDS.format('q')} + {WORDS.format('text')}) OVER (PARTITION BY conv_id ORDER BY idx) AS words, max(idx) OVER (PARTITION BY conv_id) AS last FROM x)
-SELECT conv_id, idx::INTEGER AS idx, words::BIGINT AS words FROM y WHERE words <= 120 AND idx > 0 AND idx < last
+SELECT conv_id, idx::INTEGER AS idx, words::BIGINT AS words FROM y WHERE words <= 2500 AND idx > 0 AND idx < last
 """)
 def word_budget(spark, sf_dir):
     pairs = conversation.exchanges(table(spark, sf_dir, "conversations"))
-    return conversation.budgeted_rows(pairs, F.lit(10), 120).select("conv_id", "idx", F.col("words").cast("bigint").alias("words"))
+    return conversation.budgeted_rows(pairs, F.lit(10), 2500).select("conv_id", "idx", F.col("words").cast("bigint").alias("words"))
 
 
 @query("""

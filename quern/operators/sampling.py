@@ -69,7 +69,7 @@ def expert_split(df: DataFrame, experts: DataFrame, category: str, key: str, sha
     ``floor(own rows / (number of categories * dilution))`` rows at most.  Rows of categories without
     an expert are in none.
     """
-    names = F.broadcast(experts.limit(10_000).select(F.col("expert"), F.col("category").alias("__c")))
+    names = experts.select(F.col("expert"), F.col("category").alias("__c"))
     mapped = df.join(names, df[category] == F.col("__c")).drop("__c")
     totals = mapped.groupBy("expert").agg(F.count(F.lit(1)).alias("__total"))
     categories = experts.agg(F.count(F.lit(1)).alias("__cats"))
@@ -78,7 +78,9 @@ def expert_split(df: DataFrame, experts: DataFrame, category: str, key: str, sha
     picked = stratified(mapped, category, key, share, most, seed).withColumnRenamed("expert", "__from")
     order = [key] if seed is None else [F.xxhash64(F.lit(seed), F.col(key)), key]
     ranked = picked.withColumn("__n", F.row_number().over(Window.partitionBy(category).orderBy(*order)))
-    foreign = ranked.join(F.broadcast(room.limit(10_000)), (F.col("__to") != F.col("__from")) & (F.col("__n") <= F.col("__room")))
+    # every category's sample (``most`` rows at most) goes to every other expert that has room for it
+    to = names.select(F.col("__c"), F.col("expert").alias("__own")).distinct().crossJoin(room).where("__own <> __to").select("__c", "__own", "__to", "__room")
+    foreign = ranked.join(to, (ranked[category] == to["__c"]) & (ranked["__from"] == to["__own"]) & (F.col("__n") <= F.col("__room")))
     cols = [c for c in df.columns]
     return mapped.select("expert", F.lit(True).alias("own"), *cols).unionAll(foreign.select(F.col("__to").alias("expert"), F.lit(False).alias("own"), *cols))
 
@@ -93,14 +95,31 @@ def quota(df: DataFrame, category: str, key: str, targets: Column, existing: Dat
     return take_per_group(df, [category], targets - F.coalesce("__have", F.lit(0)), key).drop("__have")
 
 
+def numbered_in_ranges(df: DataFrame, by: str, key: str, parts: int = 64) -> tuple[DataFrame, Column, Column]:
+    """``df`` with working columns, and columns for a row's number (from 0) in the order of ``key``
+    in its group, and for the group's size. Ranges of (by, key) are numbered by themselves."""
+    from ..storage import cut
+
+    ranged = cut(df.repartitionByRange(parts, by, key).withColumn("__p", F.spark_partition_id()))
+    ranged = ranged.withColumn("__inside", F.row_number().over(Window.partitionBy("__p", by).orderBy(key)) - 1)
+    # one row for each range and group: few, whatever a group holds
+    sums = ranged.groupBy(F.col(by).alias("__g"), F.col("__p").alias("__q")).agg(F.count(F.lit(1)).alias("__c"))
+    whole = Window.partitionBy("__g")
+    sums = sums.select("__g", "__q", (F.sum("__c").over(whole.orderBy("__q").rowsBetween(Window.unboundedPreceding, 0)) - F.col("__c")).alias("__before"), F.sum("__c").over(whole).alias("__all"))
+    out = ranged.join(sums, F.col(by).eqNullSafe(F.col("__g")) & (F.col("__p") == F.col("__q"))).drop("__g", "__p", "__q")
+    return out, F.col("__before") + F.col("__inside"), F.col("__all")
+
+
 def batches(df: DataFrame, key: str, size: int, by: str) -> DataFrame:
-    """``batch`` (from 1): chunks of nearly equal size, at most ``size`` rows, larger ones first."""
-    n = F.count(F.lit(1)).over(Window.partitionBy(by))
+    """``batch`` (from 1): chunks of nearly equal size, at most ``size`` rows, larger ones first.
+
+    Rows are numbered in ranges of their key, and ranges then added up, so that no task ranks a group.
+    """
+    df, at, n = numbered_in_ranges(df, by, key)
     count = F.ceil(n / size)
-    at = F.row_number().over(Window.partitionBy(by).orderBy(key)) - 1
     small, more = F.floor(F.col("__n") / F.col("__k")), F.pmod("__n", "__k")
     edge = more * (small + 1)
-    numbered = df.withColumn("__n", n).withColumn("__k", count).withColumn("__at", at)
+    numbered = df.withColumn("__n", n).withColumn("__k", count).withColumn("__at", at).drop("__before", "__inside", "__all")
     batch = F.when(F.col("__at") < edge, F.floor(F.col("__at") / (small + 1))).otherwise(more + F.floor((F.col("__at") - edge) / small))
     return numbered.withColumn("batch", batch.cast("int") + 1).drop("__n", "__k", "__at")
 
@@ -112,9 +131,11 @@ def rotated(slots: DataFrame, slot: str, items: DataFrame, item_index: str, n_it
 
 def bucket_pop(df: DataFrame, bucket: str, key: str, n: int, seed: int) -> DataFrame:
     """``n`` rows without replacement, each from a bucket drawn anew among those not yet empty: the
-    i-th row of a bucket comes at the i-th turn at the earliest (a two-level hash order)."""
+    i-th row of a bucket comes at the i-th turn at the earliest (a two-level hash order). No more
+    than ``n`` rows of a bucket are ranked together."""
+    most = take_per_group(df, [bucket], F.lit(n), key, seed)
     inside = F.row_number().over(Window.partitionBy(bucket).orderBy(F.xxhash64(F.lit(seed), F.col(key)), key))
-    return df.withColumn("__i", inside).orderBy("__i", F.xxhash64(F.lit(seed), F.col(bucket), F.col("__i")), key).limit(n).drop("__i")
+    return most.withColumn("__i", inside).orderBy("__i", F.xxhash64(F.lit(seed), F.col(bucket), F.col("__i")), key).limit(n).drop("__i")
 
 
 def running_total(df: DataFrame, amount: str, order: str, parts: int = 64) -> DataFrame:

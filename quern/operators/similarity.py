@@ -16,15 +16,24 @@ from pyspark.sql.window import Window
 from ..storage import cut
 
 BLOCK = 1024
-#: Rows and columns of cells over which a group's pairs of blocks are dealt.
+#: Rows and columns of cells, at most, over which a group's pairs of blocks are dealt.
 GRID = 8
+#: Groups up to which their sizes are broadcast; more are joined.
+SMALL = 100_000
 
 
-def _packed(df: DataFrame, group: Column, key: str, vector: str, flag: Column, block: int) -> DataFrame:
-    number = F.row_number().over(Window.partitionBy("g", "salt").orderBy("key"))
-    rows = df.select(group.alias("g"), F.col(key).cast("bigint").alias("key"), F.col(vector).alias("v"), flag.alias("f")).where("v is not null and key is not null")
-    rows = rows.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(64))).withColumn("b", F.floor((number - 1) / block))
-    return rows.groupBy("g", "salt", "b").agg(F.collect_list(F.struct("key", "v", "f")).alias("rows")).withColumn("block", F.hash("salt", "b")).drop("salt", "b")
+def _packed(df: DataFrame, group: Column | None, key: str, vector: str, flag: Column, block: int) -> DataFrame:
+    """(g, b, blocks, rows): blocks of about ``block`` rows, numbered inside their group, and how many
+    the group has."""
+    rows = df.select((group if group is not None else F.lit("")).alias("g"), F.col(key).cast("bigint").alias("key"), F.col(vector).alias("v"), flag.alias("f")).where("v is not null and key is not null")
+    if group is None:
+        rows = rows.withColumn("blocks", F.lit(max(1, -(-rows.count() // block))))
+    else:
+        sizes = rows.groupBy(F.col("g").alias("h")).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+        many = sizes.count() > SMALL
+        rows = rows.join(sizes if many else F.broadcast(sizes), F.col("g").eqNullSafe(F.col("h"))).drop("h")
+    rows = rows.withColumn("b", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    return rows.groupBy("g", "b", "blocks").agg(F.collect_list(F.struct("key", "v", "f")).alias("rows"))
 
 
 def _unpack(items):
@@ -42,14 +51,15 @@ def pairs_within(df: DataFrame, threshold: float, key: str, vector: str, group:
 
     ``flag``: only rows with equal flags are compared.  Null vectors and keys have no pairs.
     """
-    packed = _packed(df, F.col(group).cast("string") if group else F.lit(""), key, vector, flag if flag is not None else F.lit(True), block)
-    # a block goes to a row of cells on the left and to a column on the right, so that a large
-    # group's pairs of blocks are worked on in GRID * GRID tasks
-    every, own = F.explode(F.sequence(F.lit(0), F.lit(GRID - 1))), F.pmod("block", F.lit(GRID))
-    left = packed.select("g", F.col("rows").alias("left"), F.col("block").alias("i"), own.alias("row"), every.alias("column"))
-    right = packed.select(F.col("g").alias("g2"), F.col("rows").alias("right"), F.col("block").alias("j"), every.alias("row2"), own.alias("column2"))
+    packed = _packed(df, F.col(group).cast("string") if group else None, key, vector, flag if flag is not None else F.lit(True), block)
+    # a block goes to a row of cells on the left and to a column on the right, so that a large group's
+    # pairs of blocks are worked on in up to GRID * GRID tasks; a group of one block has one cell
+    grid = F.least(F.lit(GRID), F.col("blocks"))
+    every, own = F.explode(F.sequence(F.lit(0), grid - 1)), F.pmod("b", grid)
+    left = packed.select("g", F.col("rows").alias("left"), F.col("b").alias("i"), own.alias("row"), every.alias("column"))
+    right = packed.select(F.col("g").alias("g2"), F.col("rows").alias("right"), F.col("b").alias("j"), every.alias("row2"), own.alias("column2"))
     cell = (F.col("row") == F.col("row2")) & (F.col("column") == F.col("column2"))
-    met = left.join(right, left["g"].eqNullSafe(right["g2"]) & cell & (F.col("i") <= F.col("j"))).select("g", "left", "right")
+    met = left.join(right, left["g"].eqNullSafe(right["g2"]) & cell & (F.col("i") <= F.col("j"))).select("g", "left", "right", (F.col("i") == F.col("j")).alias("same"))
 
     def run(batches):
         for batch in batches:
@@ -57,8 +67,7 @@ def pairs_within(df: DataFrame, threshold: float, key: str, vector: str, group:
                 (ka, va, fa), (kb, vb, fb) = _unpack(batch.column(1)[r].as_py()), _unpack(batch.column(2)[r].as_py())
                 d = _distances(va, vb)
                 i, j = np.nonzero((d <= threshold + 1e-12) & (fa[:, None] == fb[None]))
-                same = np.array_equal(ka, kb)
-                ok = ka[i] < kb[j] if same else ka[i] != kb[j]
+                ok = ka[i] < kb[j] if batch.column(3)[r].as_py() else ka[i] != kb[j]
                 i, j = i[ok], j[ok]
                 a, b = np.minimum(ka[i], kb[j]), np.maximum(ka[i], kb[j])
                 yield pa.RecordBatch.from_arrays([pa.array([batch.column(0)[r].as_py()] * len(a), pa.string()), pa.array(a), pa.array(b), pa.array(d[i, j])], names=["g", "a", "b", "distance"])
@@ -69,11 +78,14 @@ def pairs_within(df: DataFrame, threshold: float, key: str, vector: str, group:
 def nearest(probes: DataFrame, history: DataFrame, k: int, key: str, vector: str, history_key: str, history_group: str | None = None, block: int = BLOCK) -> DataFrame:
     """(key, group, other, distance): the ``k`` nearest rows of each group of ``history``, for each
     probe; ties go to the smaller key. Each block pair yields ``k`` rows a probe at most."""
-    left = _packed(probes, F.lit(""), key, vector, F.lit(True), block).select(F.col("rows").alias("left"))
-    group = F.col(history_group).cast("string") if history_group else F.lit("")
-    right = _packed(history, group, history_key, vector, F.lit(True), block).select("g", F.col("rows").alias("right"))
-    # probes are a stated query set: each block of them meets each block of the history
-    met = left.crossJoin(right).select("g", "left", "right")
+    left = _packed(probes, None, key, vector, F.lit(True), block)
+    right = _packed(history, F.col(history_group).cast("string") if history_group else None, history_key, vector, F.lit(True), block)
+    # each block of probes meets each block of the history in one cell of a grid: a block is sent GRID
+    # times at most, and a cell's blocks meet by an equi-join, in pieces of two blocks
+    every = F.explode(F.sequence(F.lit(0), F.lit(GRID - 1)))
+    left = left.select(F.col("rows").alias("left"), F.pmod("b", F.lit(GRID)).alias("row"), every.alias("column"))
+    right = right.select("g", F.col("rows").alias("right"), F.pmod(F.xxhash64("g", "b"), F.lit(GRID)).alias("column"), every.alias("row"))
+    met = left.join(right, ["row", "column"]).select("g", "left", "right")
 
     def run(batches):
         for batch in batches:
@@ -103,17 +115,16 @@ def drop_similar(batch: DataFrame, history: DataFrame, threshold: float, key: st
     return batch.join(near, F.col(key) == F.col("__key"), "left_anti")
 
 
-def first_independent(nodes: DataFrame, edges: DataFrame, most_rounds: int = 200) -> DataFrame:
+def first_independent(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Keys that a sequential pass in key order would keep: a row goes if an earlier kept row is its
     neighbour. nodes: (key); edges: (a, b) with a < b. Rounds settle all rows without an open
-    earlier neighbour."""
-    kept = open_ = None
+    earlier neighbour: one at least, so the rounds end; a chain of neighbours in order takes half as
+    many rounds as it has rows."""
     left = cut(edges.select("a", "b").distinct())
     nodes = nodes.select("key").distinct()
     touched = cut(left.select(F.col("b").alias("key")).distinct())
-    kept = nodes.join(touched, "key", "left_anti")
-    open_ = touched
-    for _ in range(most_rounds):
+    kept, open_ = nodes.join(touched, "key", "left_anti"), touched
+    while True:
         gone = cut(left.join(kept.withColumnRenamed("key", "a"), "a", "left_semi").select(F.col("b").alias("key")).distinct())
         open_ = cut(open_.join(gone, "key", "left_anti"))
         if open_.isEmpty():
@@ -122,7 +133,6 @@ def first_independent(nodes: DataFrame, edges: DataFrame, most_rounds: int = 200
         waiting = left.join(open_.withColumnRenamed("key", "a"), "a", "left_semi").select(F.col("b").alias("key")).distinct()
         now = open_.join(waiting, "key", "left_anti")
         kept, open_ = cut(kept.unionAll(now)), cut(open_.join(now, "key", "left_anti"))
-    raise RuntimeError("the order did not settle")
 
 
 def greedy_dedup(df: DataFrame, threshold: float, key: str, vector: str, group: str | None = None) -> DataFrame:

@@ -113,7 +113,7 @@ def stylised_pairs(sources: DataFrame, cards: DataFrame, n_cards: int, source_ke
     # ranks inside 64 hashed parts, then dealt: no task holds all sources
     part = F.pmod(F.hash(source_key), F.lit(64))
     n = (F.row_number().over(Window.partitionBy(part).orderBy(F.xxhash64(F.lit(seed), F.col(source_key)), source_key)) - 1) * 64 + part
-    return sources.withColumn("__n", n).join(F.broadcast(cards.limit(n_cards)), F.pmod("__n", F.lit(n_cards)) == F.col("card_idx")).drop("__n")
+    return sources.withColumn("__n", n).join(cards.where(F.col("card_idx") < n_cards), F.pmod("__n", F.lit(n_cards)) == F.col("card_idx")).drop("__n")
 
 
 def editor_pairs(writing: DataFrame, degraded: str = "degraded") -> DataFrame:

@@ -15,7 +15,7 @@ from ..operators.similarity import pairs_within
 from ..storage import cut
 
 
-def resolve(nodes: DataFrame, edges: DataFrame, most_rounds: int = 500) -> DataFrame:
+def resolve(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(key, outcome: kept or purged). nodes: (key, good, size); edges: (a, b) with a < b.
 
     A leader's batch is the leader and its open later neighbours.  No good member: all go.  One: it
@@ -26,7 +26,7 @@ def resolve(nodes: DataFrame, edges: DataFrame, most_rounds: int = 500) -> DataF
     nodes = cut(nodes.select("key", F.coalesce("good", F.lit(True)).alias("good"), "size"))
     left = cut(edges.select("a", "b").distinct())
     open_, settled = nodes, None
-    for _ in range(most_rounds):
+    while True:  # the first open row of all always leads, so each round settles a row
         # leaders of this round: open rows without an open earlier neighbour within two steps,
         # so that no two batches share a member
         after = left.select(F.col("a").alias("x"), F.col("b").alias("key"))
@@ -43,7 +43,6 @@ def resolve(nodes: DataFrame, edges: DataFrame, most_rounds: int = 500) -> DataF
         if open_.isEmpty():
             return settled
         left = cut(left.join(open_.select(F.col("key").alias("a")), "a", "left_semi").join(open_.select(F.col("key").alias("b")), "b", "left_semi"))
-    raise RuntimeError("culling did not settle")
 
 
 def cull(df: DataFrame, threshold: float, key: str = "rid", vector: str = "embedding", category: str = "category", size=None, good=None, passing=filters.PASS_THROUGH) -> DataFrame:

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """``df`` from a reliable checkpoint; a temporary folder is set only where none is configured."""
+    """``df`` from a reliable checkpoint; a temporary folder is set only where none
+    is configured and all of Spark runs in one process."""
     spark = df.sparkSession
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         base = spark.conf.get("spark.checkpoint.dir", None)
+        if not base and not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(base or tempfile.mkdtemp(prefix="quern-"))
     return df.checkpoint(eager=True)
