@@ -15,6 +15,8 @@ from .functions import text as S
 from .functions import vector as V
 from .operators import aggregates, conversation, filters, parsers, routing, sampling, similarity
 from .plans import cull as culling
+from .plans import run
+from .sources import responder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -607,6 +609,140 @@ def purged_exclusion(spark, sf_dir):
     return table(spark, sf_dir, "documents").join(purged, "doc_id", "left_anti").select("doc_id")
 
 
+# ---- categories from prompts to stored rows -----------------------------------------------------
+# Answers come from rules over the prompt, so that SQL can say what the rows must be.
+
+
+def _prompts(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("batch"), F.concat(F.lit("Make: "), F.translate("text", "\n", " ")).alias("prompt"))
+
+
+def _said(prompt):
+    return F.regexp_replace(prompt, "^Make: ", "")
+
+
+def _lengths(text):
+    """A vector of which equal lengths in characters are the only near ones."""
+    return F.array(F.length(text).cast("double"))
+
+
+_LINE = "replace(text, chr(10), ' ')"
+
+
+@query(rf"""
+WITH a AS (SELECT item_id * 1048576 AS rid, 'Name a word that starts with "' || substr({_LINE}, 1, 2) || '"' AS i, {_LINE} AS r FROM benchmark
+UNION ALL SELECT item_id * 1048576 + 1, 'Is ' || {_LINE} || ' it?', 'yes' FROM benchmark WHERE item_id % 2 = 0
+UNION ALL SELECT item_id * 1048576 + 1, 'What ends with "zz" or ' || item_id || '?', {_LINE} FROM benchmark WHERE item_id % 2 = 1),
+f AS (SELECT *, row_number() OVER (PARTITION BY length(i) ORDER BY rid) AS n FROM a),
+k AS (SELECT *, row_number() OVER (ORDER BY rid) AS nth FROM f WHERE n = 1 AND NOT (i LIKE 'What%' AND NOT ends_with(lower(r), 'zz')))
+SELECT rid, 'trivia' AS category, i AS instruction, trim(r) AS response FROM k WHERE nth <= 30
+""")
+def run_trivia(spark, sf_dir):
+    """Question and answer pairs, compared with each other in order, checked, up to a quota."""
+    prompts = _prompts(spark, sf_dir)
+    number = F.col("batch").cast("string")
+
+    def answer(p):
+        even = F.concat(F.lit("Is "), _said(p), F.lit(" it?\nANSWER: yes"))
+        odd = F.concat(F.lit('What ends with "zz" or '), number, F.lit("?\nANSWER: "), _said(p))
+        return F.concat(F.lit('QUESTION: Name a word that starts with "'), F.substring(_said(p), 1, 2), F.lit('"\nANSWER: '), _said(p), F.lit("\nQUESTION: "), F.when(F.col("batch") % 2 == 0, even).otherwise(odd))
+
+    return run.run("trivia", prompts, responder.ExpressionResponder(answer), embed=_lengths, target=30).select("rid", "category", "instruction", "response")
+
+
+@query(f"""
+WITH a AS (SELECT item_id * 1048576 AS rid, 'Write about ' || {_LINE} AS i FROM benchmark UNION ALL SELECT item_id * 1048576 + 1, 'Write once more' FROM benchmark),
+h AS (SELECT DISTINCT length('Write about ' || {_LINE}) AS n FROM benchmark WHERE item_id % 4 = 0)
+SELECT rid, 'wordgame' AS category, trim(i) AS instruction, 'Answer to ' || i AS response FROM a WHERE length(i) NOT IN (SELECT n FROM h)
+""")
+def run_tasks(spark, sf_dir):
+    """Numbered tasks, compared with stored rows only, and a response to each."""
+    prompts = _prompts(spark, sf_dir)
+    history = prompts.where("batch % 4 = 0").select(F.col("batch").alias("rid"), _lengths(F.concat(F.lit("Write about "), _said(F.col("prompt")))).alias("embedding"))
+    made = lambda p: F.concat(F.lit("TSK 1. Write about "), _said(p), F.lit("\nTSK 2. Write once more"))
+    answer = lambda p: F.when(F.startswith(p, F.lit("Make: ")), made(p)).otherwise(F.concat(F.lit("Answer to "), p))
+    return run.run("wordgame", prompts, responder.ExpressionResponder(answer), history=history, embed=_lengths).select("rid", "category", "instruction", "response")
+
+
+@query("""
+WITH s AS (SELECT item_id AS batch, x.v AS variant, 'BEGININPUT' || chr(10) || 'BEGINCONTEXT' || chr(10) || 'url: https://e.org/' || item_id || chr(10) || 'ENDCONTEXT' || chr(10) || CASE x.v WHEN 0 THEN 'It is so. ' ELSE 'It is not' END || chr(10) || 'ENDINPUT' || chr(10) || 'BEGININSTRUCTION' || chr(10) || 'Is it?' || chr(10) || chr(10) || 'ENDINSTRUCTION' AS instruction FROM benchmark, (SELECT unnest([0, 1]) AS v) x WHERE item_id % 5 <> 0)
+SELECT batch, variant, 'counterfactual_contextual' AS category, instruction, 'Read: ' || instruction AS response FROM s
+""")
+def run_counterfactual(spark, sf_dir):
+    prompts = _prompts(spark, sf_dir)
+    question = F.when(F.col("batch") % 5 == 0, "2. Is it?").otherwise("1. Is it?")
+    facts = F.concat(F.lit("FACTS\n1. It is so. [https://e.org/"), F.col("batch").cast("string"), F.lit("]\nCOUNTER\n1. It is not\nQUESTIONS\n"), question)
+    answer = lambda p: F.when(F.startswith(p, F.lit("Make: ")), facts).otherwise(p)
+    return run.counterfactual(prompts, responder.ExpressionResponder(answer), "Read: {instruction}").select("batch", "variant", "category", "instruction", "response")
+
+
+@query(f"""
+WITH d AS (SELECT item_id AS batch, 'Tell of ' || {_LINE} AS i FROM benchmark WHERE item_id % 3 <> 0),
+r AS (SELECT batch, i, 'Whole: A ' || i || chr(10) || chr(10) || 'B 433' || chr(10) || chr(10) || 'C' AS w FROM d)
+SELECT batch, 'detailed_writing' AS category, i || chr(10) || chr(10) || 'Your response should be approximately ' || len(string_split(w, ' ')) || ' words.' AS instruction, w AS response FROM r
+""")
+def run_detailed_writing(spark, sf_dir):
+    prompts = _prompts(spark, sf_dir).withColumn("prompt", F.when(F.col("batch") % 3 == 0, "Make: ").otherwise(F.col("prompt")))
+
+    def answer(p):
+        rest = lambda word: F.substr(p, F.lit(len(word) + 1))
+        starts = lambda word: F.startswith(p, F.lit(word))
+        out = F.when(p == "Make: ", " ").when(starts("Make: "), F.concat(F.lit("Tell of "), rest("Make: ")))
+        out = out.when(starts("first "), F.concat(F.lit("A "), rest("first "), F.lit("\n"))).when(starts("inner "), F.concat(F.lit("B "), F.regexp_extract(p, r"^inner (\d+)", 1)))
+        return out.when(starts("final "), "C").otherwise(F.concat(F.lit("Whole: "), S.last_part(p, "|||")))
+
+    return run.detailed_writing(prompts, responder.ExpressionResponder(answer), "first {instruction}", "inner {third} after {sofar}", "final {third} after {sofar}", "join {instruction}|||{response}", 1000)
+
+
+@query("""
+WITH c AS (SELECT n_nationkey AS idx, n_name FROM nation WHERE n_nationkey < 6),
+a AS (SELECT idx, n_name, 'User 1' AS u, 'A chat between ' || n_name || ' and User 1.' || chr(10) || 'Description of ' || n_name || ':' || chr(10) || 'From ' || n_name || chr(10) || chr(10) || chr(10) || 'Stay' AS base FROM c),
+q AS (SELECT a.*, x.p AS p, 'Q' || x.p || ' of you' AS q, n_name || ' says ' || x.p AS s FROM a, (SELECT unnest([1, 2, 3, 4, 5]) AS p) x WHERE NOT (idx % 2 = 1 AND x.p = 2)),
+r AS (SELECT *, row_number() OVER w - 1 AS i, max(p) OVER (PARTITION BY idx) AS top, string_agg(u || ': ' || q || chr(10) || n_name || ': ' || s, chr(10)) OVER (PARTITION BY idx ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM q WINDOW w AS (PARTITION BY idx ORDER BY p))
+SELECT idx AS card_idx, i::INTEGER AS idx, 'gtkm' AS category, base || chr(10) || chr(10) || before || chr(10) || u || ': ' || q AS instruction, n_name || ': ' || s AS response, i > 1 AS skip_counting FROM r WHERE i > 0 AND p < top
+""")
+def run_gtkm(spark, sf_dir):
+    name = F.col("n_name")
+    cards = table(spark, sf_dir, "nation").where("n_nationkey < 6").select(F.col("n_nationkey").alias("card_idx"), name.alias("name"), F.concat(F.lit("From "), name).alias("description"), F.lit("Stay").alias("stay_in_character"))
+    ask = F.concat(*[F.lit(f"QUESTION: Q{i} of you\n") for i in range(1, 6)])
+
+    def answer(p):
+        who, which = F.regexp_extract(p, r"A chat between (.*) and User 1\.", 1), F.regexp_extract(p, r"Q(\d) of you", 1)
+        silent = (F.col("card_idx") % 2 == 1) & (which == "2")
+        return F.when(F.startswith(p, F.lit("Ask ")), ask).when(silent, " REMINDER: x").otherwise(F.concat(who, F.lit(" says "), which, F.lit(" REMINDER: in character")))
+
+    return run.get_to_know(cards, responder.ExpressionResponder(answer), "Ask {name}: {description}", "Rules", F.lit("User 1")).drop("skip_prompt_formatting")
+
+
+@query(f"SELECT item_id AS rid, 'editor' AS category, 'Rewrite the following text to improve/correct it.' || chr(10) || chr(10) || 'Text: ' || trim(replace({_LINE}, 'e', 'a')) AS instruction, trim({_LINE}) AS response FROM benchmark WHERE item_id % 2 = 0")
+def run_editor(spark, sf_dir):
+    rows = _prompts(spark, sf_dir).select(F.col("batch").alias("rid"), _said(F.col("prompt")).alias("response"))
+    answer = lambda p: F.when(F.col("rid") % 2 == 0, F.translate(S.last_part(p, "|||"), "e", "a"))
+    return run.editor(rows, responder.ExpressionResponder(answer), "Make it worse.|||{text}")
+
+
+@query(f"SELECT item_id AS rid, {_LINE} AS instruction, CASE WHEN item_id % 2 = 0 THEN 'ok' ELSE 'no' END AS response FROM benchmark WHERE item_id % 2 = 0 OR item_id % 3 = 0")
+def run_judge(spark, sf_dir):
+    """A good verdict for even rows, a bad one for odd rows but those whose verdict is missing."""
+    rows = _prompts(spark, sf_dir).select(F.col("batch").alias("rid"), _said(F.col("prompt")).alias("instruction"), F.when(F.col("batch") % 2 == 0, "ok").otherwise("no").alias("response"))
+    answer = lambda p: F.when(F.startswith(p, F.lit("100|ok|")), "GOOD").when(F.col("rid") % 3 == 0, None).otherwise("BAD")
+    return run.judged(rows, responder.ExpressionResponder(answer), "{threshold}|{response}|{instruction}{system_prompt}")
+
+
+@query("""
+WITH c AS (SELECT n_nationkey AS card, n_name FROM nation WHERE n_nationkey < 5),
+s AS (SELECT o_orderkey AS rid, 'About ' || o_orderpriority AS i FROM orders WHERE o_orderkey % 3 = 0)
+SELECT rid, 'stylized_response' AS category, i AS instruction, 'In role: ' || i AS response FROM s WHERE rid % 2 = 0
+""")
+def run_stylized(spark, sf_dir):
+    """Instructions answered in the role of a card; which card depends on a hash, so it is left out here."""
+    cards = table(spark, sf_dir, "nation").where("n_nationkey < 5").select(F.col("n_nationkey").alias("card_idx"), F.col("n_name").alias("name"), F.lit("of old").alias("description"), F.lit("Stay").alias("stay_in_character"))
+    rows = table(spark, sf_dir, "orders").where("o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("rid"), F.concat(F.lit("About "), "o_orderpriority").alias("instruction"))
+    answer = lambda p: F.when(F.col("rid") % 2 == 1, "SKIP").otherwise(F.concat(F.lit("In role: "), S.last_part(p, "\n"), F.lit(" REMINDER: x")))
+    made = run.stylised(rows, cards, 5, responder.ExpressionResponder(answer), "Rules", "rid")
+    return made.where(F.startswith("system", F.lit("You are to take on the role of: "))).drop("system")
+
+
 # ---- relational and event-time extras (not features of the behaviour to match) ------------------
 
 

@@ -97,19 +97,17 @@ def experience(df: DataFrame, text: str) -> DataFrame:
 
 def sections(df: DataFrame, text: str) -> DataFrame:
     """Facts, counter-facts and questions joined on their number, with the fact's source, whose
-    bracket leaves the fact. Numbers that lack a part are left out; of repeated ones the last counts."""
+    bracket leaves the fact. Numbers that lack a part are left out; of repeated ones the last counts.
+    The join is inside a row's arrays: rows are neither shuffled nor merged."""
     keep = [c for c in df.columns if c != text]
-    row = F.struct(*[F.col(c) for c in keep])
-
-    def part(i: int, name: str) -> DataFrame:
-        section = F.regexp_extract(text, SECTIONS, i)
-        found = df.where(F.col(text).rlike(SECTIONS)).select(row.alias("__k"), section.alias("__s"))
-        return rows_of(found, "__s", NUMBERED, ["number", name]).groupBy("__k", "number").agg(F.max_by(name, "pos").alias(name))
-
-    facts = part(1, "fact").withColumn("source", F.regexp_extract("fact", URL, 2)).where("source <> ''")
-    facts = facts.withColumn("fact", F.replace("fact", F.regexp_extract("fact", URL, 1), F.lit("")))
-    joined = facts.join(part(2, "counter"), ["__k", "number"]).join(part(3, "question"), ["__k", "number"])
-    return joined.select("__k.*", "number", "fact", "counter", "question", "source")
+    parts = [all_matches(F.regexp_extract(text, SECTIONS, i), NUMBERED, ["number", "value"]) for i in (1, 2, 3)]
+    held = df.where(F.col(text).rlike(SECTIONS)).select(*keep, *[p.alias(n) for p, n in zip(parts, ("__f", "__c", "__q"), strict=True)])
+    last = lambda name, n: F.try_element_at(F.filter(name, lambda x: x["number"] == n), F.lit(-1))["value"]
+    numbers = F.array_distinct(F.transform("__f", lambda x: x["number"]))
+    joined = F.transform(numbers, lambda n: F.struct(n.alias("number"), last("__f", n).alias("fact"), last("__c", n).alias("counter"), last("__q", n).alias("question")))
+    rows = held.select(*keep, F.explode(joined).alias("__x")).select(*keep, "__x.*").where("counter is not null and question is not null")
+    rows = rows.withColumn("source", F.regexp_extract("fact", URL, 2)).where("source <> ''")
+    return rows.withColumn("fact", F.replace("fact", F.regexp_extract("fact", URL, 1), F.lit(""))).select(*keep, "number", "fact", "counter", "question", "source")
 
 
 def context_prompt(source: Column, fact: Column, question: Column, ask_source: Column) -> Column:

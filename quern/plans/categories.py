@@ -101,11 +101,6 @@ def writing_styles(styles: list[str], batch: int) -> list[str]:
     return [f" * TSK {i + 1} {s}" for i, s in enumerate(styles[: min(batch // 4, len(styles))])]
 
 
-def word_goal(words) -> F.Column:
-    """The wish for a length that a long text's own length gives."""
-    return F.concat(F.lit("approximately "), S.space_count(words).cast("string"), F.lit(" words"))
-
-
 def stylised_pairs(sources: DataFrame, cards: DataFrame, n_cards: int, source_key: str, seed: int = 0) -> DataFrame:
     """The n-th sampled instruction with card n modulo the number of cards. cards: (card_idx, ...)."""
     from pyspark.sql.window import Window
@@ -116,11 +111,6 @@ def stylised_pairs(sources: DataFrame, cards: DataFrame, n_cards: int, source_ke
     return sources.withColumn("__n", n).join(cards.where(F.col("card_idx") < n_cards), F.pmod("__n", F.lit(n_cards)) == F.col("card_idx")).drop("__n")
 
 
-def editor_pairs(writing: DataFrame, degraded: str = "degraded") -> DataFrame:
-    """From a degraded version back to the original."""
-    return writing.select(F.col(degraded).alias("instruction"), F.col("response"), F.lit("editor").alias("category"))
-
-
 def question_kinds(seed: int, *keys):
     """Kinds of awareness prompts: location, temporal, character."""
     return sampling.weighted(["location", "temporal", "character"], [0.2, 0.2, 0.6], seed, *keys)

@@ -44,11 +44,15 @@ def read_categorised(spark: SparkSession, paths) -> DataFrame:
 
 
 def read_topics(spark: SparkSession, path, name: str = "topics") -> DataFrame:
-    """Distinct stripped lines, blank ones left out, numbered in their own order; none is an error."""
+    """(topic_idx, topic): distinct stripped lines, blank ones left out, numbered from 0 in their own
+    order; none is an error."""
+    from ..operators.sampling import numbered_in_ranges
+
     rows = spark.read.text(path).select(S.strip("value").alias("topic")).where("topic <> ''").distinct()
     if rows.isEmpty():
         raise ValueError(f"{name}: no topics in {path}")
-    return rows
+    numbered, at, _ = numbered_in_ranges(rows.withColumn("__one", F.lit(0)), "__one", "topic")
+    return numbered.select(at.alias("topic_idx"), "topic")
 
 
 def read_template(spark: SparkSession, path: str | None, fallback: str) -> str:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 import pandas as pd
@@ -22,22 +23,43 @@ class TableResponder:
         return joined.withColumn(out, accepted(F.col("__text"), F.col("__finish"), filtered, strip)).drop("__h", "prompt_hash", "__text", "__finish")
 
 
+class ExpressionResponder:
+    """Answers as an expression of the prompt: rules in the place of a model, for tests and queries."""
+
+    def __init__(self, answer: Callable[[Column], Column]):
+        self.answer = answer
+
+    def respond(self, df: DataFrame, prompt: Column, out: str = "response", filtered: bool = True, strip: bool = False) -> DataFrame:
+        # prompt and answer are variables of lambdas, so that chains of answers do not repeat expressions
+        bound = lambda value, use: F.get(F.transform(F.array(value), use), F.lit(0))
+        return df.withColumn(out, bound(prompt, lambda p: bound(self.answer(p).cast("string"), lambda t: accepted(t, F.lit("stop"), filtered, strip))))
+
+
 class FunctionResponder:
-    """Answers from a function of one prompt, run in Arrow batches; an exception is a missing answer."""
+    """Answers from a function of one prompt, run in Arrow batches.
+
+    Exceptions of the kinds ``missing`` are tried again, ``attempts`` times in all with Fibonacci waits
+    between, and are then a missing answer; others are errors of the program and end the job.
+    """
 
-    def __init__(self, function: Callable[[str], str | None]):
-        self.function = function
+    def __init__(self, function: Callable[[str], str | None], missing: tuple = (OSError,), attempts: int = 1, wait: Callable[[float], None] = time.sleep):
+        self.function, self.missing, self.attempts, self.wait = function, missing, attempts, wait
 
     def respond(self, df: DataFrame, prompt: Column, out: str = "response", filtered: bool = True, strip: bool = False) -> DataFrame:
-        function = self.function
+        function, missing, wait = self.function, self.missing, self.wait
+        waits = backoff_seconds()
+        waits = [waits[min(i, len(waits) - 1)] for i in range(self.attempts - 1)]
 
         @F.pandas_udf("string")
         def call(prompts: pd.Series) -> pd.Series:
             def one(p):
-                try:
-                    return function(p)
-                except Exception:
-                    return None
+                for pause in [*waits, None]:
+                    try:
+                        return function(p)
+                    except missing:
+                        if pause is not None:
+                            wait(pause)
+                return None
 
             return prompts.map(one)
 

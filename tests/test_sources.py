@@ -38,7 +38,7 @@ def test_sinks(spark, tmp_path):
 
 
 def test_topics_seeds_and_routing(spark, tmp_path):
-    assert sorted(r["topic"] for r in jsonl.read_topics(spark, _write(tmp_path / "t.txt", [" a ", "a", "", "b"])).collect()) == ["a", "b"]
+    assert sorted((r["topic_idx"], r["topic"]) for r in jsonl.read_topics(spark, _write(tmp_path / "t.txt", [" a ", "a", "", "b"])).collect()) == [(0, "a"), (1, "b")]
     with pytest.raises(ValueError):
         jsonl.read_topics(spark, _write(tmp_path / "e.txt", ["", " "]))
     d = tmp_path / "r"
@@ -63,14 +63,35 @@ def test_config(spark):
     assert config.api_params({"api_params": {"temperature": 0}})["temperature"] == 1.0 and config.flag("True") and not config.flag(None)
 
 
+class Flaky:
+    """Fails so many times, then answers."""
+
+    def __init__(self, times):
+        self.times, self.tried = times, 0
+
+    def __call__(self, prompt):
+        self.tried += 1
+        if self.tried <= self.times:
+            raise ConnectionError
+        return f"after {self.times}"
+
+
+def no_wait(seconds):
+    return None
+
+
 def test_responders(spark):
     table = spark.createDataFrame([("p1", "ok", "stop"), ("p2", "As an AI", "stop"), ("p3", "cut", "length")], "p string, text string, finish_reason string").withColumn("prompt_hash", F.md5("p"))
     df = spark.createDataFrame([("p1",), ("p2",), ("p3",), ("p4",)], "instruction string")
     got = {r["instruction"]: r["response"] for r in responder.TableResponder(table).respond(df, F.col("instruction")).collect()}
     assert got == {"p1": "ok", "p2": None, "p3": None, "p4": None}
-    f = responder.FunctionResponder(lambda p: {"p1": " x ", "p2": "flesch"}[p])
+    f = responder.FunctionResponder(lambda p: {"p1": " x ", "p2": "flesch"}[p], missing=(KeyError,))
     got = {r["instruction"]: r["response"] for r in f.respond(df, F.col("instruction"), strip=True).collect()}
     assert got == {"p1": "x", "p2": None, "p3": None, "p4": None}
+    assert responder.FunctionResponder(Flaky(2), attempts=3, wait=no_wait).respond(df.limit(1), F.col("instruction")).first()["response"] == "after 2"
+    assert responder.FunctionResponder(Flaky(3), attempts=3, wait=no_wait).respond(df.limit(1), F.col("instruction")).first()["response"] is None
+    with pytest.raises(Exception, match="KeyError"):
+        responder.FunctionResponder(lambda p: {}[p]).respond(df, F.col("instruction")).collect()
     assert responder.backoff_seconds() == [1, 1, 2, 3, 5, 8, 13, 19]
 
 
