@@ -15,7 +15,7 @@ from .functions import text as S
 from .functions import vector as V
 from .operators import aggregates, conversation, filters, parsers, routing, sampling, similarity
 from .plans import cull as culling
-from .plans import run
+from .plans import chat, run
 from .sources import responder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -743,6 +743,81 @@ def run_stylized(spark, sf_dir):
     return made.where(F.startswith("system", F.lit("You are to take on the role of: "))).drop("system")
 
 
+@query("""
+WITH a AS (SELECT item_id AS b, 0 AS p, 'Of ' || substr(text, 1, 3) AS t FROM benchmark UNION ALL SELECT item_id, 2, 'of ' || substr(text, 2, 2) || CASE WHEN item_id % 2 = 0 THEN ' x' ELSE ' X ' END FROM benchmark),
+f AS (SELECT *, row_number() OVER (PARTITION BY lower(trim(t)) ORDER BY b, p) AS n FROM a)
+SELECT row_number() OVER (ORDER BY b, p) - 1 AS topic_idx, trim(t) AS topic FROM f WHERE n = 1
+""")
+def run_topics(spark, sf_dir):
+    """Topics that answers list; headings go, and repeats without case."""
+    text = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("batch"), F.concat(F.lit("Topics: "), "text").alias("prompt"))
+    letters = lambda p, at, n: F.substring(p, at + len("Topics: "), n)
+    answer = lambda p: F.concat(F.lit("1. Of "), letters(p, 1, 3), F.lit("\n2. More:\n3. of "), letters(p, 2, 2), F.when(F.col("batch") % 2 == 0, " x").otherwise(" X "))
+    return run.topics(text, responder.ExpressionResponder(answer))
+
+
+@query("""
+WITH i AS (SELECT item_id, 'BEGININPUT' || chr(10) || 'BEGINCONTEXT' || chr(10) || 'ENDCONTEXT' || chr(10) || item_id || ' x' || chr(10) || 'ENDINPUT' || chr(10) || 'BEGININSTRUCTION' || chr(10) || 'Why?' || chr(10) || 'ENDINSTRUCTION' AS t FROM benchmark WHERE item_id % 3 <> 0)
+SELECT item_id * 1048576 AS rid, 'contextual' AS category, t AS instruction, 'Read: ' || t AS response FROM i
+""")
+def run_contextual(spark, sf_dir):
+    """Prompts with drawn knobs and rotating topics; answers out of format go."""
+    items = table(spark, sf_dir, "benchmark")
+    topics = items.select(F.col("item_id").alias("topic_idx"), F.substring("text", 1, 20).alias("topic"))
+    # the number of topics is that of the items, a count over a small table
+    asked = run.contextual_prompts("Write {input_count} texts, {task_count} tasks:\n{topics}", items.select(F.col("item_id").alias("batch")), topics, items.count())
+    block = F.concat(F.lit("BEGININPUT\nBEGINCONTEXT\nENDCONTEXT\n"), F.col("batch").cast("string"), F.lit(" x\nENDINPUT\nBEGININSTRUCTION\nWhy?\nENDINSTRUCTION"))
+    made = lambda p: F.when(F.col("batch") % 3 == 0, "no texts").otherwise(block)
+    answer = lambda p: F.when(F.startswith(p, F.lit("Write ")), made(p)).otherwise(p)
+    return run.run("contextual", asked, responder.ExpressionResponder(answer), template="Read: {instruction}").select("rid", "category", "instruction", "response")
+
+
+@query("""
+WITH s AS (SELECT n_nationkey AS session, n_name, CASE WHEN n_nationkey % 3 = 0 THEN '*' ELSE '' END AS x FROM nation),
+t AS (SELECT session, p AS turn, CASE p WHEN 0 THEN 'This is a chat between 2 characters: ' || n_name || ', Me' || chr(10) || chr(10) || n_name || ': Of old' || chr(10) || chr(10) || 'Me: Just me' || chr(10) || chr(10) || 'Setting for the chat:' || chr(10) || 'Room ' || session || chr(10) || 'End of setting.'
+  WHEN 1 THEN 'Begin.' ELSE CASE WHEN p % 2 = 0 THEN n_name ELSE 'Me' END || ': says ' || p END AS text FROM s, (SELECT unnest(range(7)) AS p) x WHERE session % 4 <> 1),
+r AS (SELECT session, turn, text, string_agg(text, chr(10)) OVER (PARTITION BY session ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM t)
+SELECT session, turn::INTEGER AS turn, 'rp' AS category, before || chr(10) AS instruction, text AS response, turn > 2 AS skip_counting FROM r WHERE turn > 1 AND turn % 2 = 0
+""")
+def run_rp(spark, sf_dir):
+    """A chat of each nation's character with a user; those whose setting is missing don't begin.
+    The action mark is drawn by a hash, so the line about it is left out here."""
+    person = lambda name, about: F.struct(name.alias("name"), F.lit(about).alias("description"), F.lit("Stay.").alias("hint"))
+    sessions = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("session"), F.lit("tea").alias("topic"), F.array(person(F.col("n_name"), "Of old"), person(F.lit("Me"), "Just me")).alias("cast"), F.col("n_name").alias("first"))
+
+    class Both:
+        def respond(self, df, prompt, out="response", filtered=True, strip=False):
+            answer = lambda p: F.concat(F.lit("says "), F.size("turns").cast("string"), F.lit("\nNEXT: "), F.when(F.col("current") == "Me", F.col("cast")[0]["name"]).otherwise("Me"))
+            if "turns" not in df.columns:
+                answer = lambda p: F.when(F.col("session") % 4 != 1, F.concat(F.lit("Room "), F.col("session").cast("string")))
+            return responder.ExpressionResponder(answer).respond(df, prompt, out, filtered, strip)
+
+    made = chat.rows(chat.chats(sessions, Both(), "Set {characters} for {topic}", "Rules {name} {user} {others} {hint}", "Begin, {name}", ["Begin."], ["Go on."], 7))
+    return made.withColumn("instruction", F.regexp_replace("instruction", "\nActions should be surrounded by .*", "")).drop("skip_prompt_formatting")
+
+
+@query(r"""
+SELECT doc_id, coalesce(n_chars > 2000, true) AS cut, regexp_matches('A being, ' || CASE WHEN doc_id % 3 = 0 THEN 'an ai, ' WHEN doc_id % 3 = 1 THEN 'paid, ' ELSE 'an Artificial Intelligence ' END || lang, '(?i) (AI|artificial intelligence)[,\.\s]') AS ai FROM documents
+""")
+def answer_flags(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    reason = F.when(F.col("n_chars") > 2000, "length").when(F.col("n_chars").isNotNull(), "stop")
+    kind = F.when(F.col("doc_id") % 3 == 0, "an ai, ").when(F.col("doc_id") % 3 == 1, "paid, ").otherwise("an Artificial Intelligence ")
+    return docs.select("doc_id", filters.is_cut(reason).alias("cut"), filters.is_ai_character(F.concat(F.lit("A being, "), kind, "lang")).alias("ai"))
+
+
+@query("""
+SELECT vec_id, round((embedding[1]::DOUBLE + CASE WHEN vec_id % 3 = 0 THEN 0 ELSE embedding[3]::DOUBLE END) / CASE WHEN vec_id % 3 = 0 THEN 1 ELSE 2 END, 4) AS x FROM embeddings WHERE vec_id % 5 <> 0
+UNION ALL SELECT vec_id, NULL FROM embeddings WHERE vec_id % 5 = 0
+""")
+def masked_means(spark, sf_dir):
+    """Three one-number token vectors a row, of which the mask takes none, one or two."""
+    token = lambda i: F.array(F.get("embedding", F.lit(i)))
+    mask = lambda keep: F.when(F.col("vec_id") % 5 == 0, 0).otherwise(keep)
+    mean = V.masked_mean(F.array(token(0), token(1), token(2)), F.array(mask(F.lit(1)), F.lit(0), mask(F.when(F.col("vec_id") % 3 == 0, 0).otherwise(1))))
+    return table(spark, sf_dir, "embeddings").select("vec_id", F.round(F.get(mean, F.lit(0)), 4).alias("x"))
+
+
 # ---- relational and event-time extras (not features of the behaviour to match) ------------------
 
 

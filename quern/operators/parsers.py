@@ -41,12 +41,10 @@ def rows_of(df: DataFrame, text: str, pattern: str, names: list[str], ordinal: s
 def topics(df: DataFrame, text: str, order: str) -> DataFrame:
     """Listed topics: no empty ones, none that end in a colon, the first of each without case and
     surrounding space. Columns: ``order``, pos, topic."""
-    from pyspark.sql.window import Window
-
     found = rows_of(df.select(order, text), text, TOPICS, ["topic"])
     found = found.where((F.col("topic") != "") & ~F.endswith(S.strip("topic"), F.lit(":")))
-    first = Window.partitionBy(F.lower(S.strip("topic"))).orderBy(order, "pos")
-    return found.withColumn("__n", F.row_number().over(first)).where("__n = 1").select(order, "pos", S.strip("topic").alias("topic"))
+    first = found.groupBy(F.lower(S.strip("topic"))).agg(F.min(F.struct(order, "pos", S.strip("topic").alias("topic"))).alias("__f"))
+    return first.select("__f.*")
 
 
 def tasks(df: DataFrame, text: str, strict: bool = False) -> DataFrame:
@@ -199,4 +197,6 @@ def next_speaker(response, current, user, names: Column, delimiter: str | None =
         body = S.tidy_actions(body, delimiter)
     wanted = F.when(line != "", said).when(cur == usr, other).otherwise(usr)
     everyone = F.array_distinct(F.concat(names, F.array(usr)))
-    return body, F.when(F.array_contains(everyone, wanted), wanted).otherwise(close_name(wanted, everyone, seed))
+    known = F.array_contains(everyone, wanted)
+    # only unknown names are compared
+    return body, F.when(known, wanted).otherwise(close_name(F.when(~known, wanted), F.when(~known, everyone), seed))

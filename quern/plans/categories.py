@@ -77,6 +77,15 @@ CATEGORIES: dict[str, Category] = {
 }
 
 
+def register(name: str, category: Category, grammar: Callable[[DataFrame, str], DataFrame] | None = None) -> None:
+    """Adds a category, and its grammar where that is new; a known name gets the new settings."""
+    if grammar is not None:
+        GRAMMARS[category.grammar] = grammar
+    if category.grammar not in GRAMMARS:
+        raise ValueError(f"{name}: no grammar {category.grammar}")
+    CATEGORIES[name] = category
+
+
 def order_of_phases(names) -> list[list[str]]:
     """Categories in phases: one that reads others' output comes after them; unknown names are left out."""
     left, done, phases = [n for n in names if n in CATEGORIES], set(), []

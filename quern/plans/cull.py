@@ -57,3 +57,27 @@ def cull(df: DataFrame, threshold: float, key: str = "rid", vector: str = "embed
     nodes = rest.select(F.col(key).alias("key"), (good if good is not None else F.lit(True)).alias("good"), size.alias("size"))
     kept = resolve(nodes, pairs.select("a", "b")).where("outcome = 'kept'").select(F.col("key").alias("__key"))
     return through.unionByName(rest.join(kept, F.col(key) == F.col("__key"), "left_semi"))
+
+
+def resumed(df: DataFrame, threshold: float, output: str, state: str, key: str = "rid", **options) -> int:
+    """Culls what earlier runs have not processed: rows kept go to ``output``, the keys of all rows
+    processed to ``state``, each in a folder of the run. Returns the run's number.
+
+    A run that was cut off is done again under the same number and replaces what it left, so no row
+    is written twice.  Rows of earlier runs are not compared with again.  To start over, delete both.
+    """
+    spark = df.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(state)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    run = 0
+    # a run counts once its state is complete
+    while files.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{state}/run={run}/_SUCCESS")):
+        run += 1
+    todo = df
+    if run:
+        done = spark.read.parquet(*[f"{state}/run={i}" for i in range(run)]).select(F.col(key).alias("__done"))
+        todo = df.join(done, F.col(key) == F.col("__done"), "left_anti")
+    todo = cut(todo)
+    cull(todo, threshold, key, **options).write.mode("overwrite").parquet(f"{output}/run={run}")
+    todo.select(key).write.mode("overwrite").parquet(f"{state}/run={run}")
+    return run

@@ -9,6 +9,7 @@ what a sequential loop would do until its target is met is a quota over rows in
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,6 +53,68 @@ def run(name: str, prompts: DataFrame, responder, batch: str = "batch", history:
     return rows
 
 
+def topics(prompts: DataFrame, responder, batch: str = "batch") -> DataFrame:
+    """(topic_idx, topic): the topics that answers list, the first of each, numbered from 0 in the
+    order of their answers. prompts: (batch, prompt)."""
+    answers = responder.respond(prompts, F.col("prompt"), out="text").where(~S.is_blank("text")).select(batch, "text")
+    found = _numbered(parsers.topics(answers, "text", batch), batch).withColumn("__one", F.lit(0))
+    numbered, at, _ = sampling.numbered_in_ranges(found, "__one", "rid")
+    return numbered.select(at.alias("topic_idx"), "topic")
+
+
+@dataclass(frozen=True)
+class Wishes:
+    """What prompts for contextual rows may ask for; each text is one line of the prompt."""
+
+    targets: tuple[str, ...] = ("All tasks should be about one of the texts.", "Tasks should need several of the texts.")
+    displays: tuple[str, ...] = ("a numbered list", "bullet points", "a paragraph")
+    styles: tuple[str, ...] = ()
+    formats: tuple[str, ...] = ()
+    display: str = "Show the tasks as {display}."
+    format_task: str = "Ask in one task for a certain output format, such as {formats}."
+    separate: str = "No text should refer to another."
+    related: str = "One text should refer to details of another."
+    linked: str = "One text should refer to details of another through its metadata, for example by a link."
+    source: str = "Ask for sources where the texts name any."
+    source_as: str = " They should be given as {format}."
+    unrelated: str = "One task should have nothing to do with the texts."
+    unanswerable: str = "One task should be near the texts' subject, but none of them should answer it."
+
+
+def contextual_prompts(template: str, batches: DataFrame, topics: DataFrame, n_topics: int, wishes: Wishes = Wishes(), seed: int = 0, **values) -> DataFrame:
+    """(batch, prompt) for texts with tasks about them; the number of texts, of tasks and of metadata
+    pairs, and what else is asked for, are drawn by hashes of the batch.
+
+    Batches take the next topics in rotation, one a text; topics: (topic_idx, topic).  Template:
+    input_count, metadata_counts, target_selection, task_count, styles, format_task, topics,
+    include_source, task_display_style, reference_texts, task_confounder, next_year, and ``values``.
+    """
+    w, b = wishes, "batch"
+    chance = lambda p, salt: sampling.bernoulli(p, seed + salt, b)
+    pick = lambda options, salt, *key: sampling.weighted(list(options), [1] * len(options), seed + salt, b, *key) if options else F.lit("")
+    texts = F.sequence(F.lit(1), F.col("n_texts"))
+    lines = lambda line: F.array_join(F.transform(texts, lambda i: F.concat(*line(i))), "\n")
+    number = lambda i: i.cast("string")
+
+    rows = batches.select(b).withColumn("n_texts", sampling.weighted([1, 2, 3, 4], [3, 2, 1, 1], seed, b)).withColumn("n_tasks", sampling.weighted([1, 2, 3], [3, 2, 1], seed + 1, b))
+    slots = sampling.running_total(rows, "n_texts", b).select("*", F.explode(F.sequence(F.lit(0), F.col("n_texts") - 1)).alias("i"))
+    slots = slots.withColumn("slot", F.col("running") - F.col("n_texts") + F.col("i"))
+    held = sampling.rotated(slots, "slot", topics, "topic_idx", n_topics).groupBy(b, "n_texts", "n_tasks").agg(F.sort_array(F.collect_list(F.struct("i", S.quoted("topic").alias("t")))).alias("x"))
+
+    metadata = lines(lambda i: [F.lit("- context block "), number(i), F.lit(" should have "), F.floor(sampling.draw(seed + 2, b, i) * 9).cast("string"), F.lit(" metadata pairs")])
+    styles = lines(lambda i: [F.lit("- text "), number(i), F.lit(" should be in the form of: "), pick(w.styles, 3, i)]) if w.styles else F.lit("")
+    formats = F.array(*map(F.lit, w.formats)) if w.formats else F.array().cast("array<string>")
+    some = F.slice(F.array_sort(F.transform(formats, lambda f: F.struct(F.xxhash64(F.lit(seed + 4), F.col(b), f).alias("h"), f.alias("f")))), 1, 3)
+    format_task = F.when(chance(0.2 if w.formats else 0.0, 5), S.fill(w.format_task, formats=F.array_join(F.transform(some, lambda x: x["f"]), ", "))).otherwise("")
+    together = F.when(chance(0.1, 6) & (F.col("n_texts") > 1), F.when(chance(0.5, 7), w.linked).otherwise(w.related)).otherwise(w.separate)
+    source_as = F.when(chance(0.2 if w.formats else 0.0, 8), S.fill(w.source_as, format=pick(w.formats, 9))).otherwise("")
+    source = F.when(chance(0.2, 10), F.concat(F.lit(w.source), source_as)).otherwise("")
+    confounder = F.when(chance(0.1, 11), F.when(chance(0.5, 12), w.unrelated).otherwise(w.unanswerable)).otherwise("")
+    about = S.numbered(F.transform("x", lambda x: x["t"]), " * text ", " should be related to topic: ")
+    bound = dict(input_count=F.col("n_texts"), metadata_counts=metadata, target_selection=pick(w.targets, 13), task_count=F.col("n_tasks"), styles=styles, format_task=format_task, topics=about, include_source=source, task_display_style=S.fill(w.display, display=pick(w.displays, 14)), reference_texts=together, task_confounder=confounder, next_year=S.next_year())
+    return held.select(b, S.fill(template, **{**bound, **values}).alias("prompt"))
+
+
 def details(rows: DataFrame, responder, wish: str, share: float = 0.5, seed: int = 0) -> DataFrame:
     """Variants of a share of trivia rows that ask for more, answered without the terse system prompt."""
     asked = rows.where(sampling.bernoulli(share, seed, "rid")).withColumn("instruction", F.concat("instruction", F.lit(wish))).drop("response", "system")
