@@ -174,21 +174,22 @@ def _scan(items, error_rate: float, least_chars: int, column: str):
     return run
 
 
-def item_blocks(items: DataFrame, key: str, text: str, most: int = BLOCK_BYTES) -> list[list[tuple]]:
-    """The test items on the driver, in blocks of at most ``most`` bytes of text (or one item).
+def item_blocks(items: DataFrame, key: str, text: str, most: int = BLOCK_BYTES):
+    """The test items, block after block of at most ``most`` bytes of text (or one item): the driver
+    holds one block and one partition of items at a time. Where there are no items, one empty block.
 
     Items are a stated query set.  Null texts are left out; of rows with equal keys each is an item.
     """
-    blocks: list[list[tuple]] = [[]]
+    block: list[tuple] = []
     held = 0
     for r in items.select(F.col(key).cast("bigint").alias("k"), F.col(text).alias("t")).where("t is not null").toLocalIterator():
         size = len(r["t"].encode())
         if held and held + size > most:
-            blocks.append([])
-            held = 0
-        blocks[-1].append((r["k"], r["t"]))
+            yield block
+            block, held = [], 0
+        block.append((r["k"], r["t"]))
         held += size
-    return blocks
+    yield block
 
 
 def contaminated(df: DataFrame, text: Column, items: DataFrame, keep: list[Column], item_key: str = "item_id", item_text: str = "text", error_rate: float = 0.06, least_chars: int = 40) -> DataFrame:
@@ -207,11 +208,11 @@ def contaminated(df: DataFrame, text: Column, items: DataFrame, keep: list[Colum
     kept = df.select(*keep).columns
     hidden, prefix = fresh(kept, "__text", "__found")
     out = df.select(*keep, text.alias(hidden))
-    blocks = item_blocks(items, item_key, item_text)
-    for i, block in enumerate(blocks):
-        column = f"{prefix}{i}"
+    columns = []
+    for i, block in enumerate(item_blocks(items, item_key, item_text)):
+        columns.append(column := f"{prefix}{i}")
         fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema.fields]
         fields.insert(-1, f"`{column}` {FOUND}")
         out = out.mapInArrow(_scan(spark.sparkContext.broadcast(block), error_rate, least_chars, column), ", ".join(fields))
-    found = F.array_sort(F.concat(*[F.col(f"{prefix}{i}") for i in range(len(blocks))]))
+    found = F.array_sort(F.concat(*[F.col(c) for c in columns]))
     return out.select(*[F.col(f"`{c}`") for c in kept if c.lower() != "found"], found.alias("found"))
