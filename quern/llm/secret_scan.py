@@ -37,18 +37,29 @@ WORDS = (
     "version view warehouse window with without workflow writer station nation the and thing other ention tion able ment"
 ).split()
 
+# Ordinary names are written in other languages too, without accents.
+OTHER_WORDS = (
+    "anfrage antwort benutzer datei durch eigenschaft ein einstellung fehler freiheit heit keit lich nachricht nicht rechnung schaft "
+    "schnitt und ung verzeichnis zeit zugang zwischen "
+    "avec connexion dans demande des donnees eau eur fichier jour les ment monde objet parametre pour quelque reponse resultat sur "
+    "toujours travail une utilisateur "
+    "agua archivo cion con conexion dad datos dia las los mente mundo objeto para que respuesta resultado siempre sobre solicitud "
+    "trabajo usuario"
+).split()
+
 
 def training_samples(spark: SparkSession, rows: int = 6000) -> DataFrame:
     """``rows`` labelled samples of each kind: (label: random or ordinary, sample).
 
     Random ones are digests written in base 64, hexadecimal or upper-case base-32-like letters;
-    ordinary ones join words in the usual identifier styles.  ``rows`` bounds the sample.
+    ordinary ones join words of four languages in the usual identifier styles.  ``rows`` bounds the sample.
     """
     i = F.col("id")
     digest = F.sha2(i.cast("string").cast("binary"), 256)
     random = F.when(i % 3 == 0, F.substring(digest, 1, 40)).when(i % 3 == 1, F.substring(F.translate(F.upper(F.base64(F.unhex(digest))), "+/=", ""), 1, 32)).otherwise(F.substring(F.base64(F.unhex(digest)), 1, 40))
-    words = F.array(*map(F.lit, WORDS))
-    pick = lambda j: F.element_at(words, (F.pmod(F.hash(i, F.lit(j)), F.lit(len(WORDS))) + 1).cast("int"))
+    known = WORDS + OTHER_WORDS
+    words = F.array(*map(F.lit, known))
+    pick = lambda j: F.element_at(words, (F.pmod(F.hash(i, F.lit(j)), F.lit(len(known))) + 1).cast("int"))
     parts = F.array(*[pick(j) for j in range(4)])
     ordinary = (
         F.when(i % 5 == 0, F.array_join(parts, "_"))
