@@ -21,6 +21,9 @@ SELECT p.doc_id, p.source, p.n_chars, p.slot, t.names[t.slots[p.slot + 1] + 1] A
 """
 
 
+# One bit of the CRC-32 table, with the reversed polynomial.
+_CRC_STEP = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+
 ORACLES: dict[str, str] = {
     "op1_warc_captures": """
 WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
@@ -41,4 +44,25 @@ c AS (SELECT id, min(root) AS component_id FROM r GROUP BY 1)
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id, c.component_id = d.doc_id AS kept FROM documents d LEFT JOIN n USING (doc_id) JOIN c ON c.id = d.doc_id
 """,
     "op6_shard_placement": _shard_sql(),
+    "op12_content_sort": r"""
+WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm, length(coalesce(text, '')) AS size FROM documents)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size, row_number() OVER w = 1 AS kept, sha256(norm) AS text_sha256 FROM n WINDOW w AS (PARTITION BY norm ORDER BY size DESC, doc_id)
+""",
+    "op13_spelling_variants": rf"""
+WITH RECURSIVE r AS MATERIALIZED (SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{C0}}-\x{{FF}}]{{7,}}')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+u AS (SELECT doc_id, run, count(*) AS n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS x FROM r GROUP BY 1, 2),
+t AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k: {_CRC_STEP})) AS t),
+h AS (SELECT run, n, length(run) AS size, xor(list_reduce(list_prepend(4294967295, list_transform(range(0, len(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT)), lambda c, b: xor(c >> 8, t.t[xor(c & 255, b) + 1])), 4294967295) AS h FROM u, t),
+d AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % size) || substr(run, h % size + 2) ELSE run END AS word, n FROM h),
+w AS MATERIALIZED (SELECT word, sum(n)::BIGINT AS n FROM d WHERE length(word) >= 7 GROUP BY 1 HAVING sum(n) >= 2),
+c AS MATERIALIZED (SELECT word, n, pos, substr(word, 1, pos) || substr(word, pos + 2) AS rest FROM (SELECT word, n, unnest(range(length(word))) AS pos FROM w)),
+i AS MATERIALIZED (SELECT DISTINCT a.word, a.n, b.word AS other, b.n AS m FROM c a JOIN w b ON a.rest = b.word),
+p AS (SELECT a.word, b.word AS other, b.n AS m FROM c a JOIN c b ON a.pos = b.pos AND a.rest = b.rest AND a.word <> b.word
+  UNION ALL SELECT word, other, m FROM i UNION ALL SELECT other, word, n FROM i),
+b AS (SELECT word, count(*) AS n_near, max(m) AS m FROM p GROUP BY 1),
+f AS MATERIALIZED (SELECT w.word, w.n, coalesce(b.n_near, 0)::BIGINT AS n_near, CASE WHEN b.m >= 10 * w.n THEN (SELECT min(p.other) FROM p WHERE p.word = w.word AND p.m = b.m) END AS form, CASE WHEN b.m >= 10 * w.n THEN b.m END AS form_n FROM w LEFT JOIN b USING (word)),
+s(word, last) AS (SELECT word, word FROM f UNION ALL SELECT s.word, f.form FROM s JOIN f ON f.word = s.last WHERE f.form IS NOT NULL),
+e AS (SELECT s.word, s.last AS root FROM s JOIN f ON f.word = s.last WHERE f.form IS NULL)
+SELECT f.word, f.form, e.root, f.n, f.n_near, f.form_n FROM f JOIN e USING (word)
+""",
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, line_templates, mixing, near_dup, ogg, secret_scan, sharding, unigram, warc
+from . import content_sort, decontaminate, langid, line_templates, mixing, near_dup, ogg, secret_scan, sharding, unigram, variants, warc
 from .workspace import stage
 
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
@@ -93,4 +93,15 @@ def op10_unigram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unigram.count_tokens(docs, F.col("text"), unigram.default_vocabulary(spark), [F.col("doc_id")])
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_captures, op2_ogg_media, op3_line_templates, op4_source_mix, op5_near_duplicates, op6_shard_placement, op7_secret_spans, op8_language, op9_contamination, op10_unigram_counts)}
+def op12_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = content_sort.classes(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, least = table(spark, sf_dir, "documents"), 7
+    words = F.transform(variants.runs(F.col("text"), least), lambda run: variants.damaged(F.col("doc_id"), run))
+    return variants.group_variants(variants.vocabulary(docs, words, least))
+
+
+QUERIES = {f.__name__: f for f in (op1_warc_captures, op2_ogg_media, op3_line_templates, op4_source_mix, op5_near_duplicates, op6_shard_placement, op7_secret_spans, op8_language, op9_contamination, op10_unigram_counts, op12_content_sort, op13_spelling_variants)}

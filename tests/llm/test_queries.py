@@ -24,6 +24,7 @@ CONTRACT = {
     "op8_language": {"doc_id", "held_out", "lang_pred", "score"},
     "op9_contamination": {"doc_id", "contaminated"},
     "op10_unigram_counts": {"doc_id", "n_tokens"},
+    "op12_content_sort": {"doc_id", "keep_id", "group_size", "kept", "text_sha256"},
 }
 
 
