@@ -44,6 +44,15 @@ c AS (SELECT id, min(root) AS component_id FROM r GROUP BY 1)
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id, c.component_id = d.doc_id AS kept FROM documents d LEFT JOIN n USING (doc_id) JOIN c ON c.id = d.doc_id
 """,
     "op6_shard_placement": _shard_sql(),
+    "op11_hard_negatives": """
+WITH v AS (SELECT vec_id::BIGINT AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS MATERIALIZED (SELECT a.id AS anchor_id, b.id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score FROM v a JOIN v b ON a.id <> b.id WHERE a.id % 100 = 0),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, p.id AS positive_id, (row_number() OVER w)::INTEGER AS rank, s.id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+WINDOW w AS (PARTITION BY anchor_id, p.id ORDER BY s.score DESC, s.id) QUALIFY rank <= 10
+""",
     "op12_content_sort": r"""
 WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm, length(coalesce(text, '')) AS size FROM documents)
 SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size, row_number() OVER w = 1 AS kept, sha256(norm) AS text_sha256 FROM n WINDOW w AS (PARTITION BY norm ORDER BY size DESC, doc_id)

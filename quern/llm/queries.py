@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import content_sort, decontaminate, langid, line_templates, mixing, near_dup, ogg, secret_scan, sharding, unigram, variants, warc
+from . import content_sort, decontaminate, hard_negatives, langid, line_templates, mixing, near_dup, ogg, secret_scan, sharding, unigram, variants, warc
 from .workspace import stage
 
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
@@ -93,6 +93,12 @@ def op10_unigram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unigram.count_tokens(docs, F.col("text"), unigram.default_vocabulary(spark), [F.col("doc_id")])
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows, "vec_id", label, hard_negatives.whole_numbers(F.col("embedding")), F.col("vec_id") % 100 == 0)
+
+
 def op12_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = content_sort.classes(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
@@ -104,4 +110,4 @@ def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.group_variants(variants.vocabulary(docs, words, least))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_captures, op2_ogg_media, op3_line_templates, op4_source_mix, op5_near_duplicates, op6_shard_placement, op7_secret_spans, op8_language, op9_contamination, op10_unigram_counts, op12_content_sort, op13_spelling_variants)}
+QUERIES = {f.__name__: f for f in (op1_warc_captures, op2_ogg_media, op3_line_templates, op4_source_mix, op5_near_duplicates, op6_shard_placement, op7_secret_spans, op8_language, op9_contamination, op10_unigram_counts, op11_hard_negatives, op12_content_sort, op13_spelling_variants)}
