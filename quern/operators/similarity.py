@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..storage import cut
+from .sequential import first_independent
 
 BLOCK = 1024
 #: Rows and columns of cells, at most, over which a group's pairs of blocks are dealt.
@@ -115,36 +115,8 @@ def drop_similar(batch: DataFrame, history: DataFrame, threshold: float, key: st
     return batch.join(near, F.col(key) == F.col("__key"), "left_anti")
 
 
-def first_independent(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Keys that a sequential pass in key order would keep: a row goes if an earlier kept row is its
-    neighbour. nodes: (key); edges: (a, b) with a < b. Rounds settle all rows without an open
-    earlier neighbour: one at least, so the rounds end; a chain of neighbours in order takes half as
-    many rounds as it has rows."""
-    left = cut(edges.select("a", "b").distinct())
-    nodes = nodes.select("key").distinct()
-    touched = cut(left.select(F.col("b").alias("key")).distinct())
-    kept, open_ = nodes.join(touched, "key", "left_anti"), touched
-    while True:
-        gone = cut(left.join(kept.withColumnRenamed("key", "a"), "a", "left_semi").select(F.col("b").alias("key")).distinct())
-        open_ = cut(open_.join(gone, "key", "left_anti"))
-        if open_.isEmpty():
-            return kept
-        left = cut(left.join(open_.withColumnRenamed("key", "b"), "b", "left_semi"))
-        waiting = left.join(open_.withColumnRenamed("key", "a"), "a", "left_semi").select(F.col("b").alias("key")).distinct()
-        now = open_.join(waiting, "key", "left_anti")
-        kept, open_ = cut(kept.unionAll(now)), cut(open_.join(now, "key", "left_anti"))
-
-
 def greedy_dedup(df: DataFrame, threshold: float, key: str, vector: str, group: str | None = None) -> DataFrame:
     """Rows that a sequential pass in key order keeps."""
     pairs = pairs_within(df, threshold, key, vector, group).select("a", "b")
     kept = first_independent(df.select(F.col(key).cast("bigint").alias("key")), pairs)
     return df.join(kept, df[key] == kept["key"], "left_semi")
-
-
-def squared_distance_pairs(df: DataFrame, threshold: float, key: str, vector: str) -> DataFrame:
-    """The readable form of ``pairs_within`` for small tables, by built-in functions."""
-    from ..functions.vector import squared_distance
-
-    a, b = df.select(F.col(key).alias("a"), F.col(vector).alias("u")), df.select(F.col(key).alias("b"), F.col(vector).alias("v"))
-    return a.join(b, F.col("a") < F.col("b")).withColumn("distance", squared_distance(F.col("u"), F.col("v"))).where(F.col("distance") <= threshold).select("a", "b", "distance")

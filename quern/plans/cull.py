@@ -1,48 +1,107 @@
 """Culling: per category, near rows form the batch of their first open row; one good row stays.
 
-The order of rows matters, so batches are resolved in rounds: in each round every open row whose
-earlier open neighbours are all settled leads a batch.  That gives the result of a sequential pass,
-with a row in no batch after it was kept or purged.
+The order of rows matters; ``resolve`` gives the result of a sequential pass, with a row in no batch
+after it was kept or purged.
 """
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import filters
+from ..operators.sequential import RANGE, range_of, ranges
 from ..operators.similarity import pairs_within
-from ..storage import cut
+from ..storage import cut, release
 
 
-def resolve(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+def _verdict(batch: list[tuple], leader: int) -> list[tuple[int, bool]]:
+    """(key, kept) of the members that a batch settles. Members: (good, size, key)."""
+    good = [m for m in batch if m[0]]
+    best = max(good)[2] if good else None
+    if len(good) == 1:
+        return [(best, True)] + ([(leader, False)] if best != leader else [])
+    return [(m[2], m[2] == best) for m in batch]
+
+
+def _in_order(own: int, leaders: dict, after: dict, members: dict) -> list[tuple[int, bool]]:
+    """Outcomes of a range whose leaders are gone through in order. members: key to (good, size, range
+    of the first open earlier neighbour, first neighbour that is judged elsewhere).  A batch with a member
+    that an open row of an earlier range, an earlier row judged elsewhere, or an unsettled row of this
+    range may claim is left for another round, and so are its members."""
+    out: dict[int, bool] = {}
+    unsure = {k for k, m in members.items() if m[2] is not None and m[2] < own}
+    for key in sorted(leaders):
+        if key in out:
+            continue
+        batch = [key, *(b for b in after.get(key, ()) if b not in out)]
+        if unsure.intersection(batch) or any(members[k][3] is not None and members[k][3] < key for k in batch):
+            unsure.update(batch)
+        else:
+            out.update(_verdict([(members[k][0], members[k][1], k) for k in batch], key))
+    return list(out.items())
+
+
+def resolve(nodes: DataFrame, edges: DataFrame, size: int = RANGE) -> DataFrame:
     """(key, outcome: kept or purged). nodes: (key, good, size); edges: (a, b) with a < b.
 
     A leader's batch is the leader and its open later neighbours.  No good member: all go.  One: it
     stays, the leader and the bad ones are settled only if they are not it - bad members stay open
     for later batches, a bad leader is done.  Several: the longest stays (the last of equal ones),
-    the others go.
+    the others go.  Null sizes count as the least.
+
+    Leaders of a range of keys are gone through in order inside one Arrow group (``sequential``).  A
+    leader of more later neighbours than a range holds edges is no part of a group: its batch is
+    judged by aggregates.
     """
-    nodes = cut(nodes.select("key", F.coalesce("good", F.lit(True)).alias("good"), "size"))
+    nodes = nodes.select("key", F.coalesce("good", F.lit(True)).alias("good"), F.coalesce(F.col("size").cast("bigint"), F.lit(-1)).alias("size"))
     left = cut(edges.select("a", "b").distinct())
-    open_, settled = nodes, None
-    while True:  # the first open row of all always leads, so each round settles a row
-        # leaders of this round: open rows without an open earlier neighbour within two steps,
-        # so that no two batches share a member
-        after = left.select(F.col("a").alias("x"), F.col("b").alias("key"))
-        first = open_.select("key").join(after.groupBy("key").agg(F.min("x").alias("least")), "key", "left")
-        own = first.select("key", F.least("key", F.coalesce("least", "key")).alias("claim"))
-        claims = left.join(own.toDF("b", "claim"), "b").groupBy("a").agg(F.min("claim").alias("claim"))
-        leaders = own.where("claim = key").join(claims.withColumnRenamed("claim", "other"), F.col("key") == F.col("a"), "left").where("other is null or other = key").select("key")
-        batch = leaders.select(F.col("key").alias("leader"), "key").unionAll(left.join(leaders.toDF("a"), "a", "left_semi").select(F.col("a").alias("leader"), F.col("b").alias("key")))
-        batch = cut(batch.join(open_, "key"))
-        verdict = batch.groupBy("leader").agg(F.count_if("good").alias("n"), F.max_by("key", F.struct(F.col("good"), F.col("size"), F.col("key"))).alias("best"))
-        outcome = batch.join(verdict, "leader").select("key", F.when(F.col("n") == 0, "purged").when(F.col("key") == F.col("best"), "kept").when((F.col("n") > 1) | (F.col("key") == F.col("leader")), "purged").alias("outcome")).where("outcome is not null")
-        settled = cut(outcome if settled is None else settled.unionAll(outcome))
-        open_ = cut(open_.join(outcome.select("key"), "key", "left_anti"))
-        if open_.isEmpty():
-            return settled
-        left = cut(left.join(open_.select(F.col("key").alias("a")), "a", "left_semi").join(open_.select(F.col("key").alias("b")), "b", "left_semi"))
+    touched = left.select(F.col("a").alias("key")).union(left.select("b")).distinct()
+    alone = nodes.join(touched, "key", "left_anti").select("key", F.col("good").alias("kept"))
+    open_ = cut(nodes.join(touched, "key", "left_semi"))
+    bounds = ranges(left, "a", size)
+    done = cut(alone)
+
+    def settle(t: pa.Table) -> pa.Table:
+        own, leaders, after, members = t.column("own")[0].as_py(), set(), {}, {}
+        for r in t.select(["a", "b", "good", "size", "claim", "hub"]).to_pylist():
+            members[r["b"]] = (r["good"], r["size"], r["claim"], r["hub"])
+            if r["a"] == r["b"]:
+                leaders.add(r["a"])
+            else:
+                after.setdefault(r["a"], []).append(r["b"])
+        decided = _in_order(own, leaders, after, members)
+        return pa.table([pa.array([x[0] for x in decided], pa.int64()), pa.array([x[1] for x in decided], pa.bool_())], names=["key", "kept"])
+
+    while not open_.isEmpty():
+        # there are at most (edges / size) hubs
+        hubs = cut(left.groupBy("a").count().where(F.col("count") > size).select("a", F.col("a").alias("hub")))
+        some = not hubs.isEmpty()
+        # the first range, the first row and the first hub that may still claim a row
+        marked = left.join(F.broadcast(hubs), "a", "left") if some else left.withColumn("hub", F.lit(None).cast("bigint"))
+        first = marked.groupBy(F.col("b").alias("key")).agg(F.min("a").alias("first"), F.min("hub").alias("hub"))
+        member = open_.join(first, "key", "left").withColumn("claim", range_of("first", bounds)).withColumnRenamed("key", "b")
+        batches = member.select(F.col("b").alias("a"), *member.columns).unionAll(left.join(member, "b").select("a", *member.columns))
+        placed = batches.withColumn("own", range_of("a", bounds))
+        placed = cut(placed) if some else placed
+        ordinary = placed.join(F.broadcast(hubs.select("a")), "a", "left_anti") if some else placed
+        decided = ordinary.groupBy("own").applyInArrow(settle, "key bigint, kept boolean")
+        if some:
+            # a hub's batch is ready if it comes first for each of its members
+            wide = placed.join(F.broadcast(hubs.select("a")), "a", "left_semi")
+            ready = wide.groupBy("a").agg(F.min(F.when(F.col("b") == F.col("a"), F.col("first").isNull()).otherwise(F.col("first") == F.col("a"))).alias("ready"), F.count_if("good").alias("n"), F.max_by("b", F.struct("good", "size", "b")).alias("best"))
+            judged = wide.join(ready.where("ready"), "a").select(F.col("b").alias("key"), F.when(F.col("n") == 0, False).when(F.col("b") == F.col("best"), True).when((F.col("n") > 1) | (F.col("a") == F.col("b")), False).alias("kept")).where("kept is not null")
+            decided = decided.unionAll(judged)
+        decided = cut(decided)
+        keys = decided.select("key")
+        before = open_, left, hubs, placed, done, decided
+        done = cut(done.unionAll(decided))
+        open_ = cut(open_.join(keys, "key", "left_anti"))
+        left = cut(left.join(keys.toDF("a"), "a", "left_anti").join(keys.toDF("b"), "b", "left_anti"))
+        release(*before)
+    release(open_, left)
+    return done.select("key", F.when(F.col("kept"), "kept").otherwise("purged").alias("outcome"))
 
 
 def cull(df: DataFrame, threshold: float, key: str = "rid", vector: str = "embedding", category: str = "category", size=None, good=None, passing=filters.PASS_THROUGH) -> DataFrame:

@@ -23,7 +23,8 @@ def test_pairs(spark):
     for block in (7, 1000):
         got = similarity.pairs_within(df, 0.3, "id", "v", "g", block=block).collect()
         assert {(r["a"], r["b"]) for r in got} == want and len(got) == len(want)
-    plain = similarity.squared_distance_pairs(df, 0.3, "id", "v").collect()
+    a, b = df.select(F.col("id").alias("a"), F.col("v").alias("u")), df.select(F.col("id").alias("b"), "v")
+    plain = a.join(b, F.col("a") < F.col("b")).where(V.squared_distance(F.col("u"), F.col("v")) <= 0.3).collect()
     assert {(r["a"], r["b"]) for r in plain} == {(i, j) for i in range(120) for j in range(i + 1, 120) if d[i, j] <= 0.3}
 
 
