@@ -17,10 +17,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .workspace import fresh, small_batches
+from .workspace import fresh, release, small_batches, stage
 
-#: Bytes of test items that go to the executors at once; more items are done block by block.
-BLOCK_BYTES = 16_000_000
+#: Bytes of test items that go to the executors at once (a worker needs about 70 times as much for the
+#: automaton); more items are done block by block.
+BLOCK_BYTES = 4_000_000
 
 
 def normal(text: str) -> str:
@@ -153,7 +154,7 @@ class Finder:
                     best = (best[0], start_of(item, t, best[2], best[0]), best[2])
             if best is not None:
                 found.append((key, *best))
-        return sorted(found)
+        return sorted(found, key=lambda x: (x[0] is None, x[0] or 0, x[1:]))
 
 
 FOUND = "array<struct<item:bigint,distance:int,start:int,end:int>>"
@@ -200,19 +201,26 @@ def contaminated(df: DataFrame, text: Column, items: DataFrame, keep: list[Colum
     Null and empty texts find nothing, as does any text where there are no items.  Very long texts
     are searched whole; of several places of an item the one with the least distance counts, the
     first of equal ones.  Rows are neither merged nor shuffled: repeated rows are found alike, an
-    empty table gives an empty one, a kept column called ``found`` is replaced.  Each block of items
-    is one pass over the texts.
+    empty table gives an empty one, a kept column called ``found`` is replaced.  Items with null ids are
+    found like others and come last.  Each block of items is a pass of its own over the texts, whose
+    result is written before the next, so that a worker holds one block.
     """
     spark = df.sparkSession
     small_batches(spark)
     kept = df.select(*keep).columns
     hidden, prefix = fresh(kept, "__text", "__found")
     out = df.select(*keep, text.alias(hidden))
-    columns = []
-    for i, block in enumerate(item_blocks(items, item_key, item_text)):
+    columns, held = [], None
+    for i, block in enumerate(item_blocks(items, item_key, item_text, BLOCK_BYTES)):
+        if columns:
+            out = stage(out, "contaminated")
+            release(held)
+            held = out
         columns.append(column := f"{prefix}{i}")
         fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema.fields]
         fields.insert(-1, f"`{column}` {FOUND}")
         out = out.mapInArrow(_scan(spark.sparkContext.broadcast(block), error_rate, least_chars, column), ", ".join(fields))
     found = F.array_sort(F.concat(*[F.col(c) for c in columns]))
+    # null ids last
+    found = F.concat(F.filter(found, lambda x: x["item"].isNotNull()), F.filter(found, lambda x: x["item"].isNull()))
     return out.select(*[F.col(f"`{c}`") for c in kept if c.lower() != "found"], found.alias("found"))

@@ -91,12 +91,12 @@ def test_short_items_are_found_as_they_are_and_alone():
 def test_columns_blocks_and_edges(spark, monkeypatch):
     items = [(1, "what is the capital of the country where the river ends its way"), (1, "which of these numbers is the smallest prime that is not even at all"), (2, None), (None, "a null id is an item like every other one in the table of items"), (3, "too short")]
     b = spark.createDataFrame(items, "item_id bigint, text string")
-    rows = [(10, "x " + items[0][1].upper().replace(" ", "\n ") + " y", "en", "s", 0), (11, items[1][1].replace("prime", "prine"), "en", "s", 0), (12, "nothing here", "en", "s", 0), (13, items[3][1], "en", "s", 0), (14, "too short", "en", "s", 0), (15, None, "en", "s", 0)]
-    for most in (16_000_000, 10):
-        monkeypatch.setattr(D, "item_blocks", lambda i, k, t, most=most, f=D.item_blocks: f(i, k, t, most)) if most == 10 else None
+    rows = [(10, "x " + items[0][1].upper().replace(" ", "\n ") + " y", "en", "s", 0), (11, items[1][1].replace("prime", "prine"), "en", "s", 0), (12, "nothing here", "en", "s", 0), (13, items[3][1], "en", "s", 0), (14, "too short", "en", "s", 0), (15, None, "en", "s", 0), (16, items[3][1] + ". " + items[0][1], "en", "s", 0)]
+    for most in (4_000_000, 10):
+        monkeypatch.setattr(D, "BLOCK_BYTES", most)
         df = clashing(docs(spark, rows), "found", "__text", "item")
         got = {r["doc_id"]: [(x["item"], x["distance"]) for x in r["found"]] for r in D.contaminated(df, F.col("text"), b, [F.col("doc_id"), F.col("found"), F.col("__text")]).collect()}
-        assert got == {10: [(1, 0)], 11: [(1, 1)], 12: [], 13: [(None, 0)], 14: [(3, 0)], 15: []}
+        assert got == {10: [(1, 0)], 11: [(1, 1)], 12: [], 13: [(None, 0)], 14: [(3, 0)], 15: [], 16: [(1, 0), (None, 0)]}
     assert all(r["found"] == [] for r in D.contaminated(docs(spark), F.col("text"), b.limit(0), [F.col("doc_id")]).collect())
     assert D.contaminated(docs(spark), F.col("text"), b, [F.col("doc_id")]).count() == 8
     assert D.contaminated(empty(spark), F.col("text"), b, [F.col("doc_id")]).count() == 0
