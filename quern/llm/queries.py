@@ -64,7 +64,7 @@ def op6_shard_placement(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    ratios = secret_scan.train(secret_scan.training_samples(spark))
+    ratios = secret_scan.train(secret_scan.training_samples(spark, docs.where(~_held_out())))
     found = secret_scan.scan(docs.select("doc_id", "text"), "text", ratios)
     base = F.filter("secrets", lambda s: s["kind"] < 3)
     count = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("bigint")

@@ -2,7 +2,7 @@
 
 Candidate strings are scored by the log-likelihood ratio of a first-order character model of random
 strings and one of ordinary identifiers: as a whole, and by their best stretch, so that the name in
-``name=value`` or ``path/value`` does not hide the value.  Both are estimated from labelled samples by DataFrame
+``name=value`` or ``path/value`` does not hide the value.  Both are estimated from labelled samples (values of base spans and words of sampled documents, and made ones) by DataFrame
 operations; the table that reaches the driver has at most one row for each pair of the alphabet's
 characters, and scoring reads it as a constant array.  All offsets count code points; ends are
 exclusive.
@@ -48,34 +48,79 @@ OTHER_WORDS = (
 ).split()
 
 
-def training_samples(spark: SparkSession, rows: int = 6000) -> DataFrame:
-    """``rows`` labelled samples of each kind: (label: random or ordinary, sample).
-
-    Random ones are digests written in base 64, hexadecimal or upper-case base-32-like letters;
-    ordinary ones join words of four languages in the usual identifier styles.  ``rows`` bounds the sample.
+def _styled(parts: Column, key: Column) -> Column:
+    """Four words as an identifier, path or constant; which spelling, and which numbers, a hash of ``key`` says."""
+    low = F.transform(parts, lambda x: F.lower(x))
+    caps = F.transform(parts, lambda x: F.initcap(x))
+    up = F.transform(parts, lambda x: F.upper(x))
+    number = F.substring(F.pmod(F.xxhash64(F.lit("n"), key), F.lit(10_000)).cast("string"), 1, 4)
+    joined = lambda words, by: F.array_join(words, by)
+    ways = [
+        joined(low, "_"),
+        joined(low, "-"),
+        joined(caps, ""),
+        F.concat(F.get(low, F.lit(0)), joined(F.slice(caps, 2, 3), "")),
+        joined(up, "_"),
+        F.concat(F.lit("/"), joined(low, "/")),
+        joined(low, ""),
+        joined(up, ""),
+        F.concat_ws("_", F.slice(low, 1, 3), number),
+        F.concat_ws("-", up, number),
+        joined(caps, "/"),
+        F.concat(joined(F.slice(low, 1, 2), "="), F.lit("/"), F.get(low, F.lit(2))),
+    ]
+    pick = F.pmod(F.xxhash64(F.lit("style"), key), F.lit(len(ways)))
+    out = F.lit(None).cast("string")
+    for i, way in enumerate(ways):
+        out = F.when(pick == i, way).otherwise(out)
+    return out
+
+
+def training_samples(spark: SparkSession, docs: DataFrame | None = None, id: str = "doc_id", text: str = "text", rows: int = 6000, most_docs: int = 2000) -> DataFrame:
+    """Labelled samples: (label: random or ordinary, sample).
+
+    Random ones are ``rows`` digests, written in base 64 and 32 and as hexadecimal numbers of either case,
+    and the values of all base spans of sampled documents.  Ordinary ones are the words of sampled
+    documents outside base spans, four after the other, ``3 * rows`` groups of usual words of four
+    languages, both in all spellings and cases of identifiers, constants and paths, and ``rows`` numbers.
+
+    About ``most_docs`` of ``docs`` are sampled, by a hash of the id, and read whole: the classifier is fitted
+    on a bounded sample.  Documents with null ids or texts are not sampled; without ``docs`` there are
+    only made samples.
     """
     i = F.col("id")
+    base = spark.range(rows)
     digest = F.sha2(i.cast("string").cast("binary"), 256)
-    random = F.when(i % 3 == 0, F.substring(digest, 1, 40)).when(i % 3 == 1, F.substring(F.translate(F.upper(F.base64(F.unhex(digest))), "+/=", ""), 1, 32)).otherwise(F.substring(F.base64(F.unhex(digest)), 1, 40))
+    sixty_four = F.base64(F.unhex(digest))
+    made = F.when(i % 4 == 0, F.substring(digest, 1, 40)).when(i % 4 == 1, F.substring(F.upper(digest), 1, 40)).when(i % 4 == 2, F.substring(F.translate(F.upper(sixty_four), "+/=0189", ""), 1, 32)).otherwise(F.substring(sixty_four, 1, 40))
     known = WORDS + OTHER_WORDS
     words = F.array(*map(F.lit, known))
     pick = lambda j: F.element_at(words, (F.pmod(F.hash(i, F.lit(j)), F.lit(len(known))) + 1).cast("int"))
-    parts = F.array(*[pick(j) for j in range(4)])
-    ordinary = (
-        F.when(i % 5 == 0, F.array_join(parts, "_"))
-        .when(i % 5 == 1, F.array_join(parts, "-"))
-        .when(i % 5 == 2, F.array_join(F.transform(parts, F.initcap), ""))
-        .when(i % 5 == 3, F.concat(F.lit("/"), F.array_join(parts, "/")))
-        .otherwise(F.array_join(F.slice(parts, 1, 3), ""))
-    )
-    base = spark.range(rows)
-    return base.select(F.lit("random").alias("label"), random.alias("sample")).unionAll(base.select(F.lit("ordinary").alias("label"), ordinary.alias("sample")))
-
-
-def train(samples: DataFrame, alphabet: str = ALPHABET) -> list[float]:
+    usual = spark.range(3 * rows).select(_styled(F.array(*[pick(j) for j in range(4)]), i).alias("sample"))
+    numbers = base.select(F.translate(digest, "abcdef", "").alias("sample"))
+    ordinary, random = usual.unionAll(numbers), base.select(made.alias("sample"))
+    if docs is not None:
+        t = docs.where(docs[text].isNotNull() & docs[id].isNotNull())
+        every = max(1, t.count() // most_docs)
+        held = t.where(F.pmod(F.xxhash64(docs[id]), F.lit(every)) == 0).select(docs[text].alias("t"))
+        found = F.concat(
+            F.filter(F.regexp_extract_all("t", F.lit(ASSIGN), F.lit(2)), lambda x: F.length(x) >= 12),
+            F.regexp_extract_all("t", F.lit(f"({ACCESS})"), F.lit(1)),
+            F.regexp_extract_all("t", F.lit(f"({HEX})"), F.lit(1)),
+        )
+        random = random.unionAll(held.select(F.explode(found).alias("sample")))
+        rest = F.regexp_replace(F.regexp_replace(F.regexp_replace("t", ASSIGN, " "), ACCESS, " "), HEX, " ")
+        plain = held.select(F.regexp_extract_all(rest, F.lit("[A-Za-z]{2,14}"), F.lit(0)).alias("w")).where(F.size("w") >= 4)
+        four = plain.select(F.posexplode(F.transform(F.sequence(F.lit(0), F.floor(F.size("w") / 4).cast("int") - 1), lambda k: F.slice("w", k * 4 + 1, F.lit(4)))).alias("at", "parts"))
+        ordinary = ordinary.unionAll(four.select(_styled(F.col("parts"), F.concat(F.array_join("parts", " "), F.col("at").cast("string"))).alias("sample")))
+    return random.select(F.lit("random").alias("label"), "sample").unionAll(ordinary.select(F.lit("ordinary").alias("label"), "sample"))
+
+
+def train(samples: DataFrame, alphabet: str = ALPHABET, most: float = 2.5) -> list[float]:
     """Log-likelihood ratios (random over ordinary) of transitions, row-major over the alphabet.
 
-    Counts cover all samples; add-one smoothing; null samples and characters outside the alphabet
+    No transition counts more than ``most`` either way, so that a few rare pairs of letters do not make an
+    ordinary name random.  Counts cover all samples; add-one smoothing; null samples and characters outside the alphabet
     are passed over.  At most ``2 * len(alphabet)**2`` counted rows are collected.
     """
     s = F.col("sample")
@@ -94,7 +139,8 @@ def train(samples: DataFrame, alphabet: str = ALPHABET) -> list[float]:
     for row in counted:
         if row["label"] in counts:
             counts[row["label"]][at[row["pair"][0]]][at[row["pair"][1]]] += row["count"]
-    return [math.log(counts["random"][a][b] / sum(counts["random"][a])) - math.log(counts["ordinary"][a][b] / sum(counts["ordinary"][a])) for a in range(size) for b in range(size)]
+    share = {k: [[math.log(x / sum(row)) for x in row] for row in table] for k, table in counts.items()}
+    return [max(-most, min(most, share["random"][a][b] - share["ordinary"][a][b])) for a in range(size) for b in range(size)]
 
 
 def _over_transitions(token: Column, ratios: list[float], alphabet: str, start: Column, step, finish=None) -> Column:
@@ -167,7 +213,7 @@ def spans_of(text: Column, pattern: str, kind: str, keep) -> Column:
     return _bound(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), one)
 
 
-def scan(df: DataFrame, text: str, ratios: list[float], threshold: float = 8.0, out: str = "secrets", stretch: float = 10.0) -> DataFrame:
+def scan(df: DataFrame, text: str, ratios: list[float], threshold: float = 9.0, out: str = "secrets", stretch: float = 11.0) -> DataFrame:
     """``df`` with an array column ``out`` of structs (start, kind, end), by start, then kind.
 
     ``kind`` is a position in ``KINDS``; ``markov`` spans are runs of 20 or more characters of the

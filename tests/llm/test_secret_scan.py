@@ -12,7 +12,7 @@ from .helpers import clashing, docs, empty
 
 @pytest.fixture(scope="module")
 def ratios(spark):
-    return S.train(S.training_samples(spark, 2000))
+    return S.train(S.training_samples(spark, rows=2000))
 
 
 def plain(t):
@@ -47,6 +47,55 @@ def test_models_tell_random_from_ordinary(spark, ratios):
     assert all((s["start"], s["end"]) == (4, 4 + len(secrets[i])) for i in range(len(secrets)) for s in found[i])
 
 
+def flagged(tokens, ratios, threshold=9.0, stretch=11.0):
+    """The share of tokens that the models call random, the plain way."""
+    at, n, out = S.ALPHABET.index, len(S.ALPHABET), 0
+    for t in tokens:
+        total = now = best = 0.0
+        for a, b in zip(t, t[1:], strict=False):
+            x = ratios[at(a) * n + at(b)]
+            total, now = total + x, max(now + x, 0.0)
+            best = max(best, now)
+        out += total >= threshold or best >= stretch
+    return out / len(tokens)
+
+
+@pytest.fixture(scope="module")
+def production(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    return S.train(S.training_samples(spark, rows))
+
+
+def test_names_of_public_sources_are_no_secrets(production):
+    import glob
+    import os
+    import string
+
+    import pyspark
+
+    texts = [open(f, errors="ignore").read() for f in glob.glob(os.path.dirname(pyspark.__file__) + "/**/*.py", recursive=True)]
+    names = sorted({x for t in texts for x in re.findall(r"\b[A-Za-z_][A-Za-z0-9_]{19,}\b", t)})
+    constants = [x for x in names if x.upper() == x]
+    assert len(names) > 3000 and len(constants) > 200
+    assert flagged(names, production) <= 0.01
+    assert flagged([x.upper() for x in names], production) <= 0.02 and flagged(constants, production) <= 0.01
+    assert flagged([x.replace("_", "-") for x in names], production) <= 0.01
+    r = random.Random(4)
+    assert flagged(["".join(r.choices(string.digits, k=20)) for _ in range(300)], production) == 0
+    for alphabet in (string.ascii_letters + string.digits, string.ascii_uppercase + "234567", "0123456789ABCDEF", string.ascii_letters + string.digits + "+/", string.ascii_lowercase + string.digits):
+        assert flagged(["".join(r.choices(alphabet, k=r.randint(20, 40))) for _ in range(400)], production) >= 0.97
+
+
+def test_held_out_documents(spark, production):
+    """Words of documents that were not sampled: none is a secret, but those that a base span touches."""
+    rows = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    out = S.scan(rows, "text", production).where(F.size("secrets") > 0).select("text", "secrets").collect()
+    spans = [(r["text"][s["start"] : s["end"]], any(o["kind"] < 3 and o["start"] < s["end"] and s["start"] < o["end"] for o in r["secrets"])) for r in out for s in r["secrets"] if s["kind"] == 3]
+    assert len(spans) > 100
+    alone = [t for t, touched in spans if not touched]
+    assert len(alone) <= 0.02 * len(spans), alone
+
+
 def test_names_and_paths_do_not_hide_secrets(spark):
     ratios = S.train(S.training_samples(spark))  # as the query
     rng = random.Random(8)
