@@ -100,13 +100,14 @@ def numbered_in_ranges(df: DataFrame, by: str, key: str, parts: int = 64) -> tup
     in its group, and for the group's size. Ranges of (by, key) are numbered by themselves."""
     from ..storage import cut
 
-    ranged = cut(df.repartitionByRange(parts, by, key).withColumn("__p", F.spark_partition_id()))
-    ranged = ranged.withColumn("__inside", F.row_number().over(Window.partitionBy("__p", by).orderBy(key)) - 1)
+    held = cut(df.repartitionByRange(parts, by, key).withColumn("__p", F.spark_partition_id()))
+    ranged = held.withColumn("__inside", F.row_number().over(Window.partitionBy("__p", by).orderBy(key)) - 1)
     # one row for each range and group: few, whatever a group holds
     sums = ranged.groupBy(F.col(by).alias("__g"), F.col("__p").alias("__q")).agg(F.count(F.lit(1)).alias("__c"))
     whole = Window.partitionBy("__g")
     sums = sums.select("__g", "__q", (F.sum("__c").over(whole.orderBy("__q").rowsBetween(Window.unboundedPreceding, 0)) - F.col("__c")).alias("__before"), F.sum("__c").over(whole).alias("__all"))
     out = ranged.join(sums, F.col(by).eqNullSafe(F.col("__g")) & (F.col("__p") == F.col("__q"))).drop("__g", "__p", "__q")
+    out._quern_table = held._quern_table  # to be released by who has used it
     return out, F.col("__before") + F.col("__inside"), F.col("__all")
 
 

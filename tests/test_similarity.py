@@ -108,3 +108,45 @@ def test_vectors(spark):
     e = spark.createDataFrame([("hello world",), ("hello worlds",), ("zzz qqq",), (None,)], "t string").select(V.embedder(64)("t").alias("e")).collect()
     a, b, c = (np.array(x["e"]) for x in e[:3])
     assert ((a - b) ** 2).sum() < ((a - c) ** 2).sum() and abs(np.linalg.norm(a) - 1) < 1e-5
+
+
+def clustered(spark, n=400, seed=5):
+    """Tight clusters far from each other, one of them with a third of all rows."""
+    rng = np.random.default_rng(seed)
+    centre = rng.normal(size=(12, 6)) * 10
+    which = np.where(rng.random(n) < 0.34, 0, rng.integers(0, 12, n))
+    v = centre[which] + rng.normal(size=(n, 6)) * 0.3
+    v[n // 2] = v[3]
+    rows = [(i, str(i % 2) if i % 7 else None, [float(x) for x in v[i]]) for i in range(n)]
+    return spark.createDataFrame(rows, "id bigint, g string, v array<double>"), v
+
+
+def test_rings_prune_and_lose_nothing(spark, monkeypatch):
+    df, v = clustered(spark)
+    monkeypatch.setattr(similarity, "STRIP", 2)
+    d = ((v[:, None] - v[None]) ** 2).sum(2)
+    group = [str(i % 2) if i % 7 else None for i in range(len(v))]
+    met = []
+    real = similarity._met
+    monkeypatch.setattr(similarity, "_met", lambda left, right, pairs, *rest: (met.append((left.strips.count(), right.strips.count(), pairs.count())), real(left, right, pairs, *rest))[1])
+
+    got = similarity.pairs_within(df, 0.5, "id", "v", block=4).collect()
+    want = {(i, j) for i in range(len(v)) for j in range(i + 1, len(v)) if d[i, j] <= 0.5}
+    assert len(got) == len(want) and {(r["a"], r["b"]) for r in got} == want and len(want) > 500
+    n, _, pairs = met.pop()
+    assert n >= 40 and pairs < 0.3 * n * (n + 1) / 2
+
+    got = similarity.nearest(df, df, 3, "id", "v", "id", "g", block=4).collect()
+    want = {(i, g, r, j) for i in range(len(v)) for g in ("0", "1", None) for r, j in enumerate(sorted((j for j in range(len(v)) if group[j] == g), key=lambda j: (d[i, j], j))[:3], 1)}
+    assert {(r["key"], r["group"], r["rank"], r["other"]) for r in got} == want
+    asked, known, pairs = met.pop()
+    assert pairs < 0.7 * asked * known  # strips of eight rows cross clusters
+
+
+def test_cells_follow_the_data(spark):
+    df = spark.range(3000).select(F.col("id"), F.array(F.rand(1), F.rand(2)).alias("v"))
+    rows = similarity._rows(df, None, "id", "v", None)
+    for block, strips in ((16, 12), (64, 9)):
+        held = similarity.index(rows, similarity.choose_pivots(rows), block)
+        assert held.strips.count() >= strips and held.blocks.agg(F.max("n")).first()[0] == block
+        held.release()
