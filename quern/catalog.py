@@ -15,7 +15,7 @@ from .functions import text as S
 from .functions import vector as V
 from .operators import aggregates, conversation, filters, parsers, routing, sampling, similarity
 from .plans import cull as culling
-from .plans import chat, run
+from .plans import categories, chat, run
 from .sources import responder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -539,13 +539,43 @@ def round_robin(spark, sf_dir):
     return sampling.rotated(table(spark, sf_dir, "documents"), "doc_id", table(spark, sf_dir, "nation"), "n_nationkey", 25, 3).select("doc_id", "n_name")
 
 
-@query()
+def _u(seed, key) -> str:
+    """SQL of ``sampling.draw``."""
+    return f"(('0x' || substr(md5('{seed}:' || {key}), 1, 13))::BIGINT / 4503599627370496)"
+
+
+@query(f"""
+WITH s AS (SELECT doc_id FROM documents ORDER BY {_u(5, 'doc_id')}, doc_id LIMIT 300)
+SELECT doc_id, CASE WHEN {_u(1, 'doc_id')} < 0.85 THEN 2 WHEN {_u(1, 'doc_id')} < 0.97 THEN 3 ELSE 4 END AS party, {_u(2, 'doc_id')} < 0.3 AS chosen FROM s
+""")
 def hash_sample(spark, sf_dir):
-    """A thousand documents by a seeded hash, with an opinion each: weighted, and by chance."""
-    rows = sampling.sample(table(spark, sf_dir, "documents").select("doc_id"), 1000, "doc_id", 5)
+    """300 documents by a seeded hash, with an opinion each: weighted, and by chance."""
+    rows = sampling.sample(table(spark, sf_dir, "documents").select("doc_id"), 300, "doc_id", 5)
     return rows.select("doc_id", sampling.weighted([2, 3, 4], [0.85, 0.12, 0.03], 1, "doc_id").alias("party"), sampling.bernoulli(0.3, 2, "doc_id").alias("chosen"))
 
 
+@query(f"""
+WITH r AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS i, count(*) OVER () AS n FROM documents),
+d AS (SELECT floor({_u(7, 'id')} * (SELECT count(*) FROM documents))::BIGINT AS i FROM (SELECT unnest(range((SELECT count(*) * 3 // 2 FROM documents))) AS id))
+SELECT doc_id, count(*) AS times FROM r JOIN d USING (i) GROUP BY 1
+""")
+def sample_replaced(spark, sf_dir):
+    """Half as many draws again as there are documents, so with replacement; how often each came."""
+    docs = table(spark, sf_dir, "documents").select("doc_id")
+    total = docs.count()
+    return sampling.sample(docs, total * 3 // 2, "doc_id", 7, total).groupBy("doc_id").agg(F.count(F.lit(1)).alias("times"))
+
+
+@query(f"""
+WITH i AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY {_u(3, 'doc_id')}, doc_id) AS i FROM documents),
+t AS (SELECT *, sum(-ln(1 - {_u(3, "source || ':' || i")})) OVER (PARTITION BY source ORDER BY i) AS clock FROM i)
+SELECT doc_id, source, (row_number() OVER (ORDER BY clock, source, i) - 1)::INTEGER AS turn FROM t QUALIFY turn < 200
+""")
+def bucket_draws(spark, sf_dir):
+    """200 documents, each the next of a source drawn among those not yet empty."""
+    return sampling.bucket_pop(table(spark, sf_dir, "documents").select("doc_id", "source"), "source", "doc_id", 200, 3)
+
+
 @query("WITH t AS (SELECT doc_id, lower(trim(split_part(text, chr(10), 1), E' \\t')) AS t FROM documents) SELECT min(doc_id) AS doc_id FROM t GROUP BY t")
 def distinct_normalised(spark, sf_dir):
     rows = table(spark, sf_dir, "documents").select("doc_id", S.first_part("text", "\n").alias("line"))
@@ -729,18 +759,76 @@ def run_judge(spark, sf_dir):
     return run.judged(rows, responder.ExpressionResponder(answer), "{threshold}|{response}|{instruction}{system_prompt}")
 
 
-@query("""
-WITH c AS (SELECT n_nationkey AS card, n_name FROM nation WHERE n_nationkey < 5),
-s AS (SELECT o_orderkey AS rid, 'About ' || o_orderpriority AS i FROM orders WHERE o_orderkey % 3 = 0)
-SELECT rid, 'stylized_response' AS category, i AS instruction, 'In role: ' || i AS response FROM s WHERE rid % 2 = 0
+@query(f"""
+WITH s AS (SELECT o_orderkey AS rid, 'About ' || o_orderpriority AS i, (row_number() OVER (ORDER BY {_u(0, 'o_orderkey')}, o_orderkey) - 1) % 25 AS card FROM orders)
+SELECT rid, 'stylized_response' AS category, 'You are to take on the role of: ' || n_name || chr(10) || 'of old' || chr(10) || 'Stay' AS system, i AS instruction, 'In role: ' || i AS response FROM s JOIN nation ON n_nationkey = card WHERE rid % 2 = 0
 """)
 def run_stylized(spark, sf_dir):
-    """Instructions answered in the role of a card; which card depends on a hash, so it is left out here."""
-    cards = table(spark, sf_dir, "nation").where("n_nationkey < 5").select(F.col("n_nationkey").alias("card_idx"), F.col("n_name").alias("name"), F.lit("of old").alias("description"), F.lit("Stay").alias("stay_in_character"))
-    rows = table(spark, sf_dir, "orders").where("o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("rid"), F.concat(F.lit("About "), "o_orderpriority").alias("instruction"))
+    """Instructions answered in the role of cards, which take turns in the order of a draw."""
+    cards = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("card_idx"), F.col("n_name").alias("name"), F.lit("of old").alias("description"), F.lit("Stay").alias("stay_in_character"))
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("rid"), F.concat(F.lit("About "), "o_orderpriority").alias("instruction"))
     answer = lambda p: F.when(F.col("rid") % 2 == 1, "SKIP").otherwise(F.concat(F.lit("In role: "), S.last_part(p, "\n"), F.lit(" REMINDER: x")))
-    made = run.stylised(rows, cards, 5, responder.ExpressionResponder(answer), "Rules", "rid")
-    return made.where(F.startswith("system", F.lit("You are to take on the role of: "))).drop("system")
+    return run.stylised(rows, cards, 25, responder.ExpressionResponder(answer), "Rules", "rid")
+
+
+@query(f"""
+WITH a AS (SELECT item_id * 1048576 AS rid, 'Room ' || item_id AS i, trim({_LINE}) AS r FROM benchmark WHERE item_id % 4 <> 0)
+SELECT rid, 'experience' AS category, i AS instruction, r AS response FROM a QUALIFY row_number() OVER (PARTITION BY length(i) ORDER BY rid) = 1
+""")
+def run_experience(spark, sf_dir):
+    """A setting and what is told of it in one answer; settings are compared in order."""
+    number = F.col("batch").cast("string")
+    answer = lambda p: F.when(F.col("batch") % 4 == 0, "STORY: none").otherwise(F.concat(F.lit("SETTING: Room "), number, F.lit("\nEXPERIENCE: "), _said(p)))
+    return run.run("experience", _prompts(spark, sf_dir), responder.ExpressionResponder(answer), embed=_lengths).select("rid", "category", "instruction", "response")
+
+
+@query(f"""
+WITH t AS (SELECT item_id, item_id * 1048576 AS rid, 'Code ' || trim({_LINE}) AS i FROM benchmark), m AS (SELECT *, {_u(0, 'rid')} < 0.5 AS plain FROM t)
+SELECT rid, 'coding' AS category, CASE WHEN plain THEN i || ' PLAINFORMAT' ELSE i END AS instruction, CASE WHEN plain THEN 'x = ' || item_id ELSE 'As is:' || chr(10) || '```' || chr(10) || 'raw' || chr(10) || '```' END AS response FROM m WHERE NOT (plain AND item_id % 3 = 0)
+""")
+def run_coding(spark, sf_dir):
+    """Half of the instructions ask for plain code and are marked; of their answers the code is stored."""
+    number = F.col("batch").cast("string")
+    code = F.when(F.col("batch") % 3 == 0, "```\n\n```").otherwise(F.concat(F.lit("Sure:\n```py\nx = "), number, F.lit("\n```\nDone")))
+    wished = lambda p: F.contains(p, F.lit(categories.CODE_ONLY)) & ~F.contains(p, F.lit(categories.PLAIN))
+    answer = lambda p: F.when(F.startswith(p, F.lit("Make: ")), F.concat(F.lit("TSK 1. Code "), F.trim(_said(p)))).when(wished(p), code).otherwise("As is:\n```\nraw\n```")
+    return run.run("coding", _prompts(spark, sf_dir), responder.ExpressionResponder(answer)).select("rid", "category", "instruction", "response")
+
+
+@query(f"""
+WITH b AS (SELECT item_id, {_u(0, 'item_id')} AS u0, {_u(1, 'item_id')} AS u1, {_u(2, 'item_id')} AS u2 FROM benchmark),
+k AS (SELECT item_id, CASE WHEN u0 < 0.2 THEN 'location' WHEN u0 < 0.4 THEN 'temporal' ELSE 'character' END AS kind, CASE WHEN u1 < 1 / 3 THEN 'corporeal awareness' WHEN u1 < 2 / 3 THEN 'location' ELSE 'physical senses' END AS sense, CASE WHEN u2 < 0.5 THEN 'Bob' ELSE 'Eve' END AS other FROM b),
+h AS (SELECT row_number() OVER (ORDER BY n_nationkey) - 1 AS i, count(*) OVER () AS n, n_name FROM nation WHERE n_nationkey % 3 <> 0),
+c AS (SELECT k.*, h.n_name FROM (SELECT *, row_number() OVER (ORDER BY item_id) - 1 AS nth FROM k WHERE kind = 'character') k JOIN h ON k.nth % h.n = h.i),
+r AS (SELECT item_id, 0 AS variant, NULL AS system, 'Where is ' || item_id || '?' AS instruction, 'No ' || kind AS response FROM k WHERE kind <> 'character'
+  UNION ALL SELECT item_id, 1, 'A chat. Here', 'Where is ' || item_id || '?', 'Yes' FROM k WHERE kind <> 'character'
+  UNION ALL SELECT item_id, 0, NULL, 'Who?', 'Me' FROM c
+  UNION ALL SELECT item_id, 1, NULL, 'A chat between ' || n_name || ' and ' || other || '.' || chr(10) || n_name || ':' || chr(10) || 'Of old' || chr(10) || other || ': Who?', 'I say ' || sense FROM c)
+SELECT item_id * 1048576 AS rid, variant, 'awareness' AS category, system, instruction, response FROM r
+""")
+def run_awareness(spark, sf_dir):
+    """Places, times and characters in turn, drawn for each batch; characters that are AIs take no part."""
+    about = F.when(F.col("n_nationkey") % 3 == 0, "Of old, an AI, it says").otherwise("Of old")
+    cards = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("card_idx"), F.col("n_name").alias("name"), about.alias("description"))
+
+    def answer(p):
+        part = lambda i: F.get(F.split(p, r"\|"), F.lit(i))
+        place = F.concat(F.lit("QUESTION: Where is "), F.col("batch").cast("string"), F.lit("?\nCONTEXT: Here\nANSWER: No "), part(1), F.lit("\nCONTEXTUALANSWER: Yes"))
+        own = F.concat(F.lit("QUESTION: Who?\nANSWER: Me\nCONTEXTUALANSWER: As "), part(1), F.lit(", I say "), part(2))
+        return F.when(F.startswith(p, F.lit("place|")), place).otherwise(own)
+
+    templates = {"location": "place|location", "temporal": "place|temporal", "character": "card|{name}|{question_type}"}
+    made = run.awareness(table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("batch")), cards, responder.ExpressionResponder(answer), templates, ["Bob", "Eve"])
+    return made.select("rid", "variant", "category", "system", "instruction", "response")
+
+
+@query(f"SELECT item_id * 1048576 AS rid, 'Ann ' || item_id AS name, trim({_LINE}) AS description, 'Stay ' || item_id AS stay_in_character FROM benchmark WHERE item_id % 5 <> 0")
+def run_characters(spark, sf_dir):
+    """Cards of characters; answers that name nobody give none."""
+    number = F.col("batch").cast("string")
+    named = F.when(F.col("batch") % 5 == 0, "").otherwise(F.concat(F.lit("NAME: Ann "), number, F.lit("\n")))
+    answer = lambda p: F.concat(F.lit("DESCRIPTION: "), named, _said(p), F.lit("\nGUIDE: Stay "), number)
+    return run.characters(_prompts(spark, sf_dir), responder.ExpressionResponder(answer))
 
 
 @query("""

@@ -45,7 +45,7 @@ def generate(spark: SparkSession, raw: dict, prompts, responder, output: str, em
                     raise
                 history = existing = None
             template = ((raw.get("instructors") or {}).get(name) or {}).get("response_template")
-            rows = run.run(name, asked, responder, history=history, embed=embed, template=template, target=own["count"], existing=existing, language=own["language"], flesch=own["flesch"] or "")
+            rows = run.run(name, asked, responder, history=history, embed=embed, template=template, target=own["count"], existing=existing, detailed=0.5 if name == "trivia" else 0.0, language=own["language"], flesch=own["flesch"] or "")
             # read before the folder it may come from is appended to
             jsonl.append_instructions(cut(rows.drop("batch", "rid", "pos")), output)
             done.append(name)
@@ -67,6 +67,7 @@ def main(args: list[str] | None = None) -> None:
         if verb == "route":
             s.add_argument("--routing", required=True)
             s.add_argument("--k", type=int, default=20)
+            s.add_argument("--most", type=int, help="rows of each expert, by a hash; all by default")
     for verb in ("generate-topics", "generate-instructions"):
         s = sub.add_parser(verb)
         s.add_argument("--prompts", required=True)
@@ -101,7 +102,7 @@ def main(args: list[str] | None = None) -> None:
         own = split.where("own").select("expert", routing.routing_text("system", "instruction").alias("instruction"))
         jsonl.write_expert_split(split.drop("own"), own, a.output)
     else:
-        table = jsonl.read_routing(spark, a.routing, 1000).withColumn("rid", F.xxhash64("expert", "instruction")).withColumn("embedding", embed("instruction"))
+        table = jsonl.read_routing(spark, a.routing, a.most).withColumn("rid", F.xxhash64("expert", "instruction")).withColumn("embedding", embed("instruction"))
         asked = jsonl.read_instructions(spark, a.input).withColumn("rid", F.xxhash64("instruction")).withColumn("embedding", embed("instruction"))
         routing.route(asked, table, a.k, "rid", "embedding", "rid", "expert").write.mode("overwrite").json(a.output)
 

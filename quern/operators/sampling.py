@@ -8,9 +8,11 @@ from pyspark.sql.window import Window
 
 
 def draw(seed: int, *keys) -> Column:
-    """A uniform number in [0, 1) for a row."""
-    cols = [F.col(k) if isinstance(k, str) else k for k in keys]
-    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *cols), 11) / float(1 << 53)
+    """A uniform number in [0, 1) for a row: the first 13 hexadecimal digits of an MD5 of the seed and the
+    keys, joined by colons, so that any SQL engine can draw the same."""
+    cols = [(F.col(k) if isinstance(k, str) else k).cast("string") for k in keys]
+    digits = F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), *cols)), 1, 13)
+    return F.conv(digits, 16, 10).cast("bigint") / float(1 << 52)
 
 
 def bernoulli(p, seed: int, *keys) -> Column:
@@ -28,18 +30,22 @@ def weighted(options: list, weights: list[float], seed: int, *keys) -> Column:
 
 def shuffled(df: DataFrame, key: str, seed: int) -> DataFrame:
     """Rows in the order of a hash (a total order: range-partitioned, not one task)."""
-    return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key)
+    return df.orderBy(draw(seed, key), key)
 
 
 def sample(df: DataFrame, n: int, key: str, seed: int, total: int | None = None) -> DataFrame:
-    """``n`` rows without replacement; where there are fewer than ``n``, all rows and more with
-    replacement up to ``n``. ``total``: the number of rows, counted if it isn't given."""
+    """``n`` rows without replacement; where there are fewer than ``n``, ``n`` draws with replacement.
+    ``total``: the number of rows, counted if it isn't given.
+
+    With replacement, the i-th draw is a row's number in the order of ``key``: rows are numbered in
+    ranges, which are then added up, and joined with the draws, so that no task holds them all.
+    """
     total = df.count() if total is None else total
     if n <= total or not total:
-        return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(n)
-    ranked = df.withColumn("__r", F.row_number().over(Window.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key)) - 1)
-    wanted = df.sparkSession.range(n).select(F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(total)).alias("__w"))
-    return ranked.join(wanted, F.col("__r") == F.col("__w")).drop("__r", "__w")
+        return df.orderBy(draw(seed, key), key).limit(n)
+    numbered, at, _ = numbered_in_ranges(df.withColumn("__one", F.lit(0)), "__one", key)
+    wanted = df.sparkSession.range(n).select(F.floor(draw(seed, "id") * total).alias("__w"))
+    return numbered.withColumn("__at", at).join(wanted, F.col("__at") == F.col("__w")).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def take_per_group(df: DataFrame, by: list[str], most: Column, key: str, seed: int | None = None) -> DataFrame:
@@ -48,7 +54,7 @@ def take_per_group(df: DataFrame, by: list[str], most: Column, key: str, seed: i
 
     A first cut inside hashed parts of a group keeps large groups from being ranked in one task.
     """
-    order = [key] if seed is None else [F.xxhash64(F.lit(seed), F.col(key)), key]
+    order = [key] if seed is None else [draw(seed, key), key]
     salt = F.pmod(F.hash(key), F.lit(32))
     df = df.withColumn("__most", most)
     first = df.withColumn("__n", F.row_number().over(Window.partitionBy(*by, salt).orderBy(*order))).where("__n <= __most")
@@ -76,7 +82,7 @@ def expert_split(df: DataFrame, experts: DataFrame, category: str, key: str, sha
     every = experts.select("expert").distinct().join(totals, "expert", "left").crossJoin(categories)
     room = every.select(F.col("expert").alias("__to"), F.floor(F.coalesce("__total", F.lit(0)) / (F.col("__cats") * dilution)).alias("__room"))
     picked = stratified(mapped, category, key, share, most, seed).withColumnRenamed("expert", "__from")
-    order = [key] if seed is None else [F.xxhash64(F.lit(seed), F.col(key)), key]
+    order = [key] if seed is None else [draw(seed, key), key]
     ranked = picked.withColumn("__n", F.row_number().over(Window.partitionBy(category).orderBy(*order)))
     # every category's sample (``most`` rows at most) goes to every other expert that has room for it
     to = names.select(F.col("__c"), F.col("expert").alias("__own")).distinct().crossJoin(room).where("__own <> __to").select("__c", "__own", "__to", "__room")
@@ -131,12 +137,21 @@ def rotated(slots: DataFrame, slot: str, items: DataFrame, item_index: str, n_it
 
 
 def bucket_pop(df: DataFrame, bucket: str, key: str, n: int, seed: int) -> DataFrame:
-    """``n`` rows without replacement, each from a bucket drawn anew among those not yet empty: the
-    i-th row of a bucket comes at the i-th turn at the earliest (a two-level hash order). No more
-    than ``n`` rows of a bucket are ranked together."""
+    """``n`` rows without replacement, each the next of a bucket drawn among those not yet empty, with
+    ``turn`` from 0; inside a bucket the order is that of a hash.
+
+    Each bucket has a clock: the time of its i-th row is the sum of i exponential waits. Of clocks that
+    still run each is equally likely to be next, whatever has happened, so the rows in the order of their
+    times are such a sequence of draws. No more than ``n`` rows of a bucket are ranked together.
+    """
     most = take_per_group(df, [bucket], F.lit(n), key, seed)
-    inside = F.row_number().over(Window.partitionBy(bucket).orderBy(F.xxhash64(F.lit(seed), F.col(key)), key))
-    return most.withColumn("__i", inside).orderBy("__i", F.xxhash64(F.lit(seed), F.col(bucket), F.col("__i")), key).limit(n).drop("__i")
+    inside = Window.partitionBy(bucket).orderBy(draw(seed, key), key)
+    clocked = most.withColumn("__i", F.row_number().over(inside))
+    wait = -F.log(1 - draw(seed, bucket, "__i"))
+    clocked = clocked.withColumn("__time", F.sum(wait).over(Window.partitionBy(bucket).orderBy("__i")))
+    first = clocked.orderBy("__time", bucket, "__i").limit(n)
+    # n rows, which the limit has brought together
+    return first.withColumn("turn", F.row_number().over(Window.orderBy("__time", bucket, "__i")) - 1).drop("__i", "__time")
 
 
 def running_total(df: DataFrame, amount: str, order: str, parts: int = 64) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as S
@@ -19,7 +19,7 @@ GRAMMARS: dict[str, Callable[[DataFrame, str], DataFrame]] = {
     "description": lambda df, t: parsers.inline_qa(df, t, "DESCRIPTION", "GUIDE"),
     "awareness": parsers.awareness,
     "questions": parsers.questions,
-    "experience": parsers.experience,
+    "experience": lambda df, t: parsers.experience(df, t).toDF(*[c for c in df.columns if c != t], "instruction", "response").where(~S.is_blank("instruction")),
     "sections": parsers.sections,
     "context": lambda df, t: df.where(filters.is_context_block(t)).withColumnRenamed(t, "instruction"),
     "whole": lambda df, t: df.where(~S.is_blank(t)).withColumnRenamed(t, "instruction"),
@@ -29,7 +29,12 @@ GRAMMARS: dict[str, Callable[[DataFrame, str], DataFrame]] = {
 @dataclass(frozen=True)
 class Category:
     """How rows of a category are made. ``batchwise``: rows are compared with history only, not with
-    each other; ``filtered``: refusals are filtered; ``check``: a condition on finished rows."""
+    each other; ``filtered``: refusals are filtered; ``check``: a condition on finished rows.
+
+    ``mark``: rows with a mark on some instructions, made after the comparison; ``ask``: the text asked
+    for a response, where it is not the instruction; ``keep``: what is stored of a response, null drops
+    the row.
+    """
 
     grammar: str
     batchwise: bool
@@ -40,6 +45,25 @@ class Category:
     check: Callable | None = None
     system: str | None = None
     after: tuple[str, ...] = ()
+    mark: Callable[[DataFrame], DataFrame] | None = None
+    ask: Callable[[], Column] | None = None
+    keep: Callable[[], Column] | None = None
+
+
+PLAIN = "PLAINFORMAT"  # fixed value: the mark of instructions that want code only
+CODE_ONLY = "Answer with the code alone, commented, without an introduction, notes on its use, or fences."
+
+
+def marked_plain(rows: DataFrame, share: float = 0.5, seed: int = 0) -> DataFrame:
+    """A share of the instructions, by a hash of ``rid``, ask for plain code and say so by a mark."""
+    chosen = sampling.bernoulli(share, seed, "rid")
+    return rows.withColumn("instruction", F.when(chosen, F.concat(S.strip("instruction"), F.lit(f" {PLAIN}"))).otherwise(F.col("instruction")))
+
+
+def _plain_asked() -> Column:
+    """A marked instruction asks in words instead of the mark."""
+    words = F.concat(S.strip(F.regexp_replace("instruction", f"{PLAIN}$", "")), F.lit("\n" + CODE_ONLY))
+    return F.when(F.endswith("instruction", F.lit(PLAIN)), words).otherwise(F.col("instruction"))
 
 
 def _trivia():
@@ -51,7 +75,7 @@ CATEGORIES: dict[str, Category] = {
     "general": Category("tasks_strict", True, 100, 10, None),
     "contextual": Category("context", True, 70, None, None),
     "counterfactual_contextual": Category("sections", True, 30, 10, None),
-    "coding": Category("tasks_strict", True, 100, 10, 0.02, filtered=False),
+    "coding": Category("tasks_strict", True, 100, 10, 0.02, filtered=False, mark=marked_plain, ask=_plain_asked, keep=lambda: parsers.plain_code("instruction", "response")),
     "trivia": Category("question", False, 100, 20, 0.035, check=_trivia, system="You are a world class trivia AI - provide accurate, succinct responses."),
     "experience": Category("experience", False, 100, 3, 0.1, filtered=False),
     "orca": Category("question", False, 100, 10, 0.02),
@@ -106,20 +130,24 @@ def finish(rows: DataFrame, name: str) -> DataFrame:
 
 
 def writing_styles(styles: list[str], batch: int) -> list[str]:
-    """Directives for a quarter of a batch, no more than there are styles."""
-    return [f" * TSK {i + 1} {s}" for i, s in enumerate(styles[: min(batch // 4, len(styles))])]
+    """Directives for a quarter of a batch, one at least where it has several rows, no more than there are styles."""
+    n = min(batch // 4 or int(batch > 1), len(styles))
+    return [f"- TSK {i + 1}: in the style of {s}" for i, s in enumerate(styles[:n])]
 
 
 def stylised_pairs(sources: DataFrame, cards: DataFrame, n_cards: int, source_key: str, seed: int = 0) -> DataFrame:
-    """The n-th sampled instruction with card n modulo the number of cards. cards: (card_idx, ...)."""
-    from pyspark.sql.window import Window
-
-    # ranks inside 64 hashed parts, then dealt: no task holds all sources
-    part = F.pmod(F.hash(source_key), F.lit(64))
-    n = (F.row_number().over(Window.partitionBy(part).orderBy(F.xxhash64(F.lit(seed), F.col(source_key)), source_key)) - 1) * 64 + part
-    return sources.withColumn("__n", n).join(cards.where(F.col("card_idx") < n_cards), F.pmod("__n", F.lit(n_cards)) == F.col("card_idx")).drop("__n")
+    """The n-th instruction in the order of a draw with card n modulo the number of cards. cards: (card_idx, ...)."""
+    drawn = sources.withColumn("__one", F.lit(0)).withColumn("__o", F.struct(sampling.draw(seed, source_key).alias("u"), F.col(source_key).alias("k")))
+    numbered, at, _ = sampling.numbered_in_ranges(drawn, "__one", "__o")
+    numbered = numbered.withColumn("__n", at).select(*[F.col(f"`{c}`") for c in sources.columns], "__n")
+    return numbered.join(cards.where(F.col("card_idx") < n_cards), F.pmod("__n", F.lit(n_cards)) == F.col("card_idx")).drop("__n")
 
 
 def question_kinds(seed: int, *keys):
     """Kinds of awareness prompts: location, temporal, character."""
     return sampling.weighted(["location", "temporal", "character"], [0.2, 0.2, 0.6], seed, *keys)
+
+
+def character_senses(seed: int, *keys):
+    """What a prompt about a character's awareness asks about."""
+    return sampling.weighted(["corporeal awareness", "location", "physical senses"], [1, 1, 1], seed, *keys)

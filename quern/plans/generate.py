@@ -39,8 +39,9 @@ def flags(rows: DataFrame, history: DataFrame, embed: Callable, threshold: float
     return too_similar(rows.withColumn("__v", embed(F.col("instruction"))), history, threshold, key, "__v", key)
 
 
-def respond(rows: DataFrame, responder, template: str | None = None, filtered: bool = True, **values) -> DataFrame:
-    """Rows with a usable ``response``; the prompt is the instruction, or a template around it."""
-    prompt = F.col("instruction") if template is None else S.fill(template, instruction=F.col("instruction"), **values)
+def respond(rows: DataFrame, responder, template: str | None = None, filtered: bool = True, ask=None, **values) -> DataFrame:
+    """Rows with a usable ``response``; the prompt is the instruction (or ``ask``), or a template around it."""
+    ask = F.col("instruction") if ask is None else ask
+    prompt = ask if template is None else S.fill(template, instruction=ask, **values)
     out = responder.respond(rows, prompt, filtered=filtered)
     return out.where(~S.is_blank("response")).withColumn("instruction", S.strip("instruction")).withColumn("response", S.strip("response"))

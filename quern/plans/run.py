@@ -17,12 +17,14 @@ from pyspark.sql.window import Window
 
 from ..functions import text as S
 from ..operators import conversation, filters, parsers, sampling
+from ..storage import cut
 from . import categories
 from .generate import accept, respond
 
 # Texts that stored rows hold.
 EDIT = "Rewrite the following text to improve/correct it.\n\nText: "
 ROLE = "You are to take on the role of: "
+DETAIL = "  Include a brief bit of detail/context in your response, but don't repeat/restate the input."
 GOAL = ("\n\nYour response should be approximately ", " words.")
 
 
@@ -32,11 +34,12 @@ def _numbered(rows: DataFrame, batch: str) -> DataFrame:
     return rows.withColumn("rid", F.shiftleft(F.col(batch).cast("bigint"), 20) + at)
 
 
-def run(name: str, prompts: DataFrame, responder, batch: str = "batch", history: DataFrame | None = None, embed: Callable[[Column], Column] | None = None, template: str | None = None, target: int | None = None, existing: DataFrame | None = None, **values) -> DataFrame:
+def run(name: str, prompts: DataFrame, responder, batch: str = "batch", history: DataFrame | None = None, embed: Callable[[Column], Column] | None = None, template: str | None = None, target: int | None = None, existing: DataFrame | None = None, detailed: float = 0.0, **values) -> DataFrame:
     """Rows of the categories made from one kind of prompt: (rid, category, instruction, response, ...).
 
     prompts: (batch, prompt).  history: (rid, embedding) of stored rows.  Without ``embed`` nothing is
     compared.  template: of the prompt for a response, where answers hold instructions only.
+    detailed: the share of finished rows that are answered once more, with some detail.
     """
     c = categories.CATEGORIES[name]
     answers = responder.respond(prompts, F.col("prompt"), out="text", filtered=c.filtered).where(~S.is_blank("text")).select(batch, "text")
@@ -45,9 +48,17 @@ def run(name: str, prompts: DataFrame, responder, batch: str = "batch", history:
         if history is None:
             history = rows.sparkSession.createDataFrame([], "rid bigint, embedding array<double>")
         rows = accept(rows, history.select("rid", F.col("embedding").alias("__v")), embed, c.threshold or 0.35, "rid", not c.batchwise)
+    if c.mark is not None:
+        rows = c.mark(rows)
     if "response" not in rows.columns:
-        rows = respond(rows, responder, template, c.filtered, **values)
+        rows = respond(rows, responder, template, c.filtered, c.ask() if c.ask else None, **values)
+    if c.keep is not None:
+        rows = rows.withColumn("response", c.keep())
     rows = categories.finish(rows.where(~S.is_blank("response")), name)
+    if detailed:
+        # they come after the rows of their batch
+        more = details(rows, responder, DETAIL, detailed).withColumn("rid", F.col("rid") + (1 << 19))
+        rows = rows.unionByName(more, allowMissingColumns=True)
     if target is not None:
         rows = sampling.quota(rows, "category", "rid", F.lit(target), existing)
     return rows
@@ -128,12 +139,49 @@ def counterfactual(prompts: DataFrame, responder, template: str, batch: str = "b
     return categories.finish(respond(rows, responder, template, **values), "counterfactual_contextual")
 
 
-def coding(wishes: str) -> tuple[Column, Column]:
-    """(prompt, response) of coding rows: a plain-format instruction asks with ``wishes`` in the mark's
-    place, and of its fenced answer the code is kept (null if there is none)."""
-    plain = F.contains("instruction", F.lit("PLAINFORMAT"))
-    prompt = F.when(plain, F.concat(S.strip(F.replace("instruction", F.lit("PLAINFORMAT"), F.lit(""))), F.lit("\n" + wishes))).otherwise(F.col("instruction"))
-    return prompt, parsers.plain_code("instruction", "response")
+def characters(prompts: DataFrame, responder, **options) -> DataFrame:
+    """(rid, name, description, stay_in_character): the cards of answers that name their character."""
+    rows = run("character", prompts, responder, **options)
+    name, described = parsers.named("instruction")
+    return rows.select("rid", name.alias("name"), described.alias("description"), F.col("response").alias("stay_in_character")).where("name <> '' and description <> ''")
+
+
+def awareness(batches: DataFrame, cards: DataFrame, responder, templates: dict[str, str], names: list[str], batch: str = "batch", history: DataFrame | None = None, embed: Callable[[Column], Column] | None = None, seed: int = 0, **values) -> DataFrame:
+    """Two rows for each question: the plain answer (variant 0) and the one that is aware of a place, a
+    time or a character (1).
+
+    batches: (batch); which of the three kinds a batch asks for is drawn, and for a character the sense
+    too. Characters take turns: the n-th batch about one gets the n-th card that is no AI's, modulo their
+    number. cards: (card_idx, name, description).  templates: location, temporal, character, with
+    the places name, character and question_type.  names: the other one in chats.
+    """
+    drawn = batches.select(batch).withColumn("kind", categories.question_kinds(seed, batch)).withColumn("question_type", categories.character_senses(seed + 1, batch))
+    human = cut(cards.where(~filters.is_ai_character("description")).select("card_idx", "name", "description"))
+    human, at, n = sampling.numbered_in_ranges(human.withColumn("__one", F.lit(0)), "__one", "card_idx")
+    human = cut(human.select(at.alias("__card"), n.alias("__cards"), "name", "description"))
+    about, nth, _ = sampling.numbered_in_ranges(drawn.where("kind = 'character'"), "kind", batch)
+    about = about.select(batch, "kind", "question_type", nth.alias("__n"))
+    count = human.select("__cards").limit(1)
+    about = about.join(F.broadcast(count)).withColumn("__card", F.pmod("__n", "__cards")).join(human.drop("__cards"), "__card").select(batch, "kind", "question_type", "name", "description")
+    none = F.lit(None).cast("string")
+    asked = about.unionByName(drawn.where("kind <> 'character'").select(batch, "kind", none.alias("question_type"), none.alias("name"), none.alias("description")))
+    prompt = F.lit(None).cast("string")
+    for kind, template in templates.items():
+        bound = {"name": F.coalesce("name", F.lit("")), "character": F.coalesce("description", F.lit("")), "question_type": F.coalesce("question_type", F.lit("")), **values}
+        prompt = F.when(F.col("kind") == kind, S.fill(template, **bound)).otherwise(prompt)
+    answers = cut(responder.respond(asked, prompt, out="text", filtered=False).where(~S.is_blank("text")))
+    other = sampling.weighted(names, [1] * len(names), seed + 2, batch)
+    plain = parsers.awareness(answers.where("kind <> 'character'").select(batch, "kind", "text"), "text")
+    personal = parsers.character_awareness(answers.where("kind = 'character'").select(batch, "kind", "name", "description", "text"), "text", "name", "description", other).drop("name")
+    rows = _numbered(plain.unionByName(personal.drop("__other"), allowMissingColumns=True), batch)
+    if embed is not None:
+        c = categories.CATEGORIES["awareness"]
+        if history is None:
+            history = rows.sparkSession.createDataFrame([], "rid bigint, embedding array<double>")
+        rows = cut(rows)
+        fresh = accept(rows.where("variant = 0"), history.select("rid", F.col("embedding").alias("__v")), embed, c.threshold or 0.35, "rid", True)
+        rows = rows.join(fresh.select("rid"), "rid", "left_semi")
+    return rows
 
 
 def judged(rows: DataFrame, responder, template: str, threshold: str = "100", about_system: str = "{system}") -> DataFrame:

@@ -107,8 +107,11 @@ def write_topics(df: DataFrame, path: str) -> None:
 
 
 def write_cards(df: DataFrame, path: str) -> None:
-    """A folder for each card, by the MD5 of its description; of equal names one is kept."""
-    cards = df.dropDuplicates(["name"]).withColumn("card", F.md5("description"))
+    """A folder for each card, by the MD5 of its description; of equal names the first one by ``rid``
+    is kept, where there is one, then by description."""
+    first = [c for c in ("rid",) if c in df.columns]
+    least = F.min_by(F.struct("description", "stay_in_character"), F.struct(*first, "description", "stay_in_character"))
+    cards = df.groupBy("name").agg(least.alias("x")).select("name", "x.*").withColumn("card", F.md5("description"))
     cards.write.mode("append").partitionBy("card").json(path)
 
 

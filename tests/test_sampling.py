@@ -28,7 +28,26 @@ def test_groups(spark):
     got = {r["c"]: r["count"] for r in sampling.quota(df, "c", "id", F.lit(5), have).groupBy("c").count().collect()}
     assert got == {"0": 2, "2": 5, "3": 5, "4": 5, "5": 5, "6": 5}
     assert sampling.stratified(df.where("id < 7"), "c", "id").count() == 7
-    assert sampling.bucket_pop(df, "c", "id", 21, 1).groupBy("c").count().where("count = 3").count() == 7
+
+
+def test_draws_with_replacement_are_even(spark):
+    times = [r["count"] for r in sampling.sample(rows(spark, 50), 5000, "id", 3).groupBy("id").count().collect()]
+    # chi-square of 49 degrees of freedom: 85 at a chance of 0.001
+    assert len(times) == 50 and sum((x - 100) ** 2 / 100 for x in times) < 85
+
+
+def test_buckets_that_are_open_are_equally_likely(spark):
+    # a bucket of 400 rows, one of 100 and one of 3
+    df = spark.range(503).select("id", F.when(F.col("id") < 400, "a").when(F.col("id") < 500, "b").otherwise("c").alias("c"))
+    first = {"a": 0, "b": 0, "c": 0}
+    for seed in range(30):
+        got = sampling.bucket_pop(df, "c", "id", 4, seed).orderBy("turn").collect()
+        assert [r["turn"] for r in got] == [0, 1, 2, 3] and len({r["id"] for r in got}) == 4
+        for r in got[:3]:
+            first[r["c"]] += 1
+    assert sum((x - 30) ** 2 / 30 for x in first.values()) < 13.8
+    whole = sampling.bucket_pop(df, "c", "id", 600, 1)
+    assert whole.count() == 503 and whole.select("id").distinct().count() == 503
 
 
 def test_batches_as_array_split(spark):

@@ -121,7 +121,8 @@ def test_categories(spark):
     assert [r["system"] is not None for r in categories.finish(df, "trivia").collect()] == [True]
     cards = spark.createDataFrame([(0, "x"), (1, "y")], "card_idx int, card string")
     assert categories.stylised_pairs(spark.range(40), cards, 2, "id").count() == 40
-    assert categories.writing_styles(["s1"], 12) == [" * TSK 1 s1"]
+    assert categories.writing_styles(["s1"], 12) == categories.writing_styles(["s1", "s2"], 3) == ["- TSK 1: in the style of s1"]
+    assert categories.writing_styles(["s1", "s2"], 1) == [] and len(categories.writing_styles(["a", "b", "c"], 12)) == 3
 
 
 def test_streams(spark, tmp_path):
