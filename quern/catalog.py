@@ -5,18 +5,21 @@ Where tables hold no marked-up text, a query renders it first, so that parsing i
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from . import storage
 from .functions import text as S
 from .functions import vector as V
 from .operators import aggregates, conversation, filters, parsers, routing, sampling, similarity
 from .plans import cull as culling
 from .plans import categories, chat, run
 from .sources import responder
+from .streaming import state
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -467,6 +470,21 @@ def stream_deltas(spark, sf_dir):
     return conversation.deltas(rows, "conv_id", "turn", "grown").select("conv_id", "turn", "delta")
 
 
+@query("""
+WITH g AS (SELECT conv_id, turn, text, string_agg(text, '') OVER (PARTITION BY conv_id ORDER BY turn) AS grown, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS back FROM conversations),
+d AS (SELECT conv_id, turn, 'delta' AS kind, substr(grown, coalesce(length(lag(grown) OVER (PARTITION BY conv_id ORDER BY turn)), 0) + 1) AS delta, NULL AS finish_reason, back FROM g)
+SELECT conv_id, turn, kind, delta, finish_reason FROM d UNION ALL SELECT conv_id, turn, 'finish', '', 'stop' FROM d WHERE back = 1 UNION ALL SELECT conv_id, turn, '[DONE]', '', NULL FROM d WHERE back = 1
+""")
+def stream_deltas_stateful(spark, sf_dir):
+    """The same deltas as a stream with state, with the rows that end a conversation."""
+    turns = Window.partitionBy("conv_id").orderBy("turn")
+    grown = F.array_join(F.collect_list("text").over(turns.rowsBetween(Window.unboundedPreceding, 0)), "")
+    last = F.when(F.lead("turn").over(turns).isNull(), "stop")
+    source = storage.cut(table(spark, sf_dir, "conversations").select("conv_id", "turn", grown.alias("text"), last.alias("finish")))
+    stream = spark.readStream.schema(source.schema).parquet(source._quern_table)
+    return state.drained(state.deltas(stream, "conv_id", "turn", "text", F.col("finish")), f"{storage.shared(spark)}/deltas-{uuid.uuid4().hex}")
+
+
 @query(rf"""
 WITH r AS (SELECT conv_id * 1000 + turn AS k, {WORDS.format('text')} AS n FROM conversations), s AS (SELECT k, n, sum(n) OVER (ORDER BY k) AS running FROM r)
 SELECT k, running::BIGINT AS running FROM s WHERE running <= (SELECT sum(n) // 2 FROM r)
