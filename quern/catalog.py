@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from . import storage
+from . import sql, storage
 from .functions import text as S
 from .functions import vector as V
 from .operators import aggregates, conversation, filters, parsers, routing, sampling, similarity
@@ -244,6 +244,22 @@ def parse_tasks(spark, sf_dir):
     return parsers.tasks(rows, "text")
 
 
+@query(r"""
+WITH s AS (SELECT item_id, unnest(range(1, len(p))) AS i, p FROM (SELECT item_id, string_split_regex('TSK 1. ' || text || chr(10) || 'TSK 2.  ' || 'Again: ' || text || chr(10) || 'TSK 3.   ', '(^|\n)TSK \d+\.\s*') AS p FROM benchmark))
+SELECT item_id, (i - 1)::INTEGER AS pos, p[i + 1] AS instruction FROM s WHERE length(trim(p[i + 1])) > 0
+UNION ALL SELECT conv_id, 1000 + turn::INTEGER, trim(text, E' \\n\\t') FROM conversations WHERE role = 'user' AND trim(text, E' \\n\\t') <> ''
+""")
+def sql_table_functions(spark, sf_dir):
+    """Parsers called from SQL: tasks of rendered texts, and what users say as questions."""
+    sql.register(spark)
+    t = F.col("text")
+    rows = table(spark, sf_dir, "benchmark").select("item_id", F.concat(F.lit("TSK 1. "), t, F.lit("\nTSK 2.  Again: "), t, F.lit("\nTSK 3.   ")).alias("text"))
+    asked = table(spark, sf_dir, "conversations").where("role = 'user'").select("conv_id", "turn", F.concat(F.lit("QUESTION: "), t, F.lit("\nANSWER: none")).alias("text"))
+    tasks = spark.sql("SELECT t.item_id, p.pos, p.instruction FROM {rows} AS t, LATERAL parse_tasks(t.text) AS p", rows=rows)
+    questions = spark.sql("SELECT t.conv_id, cast(1000 + t.turn AS int), p.instruction FROM {asked} AS t, LATERAL parse_qa(t.text) AS p", asked=asked)
+    return tasks.unionAll(questions)
+
+
 @query(r"""
 SELECT item_id, 0 AS pos, text AS instruction FROM benchmark UNION ALL SELECT item_id, 1, ' ' || text FROM benchmark
 """)

@@ -86,11 +86,13 @@ def main(args: list[str] | None = None) -> None:
         else:
             generate(spark, config.load(a.config), prompts, model, a.output, embed)
     elif a.verb == "cull":
-        rows = jsonl.read_for_culling(spark, a.input).withColumn("rid", F.xxhash64("line")).dropDuplicates(["rid"])
-        rows = rows.withColumn("embedding", embed(F.concat("instruction", F.lit("\n"), "response")))
+        embedded = lambda rows: rows.withColumn("embedding", embed(F.concat("instruction", F.lit("\n"), "response")))
         if a.state:
-            resumed(rows, a.threshold, a.output, a.state)
+            # what runs have processed is known by its text, whatever files it comes in
+            rows = jsonl.read_for_culling(spark, a.input).withColumn("rid", F.xxhash64("line")).dropDuplicates(["rid"])
+            resumed(embedded(rows), a.threshold, a.output, a.state)
         else:
+            rows = embedded(jsonl.read_for_culling(spark, a.input, numbered=True))
             jsonl.write_instructions(cull(rows, a.threshold).drop("rid", "embedding", "line"), a.output)
     elif a.verb == "export":
         rows = jsonl.read_instructions(spark, a.input).select(parsers.conversation("instruction", "response").alias("conversations"))

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions import text as S
+from .sampling import numbered_in_ranges
 
 
 def category_counts(df: DataFrame, category: str = "category", counted: Column | None = None) -> DataFrame:
@@ -16,8 +16,10 @@ def category_counts(df: DataFrame, category: str = "category", counted: Column |
 
 
 def running_counts(df: DataFrame, category: str, order: str) -> DataFrame:
-    w = Window.partitionBy(category).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn("running_count", F.count(F.lit(1)).over(w))
+    """``running_count``: how many rows of the category there are up to a row, in the order of a key.
+    Rows are counted in ranges, which are then added up, so no task holds a whole category."""
+    numbered, at, _ = numbered_in_ranges(df, category, order)
+    return numbered.withColumn("running_count", at + 1).select(*[F.col(f"`{c}`") for c in df.columns], "running_count")
 
 
 def weighted_centroid(df: DataFrame, by: str, vector: str, weight: Column, places: int = 6) -> DataFrame:

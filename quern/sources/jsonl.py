@@ -29,12 +29,23 @@ def read_instructions(spark: SparkSession, paths, keep_corrupt: bool = False) ->
     return rows if keep_corrupt else rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
-def read_for_culling(spark: SparkSession, paths) -> DataFrame:
-    """Rows of several files beside their raw ``line``; one category goes by its newer name."""
-    lines = spark.read.text(paths).withColumnRenamed("value", "line").where(F.trim("line") != "")
-    parsed = lines.withColumn("r", F.from_json("line", schemas.INSTRUCTION))
+def read_for_culling(spark: SparkSession, paths, numbered: bool = False) -> DataFrame:
+    """Rows of several files beside their raw ``line``; one category goes by its newer name.
+
+    ``numbered``: with ``rid``, the number of the line in the order of the files' names and of their lines.
+    """
+    from ..operators.sampling import numbered_in_ranges
+
+    # inside a block of a file ids rise from line to line
+    place = F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i"))
+    lines = spark.read.text(paths).select(F.col("value").alias("line"), place.alias("__o")).where(F.trim("line") != "")
+    parsed = lines.withColumn("r", F.from_json("line", schemas.INSTRUCTION)).where(F.col("r").isNotNull())
     category = F.coalesce("r.category", F.lit("general"))
-    return parsed.where(F.col("r").isNotNull()).select(*[F.col(f"r.{f.name}") for f in schemas.INSTRUCTION if f.name != "category"], F.when(category == "reasoning_or_math", "orca").otherwise(category).alias("category"), "line")
+    rows = parsed.select(*[F.col(f"r.{f.name}") for f in schemas.INSTRUCTION if f.name != "category"], F.when(category == "reasoning_or_math", "orca").otherwise(category).alias("category"), "line", "__o")
+    if not numbered:
+        return rows.drop("__o")
+    held, at, _ = numbered_in_ranges(rows.withColumn("__one", F.lit(0)), "__one", "__o")
+    return held.withColumn("rid", at).select(*[c for c in rows.columns if c != "__o"], "rid")
 
 
 def read_categorised(spark: SparkSession, paths) -> DataFrame:
@@ -64,10 +75,11 @@ def read_template(spark: SparkSession, path: str | None, fallback: str) -> str:
 
 def read_seeds(spark: SparkSession, path: str) -> DataFrame:
     """Whole files, numbered by name: (seed_idx, seed)."""
-    from pyspark.sql.window import Window
+    from ..operators.sampling import numbered_in_ranges
 
-    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("__f"), F.col("value").alias("seed"))
-    return files.withColumn("seed_idx", F.row_number().over(Window.orderBy("__f")) - 1).select("seed_idx", "seed")
+    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("__f"), F.col("value").alias("seed"), F.lit(0).alias("__one"))
+    numbered, at, _ = numbered_in_ranges(files, "__one", "__f")
+    return numbered.select(at.alias("seed_idx"), "seed")
 
 
 def read_cards(spark: SparkSession, path: str) -> DataFrame:

@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from quern import cli
 from quern.functions.vector import embedder
 from quern.plans import categories, generate
 from quern.sources import config, jsonl, responder
@@ -152,3 +153,17 @@ def test_near_stream(spark, tmp_path):
     assert run() == [1, 3]
     _write(src / "2.json", [{"id": 4, "v": [0.0, 1.0]}, {"id": 5, "v": [-1.0, 0.0]}])
     assert run() == [1, 3, 5]
+
+
+def test_lines_for_culling_are_numbered_in_order(spark, tmp_path):
+    for name, lines in (("b", range(40, 60)), ("a", range(40))):
+        (tmp_path / f"{name}.jsonl").write_text("".join(json.dumps({"instruction": f"i{i}", "response": "r", "category": "rp"}) + "\n" for i in lines))
+    with open(tmp_path / "c.jsonl", "w") as f:
+        f.write('\n{"instruction": "i0", "response": "r", "category": "rp"}\nbroken\n' * 2)
+    rows = jsonl.read_for_culling(spark, str(tmp_path / "*.jsonl"), numbered=True).orderBy("rid").collect()
+    assert [r["instruction"] for r in rows if r["instruction"]][:60] == [f"i{i}" for i in range(60)]
+    assert len({r["rid"] for r in rows}) == len(rows) and sum(r["instruction"] == "i0" for r in rows) == 3
+    out = str(tmp_path / "out")
+    cli.main(["cull", "--input", str(tmp_path / "*.jsonl"), "--output", out])
+    # categories that pass through keep repeated lines
+    assert spark.read.json(out).where("instruction = 'i0'").count() == 3
