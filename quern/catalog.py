@@ -579,12 +579,12 @@ def _u(seed, key) -> str:
 
 
 @query(f"""
-WITH s AS (SELECT doc_id FROM documents ORDER BY {_u(5, 'doc_id')}, doc_id LIMIT 300)
+WITH s AS (SELECT doc_id FROM documents ORDER BY {_u(5, 'doc_id')}, doc_id LIMIT 150)
 SELECT doc_id, CASE WHEN {_u(1, 'doc_id')} < 0.85 THEN 2 WHEN {_u(1, 'doc_id')} < 0.97 THEN 3 ELSE 4 END AS party, {_u(2, 'doc_id')} < 0.3 AS chosen FROM s
 """)
 def hash_sample(spark, sf_dir):
-    """300 documents by a seeded hash, with an opinion each: weighted, and by chance."""
-    rows = sampling.sample(table(spark, sf_dir, "documents").select("doc_id"), 300, "doc_id", 5)
+    """150 documents by a seeded hash, with an opinion each: weighted, and by chance."""
+    rows = sampling.sample(table(spark, sf_dir, "documents").select("doc_id"), 150, "doc_id", 5)
     return rows.select("doc_id", sampling.weighted([2, 3, 4], [0.85, 0.12, 0.03], 1, "doc_id").alias("party"), sampling.bernoulli(0.3, 2, "doc_id").alias("chosen"))
 
 
