@@ -10,7 +10,7 @@ in rounds, the lines of those found taken out of the next.  Templates that occur
 
 Templates are found from counts alone, in no order of arrival: equal lines are added up first, and
 only leaves with several different lines are looked at token by token, one line for each different
-one.  A leaf of up to ``LEAF_LINES`` different lines is worked on as a whole by one task; larger ones
+one.  A leaf of up to ``LEAF_LINES`` different lines and ``LEAF_TOKENS`` tokens is worked on as a whole by one task; larger ones
 by the same steps as joins and aggregations, so that none is in one task.
 """
 
@@ -31,8 +31,9 @@ from .workspace import fresh, release, small_batches, stage
 
 FIELD = "<*>"
 _DIGIT = re.compile(r"\d")
-#: Different lines of a leaf that one task may hold.
+#: Different lines of a leaf that one task may hold, and tokens in all of them (about 240 bytes each).
 LEAF_LINES = 10_000
+LEAF_TOKENS = 1_000_000
 
 
 def masked(line: str) -> list[str]:
@@ -278,12 +279,14 @@ def recurring(df: DataFrame, key: str = "doc_id", text: str = "text", min_docs:
     shown = open_.join(different.select("leaf", "line", "docs"), ["leaf", "line"]).groupBy("leaf", "line")
     shown = stage(shown.agg(F.max("docs").alias("docs"), F.max("least").alias("least"), F.first("tokens").alias("tokens"), F.collect_set(holder).alias("holders"), F.max("kinds").alias("kinds")), "lines-shown")
 
-    small = shown.where(F.col("kinds") <= LEAF_LINES).select("leaf", "line", "docs", "least", "tokens", "holders")
+    # the lines of a leaf have equally many tokens
+    fits = (F.col("kinds") <= LEAF_LINES) & (F.col("kinds") * F.coalesce(F.size("tokens"), F.lit(0)) <= LEAF_TOKENS)
+    small = shown.where(fits).select("leaf", "line", "docs", "least", "tokens", "holders")
     often = different.where("docs >= least").select("leaf", "line")
     often = often.unionAll(small.repartition("leaf").sortWithinPartitions("leaf", "line").mapInArrow(_by_leaf(depth, similarity), "leaf bigint, line bigint"))
-    large = shown.where(F.col("kinds") > LEAF_LINES)
+    large = shown.where(~fits)
     if not large.isEmpty():
-        often = often.unionAll(_large_leaves(large.select("leaf", "line", "docs", "least", "tokens"), open_.where(F.col("kinds") > LEAF_LINES), depth, similarity))
+        often = often.unionAll(_large_leaves(large.select("leaf", "line", "docs", "least", "tokens"), open_.where(~fits), depth, similarity))
     often = stage(often.distinct(), "lines-often")
     release(different, open_, shown)
     dropped = lines.join(often, ["leaf", "line"]).select("key", "digest", F.explode("numbers").alias("number"))

@@ -120,10 +120,12 @@ def test_same_as_a_plain_tree_in_one_task_or_by_joins(spark, monkeypatch):
     want = [sum(tuple("<*>" if any(c.isdigit() for c in w) else w for w in x.split()) in gone for x in t.split("\n")) for t in texts]
     assert 0 < sum(want) < sum(len(t.split("\n")) for t in texts)
     local = _run(docs(spark, _rows(texts)), min_docs=5)
-    monkeypatch.setattr(L, "LEAF_LINES", 2)
-    joined = _run(docs(spark, _rows(texts)), min_docs=5)
     assert [local[i][1] for i in range(len(texts))] == want
-    assert joined == local
+    # leaves of more lines, or of more tokens, than one task may hold
+    for bound, most in (("LEAF_LINES", 2), ("LEAF_TOKENS", 40)):
+        with monkeypatch.context() as m:
+            m.setattr(L, bound, most)
+            assert _run(docs(spark, _rows(texts)), min_docs=5) == local
 
 
 def test_copies_inside_a_document_count_once_and_all_go(spark):
