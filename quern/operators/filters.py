@@ -27,6 +27,11 @@ BANNED = (
     "flesch",
 )
 APOLOGIES = ("I'm sorry,", "Apologies,", "I can't", "I won't")
+# What trivia questions say about their answer, AI characters, and texts with their tasks.
+EDGES = r"""(start|end)(?:s|ing) with ['"]([^'"]+)['"]"""
+CONTAINS = r"""(?:with|contain(?:s|ing)|hav(?:e|ing)) ['"]([^'"]+)['"]"""
+AI_CHARACTER = r"(?i) (AI|artificial intelligence)[,\.\s]"
+CONTEXT_BLOCKS = r"(?sU)\A\s*(?:BEGININPUT\s+BEGINCONTEXT.*?ENDCONTEXT.*?ENDINPUT\s*)+BEGININSTRUCTION.*ENDINSTRUCTION\s*\z"
 # Categories that are neither compared nor judged when culling.
 PASS_THROUGH = ("stylized_response", "rp", "detailed_writing", "contextual", "counterfactual_contextual", "plan", "song", "wordgame")
 
@@ -55,9 +60,6 @@ def usable(text, patterns=BANNED, from_third: bool = False) -> Column:
     return F.coalesce(~S.is_blank(text) & ~is_banned(text, patterns, from_third) & ~is_apology(text), F.lit(False))
 
 
-CONTEXT_BLOCKS = r"(?sU)\A\s*(?:BEGININPUT\s+BEGINCONTEXT.*?ENDCONTEXT.*?ENDINPUT\s*)+BEGININSTRUCTION.*ENDINSTRUCTION\s*\z"
-
-
 def is_context_block(text) -> Column:
     return S._c(text).rlike(CONTEXT_BLOCKS)
 
@@ -70,19 +72,18 @@ def answer_in_question(instruction, response) -> Column:
 def trivia_edges_hold(instruction, response) -> Column:
     """``starts with 'x'`` / ``ends with 'x'`` is true of the response, case aside."""
     i, r = S._c(instruction), F.lower(S._c(response))
-    pattern = r"""(start|end)(?:s|ing) with ['"]([^'"]+)['"]"""
-    side, value = F.regexp_extract(i, pattern, 1), F.lower(F.regexp_extract(i, pattern, 2))
+    side, value = F.regexp_extract(i, EDGES, 1), F.lower(F.regexp_extract(i, EDGES, 2))
     return F.when(side == "start", F.startswith(r, value)).when(side == "end", F.endswith(r, value)).otherwise(True)
 
 
 def trivia_contains_holds(instruction, response) -> Column:
     i = S._c(instruction)
-    value = F.regexp_extract(i, r"""(?:with|contain(?:s|ing)|hav(?:e|ing)) ['"]([^'"]+)['"]""", 1)
+    value = F.regexp_extract(i, CONTAINS, 1)
     return (value == "") | F.contains(S._c(response), value)
 
 
 def is_ai_character(description) -> Column:
-    return S._c(description).rlike(r"(?i) (AI|artificial intelligence)[,\.\s]")
+    return S._c(description).rlike(AI_CHARACTER)
 
 
 def stylised(response) -> Column:
