@@ -69,7 +69,7 @@ def test_columns_and_rows(spark, tables, name):
 def test_sql(spark, tables, name):
     sf = "/root/testdata/sf0.001"
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     result = con.execute(oracles.ORACLES[name])
     names = sorted(d[0] for d in result.description)
