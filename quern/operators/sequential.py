@@ -10,7 +10,9 @@ edges only.
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,17 +53,28 @@ def range_of(key, bounds: list[int]) -> Column:
     return F.when(k.isNotNull(), F.aggregate(steps, both(low, high), halve, lambda acc: acc["low"]))
 
 
-def _in_order(nodes: list[int], waiting: set[int], earlier: dict[int, list[int]]) -> list[tuple[int, bool]]:
-    """(key, kept) of the nodes of a range that can be decided. waiting: those that have an open
-    neighbour in an earlier range; earlier: a node's earlier neighbours in its own range."""
-    state: dict[int, bool] = {}
-    for key in sorted(nodes):
-        before = [state.get(x) for x in earlier.get(key, ())]
-        if any(before):
-            state[key] = False
-        elif key not in waiting and None not in before:
-            state[key] = True
-    return list(state.items())
+def _in_order(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """(keys decided, kept or not) of the nodes of a range.  t: (a, b, foreign): rows without ``a`` are
+    nodes b, those that are foreign say that b has an open neighbour in an earlier range; the others are
+    edges inside the range.  Edges and nodes stay in arrays: no Python object for each."""
+    lone, foreign, b = t.column("a").is_null().to_numpy(), t.column("foreign").to_numpy(), t.column("b").to_numpy()
+    keys = np.unique(b[lone & ~foreign])
+    # of a node: 0 not decided, 1 kept, 2 gone
+    state, waiting = bytearray(len(keys)), bytearray(np.isin(keys, b[foreign]).tobytes())
+    edges = t.filter(pc.is_valid(t.column("a")))
+    earlier, node = np.searchsorted(keys, edges.column("a").to_numpy()), np.searchsorted(keys, edges.column("b").to_numpy())
+    order = np.argsort(node)
+    earlier, node = earlier[order], node[order]
+    numbers = np.arange(len(keys))
+    for i, (start, end) in enumerate(zip(np.searchsorted(node, numbers), np.searchsorted(node, numbers, "right"), strict=True)):
+        before = {state[x] for x in earlier[start:end].tolist()}
+        if 1 in before:
+            state[i] = 2
+        elif not waiting[i] and 0 not in before:
+            state[i] = 1
+    decided = np.frombuffer(state, np.uint8)
+    found = np.flatnonzero(decided)
+    return keys[found], decided[found] == 1
 
 
 def first_independent(nodes: DataFrame, edges: DataFrame, size: int = RANGE) -> DataFrame:
@@ -74,18 +87,8 @@ def first_independent(nodes: DataFrame, edges: DataFrame, size: int = RANGE) ->
     done = open_.limit(0).withColumn("kept", F.lit(True))
 
     def settle(t: pa.Table) -> pa.Table:
-        """Rows without ``a`` are nodes, the others edges."""
-        earlier: dict[int, list[int]] = {}
-        waiting, found = set(), []
-        for a, b, foreign in zip(t.column("a").to_pylist(), t.column("b").to_pylist(), t.column("foreign").to_pylist(), strict=True):
-            if foreign:
-                waiting.add(b)
-            elif a is None:
-                found.append(b)
-            else:
-                earlier.setdefault(b, []).append(a)
-        decided = _in_order(found, waiting, earlier)
-        return pa.table([pa.array([x[0] for x in decided], pa.int64()), pa.array([x[1] for x in decided], pa.bool_())], names=["key", "kept"])
+        key, kept = _in_order(t)
+        return pa.table([pa.array(key, pa.int64()), pa.array(kept, pa.bool_())], names=["key", "kept"])
 
     while not open_.isEmpty():
         placed = left.select(range_of("b", bounds).alias("own"), range_of("a", bounds).alias("other"), "a", "b")

@@ -6,7 +6,9 @@ after it was kept or purged.
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,31 +18,46 @@ from ..operators.similarity import pairs_within
 from ..storage import cut, release
 
 
-def _verdict(batch: list[tuple], leader: int) -> list[tuple[int, bool]]:
-    """(key, kept) of the members that a batch settles. Members: (good, size, key)."""
-    good = [m for m in batch if m[0]]
-    best = max(good)[2] if good else None
-    if len(good) == 1:
-        return [(best, True)] + ([(leader, False)] if best != leader else [])
-    return [(m[2], m[2] == best) for m in batch]
-
-
-def _in_order(own: int, leaders: dict, after: dict, members: dict) -> list[tuple[int, bool]]:
-    """Outcomes of a range whose leaders are gone through in order. members: key to (good, size, range
-    of the first open earlier neighbour, first neighbour that is judged elsewhere).  A batch with a member
+def _in_order(own: int, t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """(keys settled, kept or not) of a range whose leaders are gone through in order.  t: (a, b, good, size,
+    claim, hub), with a row a = b for each leader; the last four tell of b, ``claim`` the range of its first
+    open earlier neighbour, ``hub`` its first neighbour that is judged elsewhere.  A batch with a member
     that an open row of an earlier range, an earlier row judged elsewhere, or an unsettled row of this
-    range may claim is left for another round, and so are its members."""
-    out: dict[int, bool] = {}
-    unsure = {k for k, m in members.items() if m[2] is not None and m[2] < own}
-    for key in sorted(leaders):
-        if key in out:
+    range may claim is left for another round, and so are its members.
+
+    Edges and members stay in arrays: no Python object for each."""
+    none = np.iinfo(np.int64).max
+    column = lambda name, null: pc.fill_null(pc.cast(t.column(name), pa.int64()), null).to_numpy()
+    a, b = column("a", none), column("b", none)
+    keys, first, member = np.unique(b, return_index=True, return_inverse=True)
+    good, size, hub = column("good", 0)[first].astype(bool).tobytes(), column("size", -1)[first], column("hub", none)[first]
+    unsure = bytearray((column("claim", none)[first] < own).tobytes())
+    leaders = member[a == b]
+    leaders.sort()
+    edge = a != b
+    a, near = a[edge], member[edge]
+    order = np.argsort(a)
+    a, near = a[order], near[order]
+    starts, ends = np.searchsorted(a, keys[leaders]), np.searchsorted(a, keys[leaders], "right")
+    hubs = bool((hub < none).any())
+    done, kept = bytearray(len(keys)), bytearray(len(keys))
+    for leader, start, end in zip(leaders, starts, ends, strict=True):
+        leader = int(leader)
+        if done[leader]:
+            continue
+        batch = [leader, *(m for m in near[start:end].tolist() if not done[m])]
+        if any(unsure[m] for m in batch) or hubs and any(hub[m] < keys[leader] for m in batch):
+            for m in batch:
+                unsure[m] = 1
             continue
-        batch = [key, *(b for b in after.get(key, ()) if b not in out)]
-        if unsure.intersection(batch) or any(members[k][3] is not None and members[k][3] < key for k in batch):
-            unsure.update(batch)
-        else:
-            out.update(_verdict([(members[k][0], members[k][1], k) for k in batch], key))
-    return list(out.items())
+        fine = [m for m in batch if good[m]]
+        # the longest, the last of equal ones: members are numbered in the order of their keys
+        best = max(fine, key=lambda m: (size[m], m)) if fine else None
+        # a single good member leaves the bad ones open, but for the leader
+        for m in (leader, best) if len(fine) == 1 else batch:
+            done[m], kept[m] = 1, m == best
+    found = np.flatnonzero(np.frombuffer(done, np.uint8))
+    return keys[found], np.frombuffer(kept, np.uint8)[found].astype(bool)
 
 
 def resolve(nodes: DataFrame, edges: DataFrame, size: int = RANGE) -> DataFrame:
@@ -64,15 +81,8 @@ def resolve(nodes: DataFrame, edges: DataFrame, size: int = RANGE) -> DataFrame:
     done = cut(alone)
 
     def settle(t: pa.Table) -> pa.Table:
-        own, leaders, after, members = t.column("own")[0].as_py(), set(), {}, {}
-        for r in t.select(["a", "b", "good", "size", "claim", "hub"]).to_pylist():
-            members[r["b"]] = (r["good"], r["size"], r["claim"], r["hub"])
-            if r["a"] == r["b"]:
-                leaders.add(r["a"])
-            else:
-                after.setdefault(r["a"], []).append(r["b"])
-        decided = _in_order(own, leaders, after, members)
-        return pa.table([pa.array([x[0] for x in decided], pa.int64()), pa.array([x[1] for x in decided], pa.bool_())], names=["key", "kept"])
+        key, kept = _in_order(t.column("own")[0].as_py(), t)
+        return pa.table([pa.array(key, pa.int64()), pa.array(kept, pa.bool_())], names=["key", "kept"])
 
     while not open_.isEmpty():
         # there are at most (edges / size) hubs

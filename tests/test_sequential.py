@@ -1,7 +1,10 @@
 """Outcomes of a sequential pass, against the loop itself."""
 
 import random
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -79,3 +82,30 @@ def test_a_long_chain_takes_few_jobs(spark):
         assert sorted(x["key"] for x in rows if x["outcome"] == "kept") == list(range(1, n, 2))
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def peak(run):
+    """Bytes that Python and numpy hold at most, and the result."""
+    tracemalloc.start()
+    try:
+        out = run()
+        return tracemalloc.get_traced_memory()[1], out
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_range_of_edges_takes_few_bytes_each():
+    n, rng = 200_000, np.random.default_rng(1)
+    a = rng.integers(0, 5000, n)
+    b = a + rng.integers(1, 50_000, n)
+    leaders = np.unique(a)
+    a, b = np.concatenate([a, leaders]), np.concatenate([b, leaders])
+    none = pa.nulls(len(a), pa.int64())
+    t = pa.table({"a": a, "b": b, "good": pa.array(b % 2 == 0), "size": b % 7, "claim": none.cast(pa.int32()), "hub": none})
+    most, (keys, kept) = peak(lambda: C._in_order(0, t))
+    assert len(keys) and kept.any() and most < 150 * len(a)
+    nodes = np.unique(np.concatenate([a, b]))
+    edge = a != b
+    t = pa.table({"a": pa.concat_arrays([pa.nulls(len(nodes), pa.int64()), pa.array(a[edge])]), "b": np.concatenate([nodes, b[edge]]), "foreign": np.zeros(len(nodes) + edge.sum(), bool)})
+    most, (keys, kept) = peak(lambda: sequential._in_order(t))
+    assert keys.tolist() == nodes.tolist() and kept.any() and most < 150 * len(t)
