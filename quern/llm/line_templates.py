@@ -19,6 +19,7 @@ from __future__ import annotations
 import functools
 import math
 import re
+from array import array
 
 import numpy as np
 import pandas as pd
@@ -51,44 +52,50 @@ def _addresses(depth: int, min_tokens: int, min_docs: int, long_tokens: int, lon
     than ``min_tokens`` tokens are not masked and have a leaf of their own. Tokens are 32-bit hashes."""
     import xxhash
 
-    hash64 = xxhash.xxh3_64_intdigest
+    hash64, hash32 = xxhash.xxh3_64_intdigest, xxhash.xxh32_intdigest
 
     def run(batches, most: int = 50_000):
         names = ["key", "digest", "leaf", "line", "least", "numbers", "tokens"]
-        types = [None, pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int32())]
-        known: dict[str, int] = {}
+        types = [None, pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int32())]
+        # tokens are hashed anew wherever they stand: that is cheaper than to look them up
+        rows, flat, ends = [], array("I"), [0]
+
+        def made():
+            signed = (np.array(flat, np.uint32) ^ np.uint32(1 << 31)).view(np.int32)
+            tokens = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(signed))
+            return pa.RecordBatch.from_arrays([*(pa.array([r[j] for r in rows], t) for j, t in enumerate(types)), tokens], names=names)
+
         for batch in batches:
             types[0] = batch.column(0).type
-            rows: list[tuple] = []
             for i, text in enumerate(batch.column(2)):
                 if not text.is_valid:
                     continue
-                lines: dict[tuple[int, int, int], tuple[list[int], list[int]]] = {}
-                if len(known) > 200_000:
-                    known.clear()
+                lines: dict[tuple[int, int, int], list[int]] = {}
                 for number, line in enumerate(text.as_py().split("\n")):
                     tokens = masked(line)
                     if not tokens:
                         continue
                     short = len(tokens) < min_tokens
                     leading = ["short", *line.split()] if short else [str(len(tokens)), *tokens[:depth]]
-                    leaf = _signed(hash64(" ".join(leading).encode("utf-8", "surrogatepass")))
-                    whole = leaf if short else _signed(hash64(" ".join(tokens).encode("utf-8", "surrogatepass")))
+                    leaf = _signed(hash64(" ".join(leading)))
+                    whole = leaf if short else _signed(hash64(" ".join(tokens)))
                     least = min(min_docs, long_docs) if len(tokens) >= long_tokens else min_docs
                     address = (leaf, whole, least)
                     if address in lines:
-                        lines[address][0].append(number)
+                        lines[address].append(number)
                         continue
-                    for t in () if short else tokens:
-                        if t not in known:
-                            known[t] = _token(t)
-                    lines[address] = [number], [] if short else [known[t] for t in tokens]
+                    lines[address] = [number]
+                    if not short:
+                        flat.extend(map(hash32, tokens))
+                    ends.append(len(flat))
                 key, digest = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
-                rows += [(key, digest, *address, *held) for address, held in lines.items()]
+                rows += [(key, digest, *address, numbers) for address, numbers in lines.items()]
                 if len(rows) > most:
-                    yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate(types)], names=names)
-                    rows = []
-            yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate(types)], names=names)
+                    yield made()
+                    rows, flat, ends = [], array("I"), [0]
+            if rows:
+                yield made()
+                rows, flat, ends = [], array("I"), [0]
 
     return run
 
@@ -131,18 +138,17 @@ def leaf_members(tokens: np.ndarray, docs: list[int], holders: list, least: int,
 
     def agreeing(lines: list[int]) -> list[int]:
         """Lines of the rest that agree with the template of ``lines``."""
-        whole = sum(docs[i] for i in lines)
-        template, fixed = np.zeros(width, tail.dtype), np.zeros(width, bool)
-        for at in range(width):
-            count: dict[int, int] = {}
-            for i, t in zip(lines, tail[lines, at].tolist(), strict=True):
-                count[t] = count.get(t, 0) + docs[i]
-            most = max((n, t) for t, n in count.items())
-            if most[0] * 2 > whole:
-                template[at], fixed[at] = most[1], True
-        same = (tail[rest] == template) & fixed
+        own, of = tail[lines], weight[lines]
+        half = of.sum() / 2
+        # the only token of a position that can have more than half of the documents: the one at half of them
+        sort = np.argsort(own, axis=0)
+        middle = (np.cumsum(of[sort], axis=0) > half).argmax(axis=0)
+        template = np.take_along_axis(own, np.take_along_axis(sort, middle[None], 0), 0)[0]
+        fixed = of @ (own == template) > half
+        open_ = tail[rest]
+        same = (open_ == template) & fixed
         # leading tokens are common to the leaf and tell nothing; nor do fields alone
-        ok = (same.sum(axis=1) >= need) & (same & (tail[rest] != field)).any(axis=1)
+        ok = (same.sum(axis=1) >= need) & (same & (open_ != field)).any(axis=1)
         return [rest[i] for i in np.flatnonzero(ok)]
 
     rest = list(range(len(tokens)))

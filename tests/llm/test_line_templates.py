@@ -1,6 +1,10 @@
 import collections
 import math
 import random
+import time
+
+import pyarrow as pa
+import xxhash
 
 from quern.llm import line_templates as L
 
@@ -142,3 +146,25 @@ def test_edges(spark):
     # repeated rows are documents: their line recurs
     assert [r["text"] for r in out if r["doc_id"] == 1] == ["", ""]
     assert L.drop_recurring(empty(spark)).count() == 0
+
+
+def test_addresses_take_little_more_than_splitting_and_hashing():
+    rng = random.Random(5)
+    texts = ["\n".join(" ".join(f"w{rng.getrandbits(40):x}".translate(LETTERS) for _ in range(50)) for _ in range(20)) for _ in range(200)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(200)), pa.array(range(200)), pa.array(texts)], names=["key", "digest", "text"])
+    plain = lambda: [[xxhash.xxh32_intdigest(t) for t in line.split()] for text in texts for line in text.split("\n")]
+    made = lambda: pa.Table.from_batches(L._addresses(2, 4, 5, 50, 2)(iter([batch])))
+    assert made()["tokens"].to_pylist() == [[h - (1 << 31) for h in line] for line in plain()]
+    assert cpu(made) < 4 * cpu(plain)
+
+
+LETTERS = str.maketrans("0123456789", "ghijklmnop")
+
+
+def cpu(run):
+    took = []
+    for _ in range(3):
+        start = time.process_time()
+        run()
+        took.append(time.process_time() - start)
+    return min(took)
