@@ -169,8 +169,8 @@ def small_batches(spark, rows: int = 64) -> None:
         spark.conf.set(name, "2000")
     size = "spark.sql.execution.arrow.maxBytesPerBatch"
     now = str(spark.conf.get(size)).lower().rstrip("b")
-    if not now.isdigit() or not 0 < int(now) <= 64_000_000:
-        spark.conf.set(size, "64000000")
+    if not now.isdigit() or not 0 < int(now) <= 16_000_000:
+        spark.conf.set(size, "16000000")
 
 
 def pairs_within(df: DataFrame, threshold: float, key: str, vector: str, group: str | None = None, flag: Column | None = None, block: int = BLOCK) -> DataFrame:
